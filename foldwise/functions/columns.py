@@ -51,11 +51,11 @@ def safe_div(a, b) -> Column:
     return F.try_divide(col(a), col(b))
 
 
-def round_doubles(df, digits: int = 6):
-    """Round every double column (oracle comparison contract)."""
+def round_doubles(df, digits: int = 6, only=None):
+    """Round double columns (all, or those named in ``only``) — oracle comparison contract."""
     out = []
     for f in df.schema.fields:
-        if f.dataType.typeName() in ("double", "float"):
+        if f.dataType.typeName() in ("double", "float") and (only is None or f.name in only):
             out.append(F.round(F.col(f.name), digits).alias(f.name))
         else:
             out.append(F.col(f.name))

@@ -67,3 +67,23 @@ def release() -> None:
             _persisted.pop().unpersist()
         except Exception:  # session may already be gone
             pass
+
+
+def join_on_keys(big: DataFrame, small: DataFrame, keys: list[str], how: str = "left",
+                 null_safe: bool = False, checked: bool = True, max_rows: int | None = None) -> DataFrame:
+    """Equi-join on ``keys`` keeping one copy of each key. ``null_safe`` makes null keys match
+    (pandas merge / group-by-as-string semantics); ``checked`` broadcasts the small side only behind
+    its row count (``False`` = size bounded by construction)."""
+    if checked:
+        small, ok = sized(small, max_rows)
+    else:
+        ok = True
+    right = F.broadcast(small) if ok else small
+    if not null_safe:
+        return big.join(right, on=keys, how=how)
+    renamed = right.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in small.columns])
+    cond = None
+    for c in keys:
+        t = big[c].eqNullSafe(renamed[f"_r_{c}"])
+        cond = t if cond is None else cond & t
+    return big.join(renamed, on=cond, how=how).drop(*[f"_r_{c}" for c in keys])
