@@ -33,7 +33,7 @@ class Entry:
             return None
         if not self.doubles:
             return self.sql
-        rep = ", ".join(f"round({c}, {DIGITS}) as {c}" for c in self.doubles)
+        rep = ", ".join(f'round("{c}", {DIGITS}) as "{c}"' for c in self.doubles)
         return f"select * replace ({rep}) from (\n{self.sql}\n) as oracle_result"
 
 
