@@ -1,6 +1,6 @@
 """Every registered query; importing this package fills ``REGISTRY``."""
 
-from foldwise.catalog import encoding, evaluation, features, imputation, profiling  # noqa: F401
+from foldwise.catalog import drift, encoding, evaluation, features, imputation, profiling  # noqa: F401
 from foldwise.catalog.registry import REGISTRY
 
 __all__ = ["REGISTRY"]
