@@ -88,3 +88,14 @@ def mode_sql(src: str, value: str, keys: list[str], out: str) -> str:
     return f"""(select {k}, {value} as {out} from (
       select {k}, {value}, row_number() over (partition by {k} order by count(*) desc, {value}) as rn
       from {src} where {value} is not null group by {k}, {value}) m where rn = 1)"""
+
+
+REGISTRY = f"""reg as (
+  select o_orderkey as ext_row, obs.label, obs.grp, obs.flag, obs.c1, obs.c2, obs.cat, obs.x1,
+    case when {u('rfare', 'o_orderkey')} >= 0.03 then obs.x2 end as x2,
+    case when {u('notitle', 'o_orderkey')} < 0.05 then c_name
+         else c_name || ', ' || (['Mr', 'Mrs', 'Miss', 'Master', 'Dr', 'Rev', 'Col'])[cast(floor({u('title', 'o_orderkey')} * 7) as integer) + 1] || '. Holder' end as name,
+    cast(o_custkey as varchar) as ticket,
+    case when {u('cabin', 'o_orderkey')} >= 0.7 then substr(c_mktsegment, 1, 1) || cast(o_custkey % 100 as varchar) end as cabin
+  from obs join orders on obs.id = o_orderkey join customer on o_custkey = c_custkey
+)"""

@@ -144,7 +144,11 @@ def exception_flags(age="age", flag="sex", cls="pclass", a="sibsp", b="parch") -
     ]
 
 
-def title_of(name_col, pattern: str = r", (\w+)\.") -> Column:
+# fixed value: honorific pattern — ", Word." with Unicode word characters (Python's ``\w``)
+TITLE_PATTERN = r", ([\p{L}\p{N}_]+)\."
+
+
+def title_of(name_col, pattern: str = TITLE_PATTERN) -> Column:
     """First capture of the pattern; no match → null (``regexp_extract`` gives '')."""
     return F.nullif(F.regexp_extract(col(name_col), pattern, 1), F.lit(""))
 

@@ -28,17 +28,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``obs``: one row per order. Only the columns used are read (pruned at the scan)."""
+def _order_customer(spark: SparkSession, sf_dir: str, extra=()) -> DataFrame:
+    """orders ⋈ customer ⋈ nation with only the columns used (pruned at the scans). orders ⋈
+    customer is fact ⋈ large dimension: left to the planner (sort-merge at scale, broadcast when the
+    scan statistics say customer is small); nation is a 25-row scan."""
     o = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment",
+                                               *[x for x in extra if x.startswith("c_")])
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
-    # orders ⋈ customer is fact ⋈ large dimension: left to the planner (sort-merge at scale,
-    # broadcast when the scan statistics say customer is small); nation is a 25-row scan.
-    j = o.join(c, o.o_custkey == c.c_custkey).join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+    return o.join(c, o.o_custkey == c.c_custkey).join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+
+
+def _obs_columns():
     oid = F.col("o_orderkey")
-    return j.select(
+    return [
         oid.alias("id"),
         (F.col("o_orderstatus") == "F").cast("int").alias("label"),
         (F.col("n_regionkey") + 1).cast("int").alias("grp"),
@@ -49,7 +53,12 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("o_custkey") % 4).cast("int").alias("c1"),
         (F.col("o_custkey") % 3).cast("int").alias("c2"),
         F.when(hash_uniform("side", oid) < TRAIN_SHARE, F.lit("train")).otherwise(F.lit("test")).alias("side"),
-    )
+    ]
+
+
+def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``obs``: one row per order (id, label, grp, flag, cat, x1, x2, c1, c2, side)."""
+    return _order_customer(spark, sf_dir).select(*_obs_columns())
 
 
 def pseudo_score_expr(k: int, id_col="id", label_col="label"):
@@ -71,3 +80,30 @@ def doc_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
     lab = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
     return lab.join(d, "doc_id")
+
+
+# fixed values: honorifics written into registry names (one drawn per row by hash) and the share
+# of names written without one
+REGISTRY_TITLES = ("Mr", "Mrs", "Miss", "Master", "Dr", "Rev", "Col")
+REGISTRY_NO_TITLE = 0.05
+REGISTRY_NO_FARE = 0.03
+REGISTRY_NO_CABIN = 0.7
+
+
+def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A wider registry of the same population (every order), with free-text columns: a name with
+    an honorific, a shared ticket (the customer), a cabin code (segment initial + number, often
+    missing), a fare that is sometimes missing, and the label. ``ext_row`` is its stable row order."""
+    j = _order_customer(spark, sf_dir, extra=("c_name",)).select(
+        *_obs_columns(), "o_custkey", "c_name", "c_mktsegment")
+    rid = F.col("id")
+    titles = F.array(*[F.lit(t) for t in REGISTRY_TITLES])
+    title = F.element_at(titles, (F.floor(hash_uniform("title", rid) * len(REGISTRY_TITLES)) + 1).cast("int"))
+    name = F.when(hash_uniform("notitle", rid) < REGISTRY_NO_TITLE, F.col("c_name")).otherwise(
+        F.concat(F.col("c_name"), F.lit(", "), title, F.lit(". Holder")))
+    cabin = F.when(hash_uniform("cabin", rid) >= REGISTRY_NO_CABIN,
+                   F.concat(F.substring("c_mktsegment", 1, 1), (F.col("o_custkey") % 100).cast("string")))
+    return j.select(
+        rid.alias("ext_row"), "label", "grp", "flag", "c1", "c2", "cat", "x1",
+        F.when(hash_uniform("rfare", rid) >= REGISTRY_NO_FARE, F.col("x2")).alias("x2"),
+        name.alias("name"), F.col("o_custkey").cast("string").alias("ticket"), cabin.alias("cabin"))
