@@ -1,6 +1,6 @@
 """Every registered query; importing this package fills ``REGISTRY``."""
 
-from foldwise.catalog import (drift, encoding, errors, evaluation, features, imputation, linkage,  # noqa: F401
+from foldwise.catalog import (blending, drift, encoding, errors, evaluation, features, imputation, linkage,  # noqa: F401
                               profiling)
 from foldwise.catalog.registry import REGISTRY
 

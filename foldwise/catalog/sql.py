@@ -99,3 +99,25 @@ REGISTRY = f"""reg as (
     case when {u('cabin', 'o_orderkey')} >= 0.7 then substr(c_mktsegment, 1, 1) || cast(o_custkey % 100 as varchar) end as cabin
   from obs join orders on obs.id = o_orderkey join customer on o_custkey = c_custkey
 )"""
+
+
+def seeded_prob(k: int, s: int) -> str:
+    return f"(least(({h24(f'm{k}s{s}', 'id')} // 167773) + {8 * k} * label, 99) / 100.0)"
+
+
+def seeded_scores(src: str = "obs", name: str = "ss", seeds=(0, 1, 2)) -> str:
+    parts = [f"select id, label, side, {s} as seed, 'm{k}' as model, {seeded_prob(k, s)} as prob from {src}"
+             for s in seeds for k in range(1, 6)]
+    return f"{name} as (\n  " + "\n  union all ".join(parts) + "\n)"
+
+
+def wide_sql(src: str, keys: str, models=("m1", "m2", "m3", "m4", "m5"), name: str = "wd") -> str:
+    cols = ", ".join(f"max(case when model = '{m}' then prob end) as {m}" for m in models)
+    return f"{name} as (select {keys}, {cols} from {src} group by {keys})"
+
+
+def grid_values(grid) -> str:
+    rows = ", ".join("(" + ", ".join([str(i)] + [f"cast({w!r} as double)" for w in ws]) + ")"
+                     for i, ws in enumerate(grid))
+    names = ", ".join(["grid_id"] + [f"w{i}" for i in range(len(grid[0]))])
+    return f"(values {rows}) g({names})"

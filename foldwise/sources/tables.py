@@ -107,3 +107,17 @@ def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
         rid.alias("ext_row"), "label", "grp", "flag", "c1", "c2", "cat", "x1",
         F.when(hash_uniform("rfare", rid) >= REGISTRY_NO_FARE, F.col("x2")).alias("x2"),
         name.alias("name"), F.col("o_custkey").cast("string").alias("ticket"), cabin.alias("cabin"))
+
+
+def seeded_scores(obs: DataFrame, seeds=(0, 1, 2)) -> DataFrame:
+    """Pseudo-model scores repeated over seeds (a different hash stream per seed): (id, label,
+    side, seed, model, prob) — the multi-seed score table."""
+    rows = []
+    for s in seeds:
+        for i, m in enumerate(PSEUDO_MODELS):
+            k = i + 1
+            u100 = (hash_int24(f"m{k}s{s}", "id") / 167773).cast("long")
+            p = F.least(u100 + F.lit(PSEUDO_SKILL * k) * F.col("label"), F.lit(99)) / 100.0
+            rows.append(F.struct(F.lit(s).alias("seed"), F.lit(m).alias("model"), p.alias("prob")))
+    return obs.select("id", "label", "side", F.explode(F.array(*rows)).alias("s")).select(
+        "id", "label", "side", "s.seed", "s.model", "s.prob")
