@@ -24,3 +24,19 @@ def assign_folds(df: DataFrame, label: str = "label", id_col: str = "id", k: int
     numbered = running_sum(keyed, [label], [u, id_col], ["_fw_one"], bucket=bucket, groups_bounded=True)
     return numbered.withColumn(out, ((F.col("cum__fw_one") - 1) % k).cast("int")).drop(
         u, "_fw_one", "cum__fw_one")
+
+
+def assign_repeated_folds(df: DataFrame, seeds, label: str = "label", id_col: str = "id", k: int = 5,
+                          out: str = "fold", n_buckets: int | None = None) -> DataFrame:
+    """Fold numbers for several seeds in one job — rows are repeated per seed (a bounded
+    parameter list) and numbered with one running count grouped by (seed, class)."""
+    b = n_buckets or bucket_count(df)
+    u = "_fw_u"
+    rep = df.withColumn("seed", F.explode(F.array(*[F.lit(int(s)) for s in seeds])))
+    text = F.concat(F.col("seed").cast("string"), F.lit("|"), F.col(id_col).cast("string"))
+    rep = rep.withColumn(u, F.conv(F.substring(F.md5(text), 1, 6), 16, 10).cast("long") / F.lit(16777216.0))
+    rep = rep.withColumn("_fw_one", F.lit(1))
+    bucket = F.least(F.floor(F.col(u) * b), F.lit(b - 1)).cast("int")
+    numbered = running_sum(rep, ["seed", label], [u, id_col], ["_fw_one"], bucket=bucket, groups_bounded=True)
+    return numbered.withColumn(out, ((F.col("cum__fw_one") - 1) % k).cast("int")).drop(
+        u, "_fw_one", "cum__fw_one")
