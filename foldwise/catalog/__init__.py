@@ -1,7 +1,7 @@
 """Every registered query; importing this package fills ``REGISTRY``."""
 
-from foldwise.catalog import (blending, drift, encoding, errors, evaluation, features, imputation, linkage,  # noqa: F401
-                              profiling)
+from foldwise.catalog import (blending, builder, drift, encoding, errors, evaluation, features, imputation, linkage,  # noqa: F401
+                              modeling, profiling)
 from foldwise.catalog.registry import REGISTRY
 
 __all__ = ["REGISTRY"]

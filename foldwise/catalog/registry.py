@@ -24,29 +24,30 @@ class Entry:
     sql: str | None
     doubles: tuple[str, ...]
     ops: tuple[str, ...]
+    digits: int = DIGITS
 
     def run(self, spark: SparkSession, sf_dir: str) -> DataFrame:
-        return round_doubles(self.build(spark, sf_dir), DIGITS, only=self.doubles)
+        return round_doubles(self.build(spark, sf_dir), self.digits, only=self.doubles)
 
     def oracle(self) -> str | None:
         if self.sql is None:
             return None
         if not self.doubles:
             return self.sql
-        rep = ", ".join(f'round("{c}", {DIGITS}) as "{c}"' for c in self.doubles)
+        rep = ", ".join(f'round("{c}", {self.digits}) as "{c}"' for c in self.doubles)
         return f"select * replace ({rep}) from (\n{self.sql}\n) as oracle_result"
 
 
 REGISTRY: dict[str, Entry] = {}
 
 
-def register(name: str, sql: str | None = None, doubles=(), ops=()):
+def register(name: str, sql: str | None = None, doubles=(), ops=(), digits: int = DIGITS):
     """Decorator: ``@register("x4_auc_by_fold", sql=..., doubles=["auc"], ops=["X4"])``."""
 
     def deco(fn):
         if name in REGISTRY:
             raise ValueError(f"duplicate query {name}")
-        REGISTRY[name] = Entry(name, fn, sql, tuple(doubles), tuple(ops))
+        REGISTRY[name] = Entry(name, fn, sql, tuple(doubles), tuple(ops), digits)
         return fn
 
     return deco

@@ -121,3 +121,11 @@ def seeded_scores(obs: DataFrame, seeds=(0, 1, 2)) -> DataFrame:
             rows.append(F.struct(F.lit(s).alias("seed"), F.lit(m).alias("model"), p.alias("prob")))
     return obs.select("id", "label", "side", F.explode(F.array(*rows)).alias("s")).select(
         "id", "label", "side", "s.seed", "s.model", "s.prob")
+
+
+def with_signal_label(obs: DataFrame, out: str = "label") -> DataFrame:
+    """Replace the label by one the features can predict (for the model-based operators): a noisy
+    threshold on (x2, flag, c1) — the provided status label carries no signal in these columns."""
+    z = (F.coalesce(F.col("x2"), F.lit(0.0)) / 100.0 + 1.5 * F.col("flag") - 0.5 * F.col("c1")
+         + 3.0 * hash_uniform("ys", "id"))
+    return obs.withColumn(out, (z > 3.0).cast("int"))
