@@ -22,7 +22,7 @@ def assign_folds(df: DataFrame, label: str = "label", id_col: str = "id", k: int
     keyed = df.withColumn(u, hash_uniform(seed, id_col)).withColumn("_fw_one", F.lit(1))
     bucket = F.least(F.floor(F.col(u) * b), F.lit(b - 1)).cast("int")
     numbered = running_sum(keyed, [label], [u, id_col], ["_fw_one"], bucket=bucket, groups_bounded=True)
-    return numbered.withColumn(out, ((F.col("cum__fw_one") - 1) % k).cast("int")).drop(
+    return numbered.withColumn(out, ((F.col("cum__fw_one") - 1) % k).cast("int" if k < 2 ** 31 else "long")).drop(
         u, "_fw_one", "cum__fw_one")
 
 
