@@ -87,7 +87,7 @@ def a2_pseudo_label_augmented_cv(spark, sf_dir):
     pseudo = te.drop("label").join(pl, "id").withColumn("fold", F.lit(-2))
     both = persisted(tr.unionByName(pseudo.select(*tr.columns)))
     fm = preset("minimal", levels=CATS, classes=GRPS).fit(both, "fold", K)
-    scores, metrics = CV.cross_validate_oof(both, {"logreg_pseudo": _lr(1.0)}, fm, K, checkpoint=False)
+    scores, metrics = CV.cross_validate_oof(both, {"logreg_pseudo": _lr(1.0)}, fm, K)
     return metrics.select("model", "fold", "auc", "n")
 
 
@@ -97,7 +97,7 @@ def a5_mixup_sweep_cv(spark, sf_dir):
     training fold; the validation folds stay original rows."""
     tr, _ = _split(spark, sf_dir)
     fm = preset("minimal", levels=CATS, classes=GRPS).fit(tr, "fold", K)
-    fit_rows, val_rows = CV.cv_matrices(tr, fm, K, checkpoint=False)
+    fit_rows, val_rows = CV.cv_matrices(tr, fm, K)
     cols = ["x2", "c1", "c2", "grp", "flag"]
     n = tr.count()
     rows = []

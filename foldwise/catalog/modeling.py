@@ -211,7 +211,7 @@ def n19_model_averaging(spark, sf_dir):
     tr, _ = _split(spark, sf_dir)
     fm = _features(tr)
     subsets = {"all": None, "base": ["grp", "flag", "x1", "x2"], "family": ["c1", "c2", "family_size", "is_alone"]}
-    fit_rows, val_rows = CV.cv_matrices(tr, fm, K, checkpoint=False)
+    fit_rows, val_rows = CV.cv_matrices(tr, fm, K)
     n = tr.count()
     parts = []
     for sname, wanted in subsets.items():
@@ -237,7 +237,7 @@ def d7_domain_classifier(spark, sf_dir):
     folded = persisted(assign_folds(obs.drop("label").withColumnRenamed("is_test", "label"), "label", "id", k=K, seed=SEED))
     fm = preset("minimal", levels=CATS, classes=GRPS).fit(folded, "fold", K)
     make = lambda d, n: M.factory("gbt_depthwise", d, n, n_estimators=BOOST_ITERS)
-    scores, _ = CV.cross_validate_oof(folded, {"domain": make}, fm, K, checkpoint=False)
+    scores, _ = CV.cross_validate_oof(folded, {"domain": make}, fm, K)
     acc = scores.agg(F.avg(((F.col("prob") >= 0.5).cast("int") == F.col("label")).cast("double")).alias("accuracy"),
                      F.avg(D.importance_weight("prob")).alias("mean_weight"))
     return acc.withColumn("shift", (F.col("accuracy") >= 0.55).cast("int"))

@@ -73,6 +73,7 @@ def compare(spark, con, entry, sf_dir: str) -> dict:
 
 def main(argv: list[str]) -> int:
     from foldwise.catalog import REGISTRY
+    from foldwise.plans.joins import release
     from foldwise.plans.session import local_session
 
     sf_dir = "/root/testdata/sf0.01"
@@ -92,6 +93,7 @@ def main(argv: list[str]) -> int:
             r = {"name": name, "status": "ERROR", "error": str(e).splitlines()[0][:300]}
         bad += r["status"] not in ("ok", "rows-only")
         print(r, flush=True)
+        release()
     print(f"mismatches/errors: {bad}")
     return 1 if bad else 0
 
