@@ -214,3 +214,34 @@ def x19_score_tiers_and_category_best(spark, sf_dir):
     j = ho.join(F.broadcast(best), "category")  # one row per category
     return j.select("model", "category", "holdout_auc", tier.otherwise(F.lit("C")).alias("tier"),
                     (F.col("model") == F.col("_best")).cast("int").alias("category_best"))
+
+
+# ---------------------------------------------------------------- flagship (the entry query)
+from foldwise.catalog.common import K, applied  # noqa: E402
+from foldwise.catalog.imputation import I2_SQL  # noqa: E402
+from foldwise.functions.features import base_derived  # noqa: E402
+from foldwise.operators.foldstats import EVAL  # noqa: E402
+from foldwise.operators.impute import apply_imputer, fit_imputer  # noqa: E402
+from foldwise.sources.tables import pseudo_score_expr  # noqa: E402
+
+
+@register("flagship_fold_impute_auc", ops=["X1", "I2", "I3", "P4", "P5", "X4"], doubles=["auc", "n_pos", "n_neg"],
+          sql=I2_SQL.rstrip("\n") + """,
+fr as (select app.fold, app.label, coalesce(app.x1, gq.x1_median, gl.x1_median_global) as x1, ln(1 + app.x2) as log_x2,
+  app.x2 / (app.c1 + app.c2 + 1) as x2_per_person, """ + S.pseudo_prob(3).replace("label", "app.label").replace("(id", "(app.id").replace(", id", ", app.id") + """ as prob_m3
+  from app left join gq using (eval_fold, grp) left join gl using (eval_fold) where app.side = 'train'),
+lg as (select 'x1' as score, fold, label, x1 as v from fr union all select 'log_x2', fold, label, log_x2 from fr
+  union all select 'x2_per_person', fold, label, x2_per_person from fr union all select 'prob_m3', fold, label, prob_m3 from fr)
+select * from """ + S.auc_sql("lg", ["score", "fold"], score="v") + " t")
+def flagship_fold_impute_auc(spark, sf_dir):
+    """obs → stratified folds → leak-safe group-median imputation fitted per eval fold → derived
+    features → tie-aware AUC of each score per (score, fold), OOF on the training side."""
+    tr, app = applied(spark, sf_dir)
+    g, glob = fit_imputer(tr, "grp", ["x1", "x2"], ["cat"], "fold", K)
+    rows = apply_imputer(app.where(F.col("side") == "train"), g, glob, "grp", ["x1", "x2"], ["cat"])
+    rows = rows.select("fold", "label", "x1", *base_derived("c1", "c2", "x2", "grp", "flag"),
+                       pseudo_score_expr(3).alias("prob_m3"))
+    stacked = rows.select("fold", "label", F.explode(F.array(*[
+        F.struct(F.lit(n).alias("score"), F.col(n).cast("double").alias("v"))
+        for n in ("x1", "log_x2", "x2_per_person", "prob_m3")])).alias("s")).select("fold", "label", "s.*")
+    return auc(stacked, "label", "v", ["score", "fold"])

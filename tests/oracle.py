@@ -87,6 +87,8 @@ def main(argv: list[str]) -> int:
     for name, entry in REGISTRY.items():
         if names and not any(name.startswith(n) for n in names):
             continue
+        if "--sql-only" in argv and entry.sql is None:
+            continue
         try:
             r = compare(spark, con, entry, sf_dir)
         except Exception as e:  # report and continue
