@@ -154,18 +154,7 @@ class FeatureModel:
         if spec.fare_bins == "quantile":
             t["b_edges"] = _edges(counts(r.b, []), r.b, spec.n_fare_qbins)
         if spec.group_stats:
-            gs = {}
-            for c in (r.b, r.a):
-                gm = count_moments(counts(c, []), c, []).select(EVAL, F.col("mean").alias("global_mean"))
-                per = {}
-                for sp in GROUP_SPECS_OF(r):
-                    vc = counts(c, sp)
-                    mo = count_moments(vc, c, sp)
-                    med = exact_quantiles(None, c, [EVAL, *sp], [0.5], ["median"], counts=vc)
-                    per[tuple(sp)] = persisted(mo.join(med, [EVAL, *sp], "left").select(
-                        EVAL, *sp, "median", "mean", F.coalesce("std", F.lit(0.0)).alias("std")))
-                gs[c] = (persisted(gm), per)
-            t["group_stats"] = gs
+            t["group_stats"] = _fit_group_stats(train, r, fold_col, k, fills)
         if spec.freq_encoding:
             vc = train.groupBy(*([fold_col] if fold_col else []), r.cls).agg(F.count(F.lit(1)).alias("_n"))
             vc = fan_out(vc, fold_col, k).groupBy(EVAL, r.cls).agg(F.sum("_n").alias("_n"))
@@ -228,20 +217,23 @@ class FeatureModel:
         if s.polynomial:
             df = df.select("*", *P.polynomial(r.a, r.b))
         if s.group_stats:
+            stats = t["group_stats"]
             for c in (r.b, r.a):
-                gm, per = t["group_stats"][c]
+                gm = stats.where((F.col("_var") == c) & (F.col("_spec") == "")).select(
+                    EVAL, F.col("mean").alias("global_mean"))
                 df = join_on_keys(df, gm, [EVAL], "left")
-                for sp, tbl in per.items():
+                for sp in GROUP_SPECS_OF(r):
                     sfx = "_".join(sp)
-                    tb = tbl.select(EVAL, *sp, F.col("median").alias("_g_med"), F.col("mean").alias("_g_mean"),
-                                    F.col("std").alias("_g_std"))
-                    df = join_on_keys(df, tb, [EVAL, *sp], "left")
+                    tb = stats.where((F.col("_var") == c) & (F.col("_spec") == sfx)).select(
+                        EVAL, F.col("_gkey"), F.col("median").alias("_g_med"), F.col("mean").alias("_g_mean"),
+                        F.coalesce(F.col("std"), F.lit(0.0)).alias("_g_std"))
+                    df = join_on_keys(df.withColumn("_gkey", _group_key(sp)), tb, [EVAL, "_gkey"], "left")
                     med = F.coalesce("_g_med", "global_mean")
                     mean = F.coalesce("_g_mean", "global_mean")
                     sd = F.coalesce(F.col("_g_std"), F.lit(1.0))
                     sd = F.when(sd == 0, F.lit(1.0)).otherwise(sd)
                     df = (df.withColumn(f"{c}_diff_{sfx}", F.col(c) - med)
-                          .withColumn(f"{c}_z_{sfx}", (F.col(c) - mean) / sd).drop("_g_med", "_g_mean", "_g_std"))
+                          .withColumn(f"{c}_z_{sfx}", (F.col(c) - mean) / sd).drop("_g_med", "_g_mean", "_g_std", "_gkey"))
                 df = df.drop("global_mean")
         if s.freq_encoding:
             df = join_on_keys(df, t["freq"], [EVAL, r.cls], "left").withColumn(
@@ -261,6 +253,38 @@ class FeatureModel:
         return P.select_or_zero(df, [*keep, *self.columns, *extra])  # P22: fixed schema
 
 
+def _group_key(cols) -> "F.Column":
+    """One string key per group spec (null-proof, position-preserving)."""
+    return F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("\u2205")) for c in cols])
+
+
+def _fit_group_stats(train: DataFrame, r: Roles, fold_col: str | None, k: int | None, fills: dict) -> DataFrame:
+    """I5 on imputed values for both value columns × every group spec (and the global mean) in
+    one stacked pass: (eval_fold, _var, _spec, _gkey) → median, mean, sample std."""
+    specs = [("", [])] + [("_".join(sp), sp) for sp in GROUP_SPECS_OF(r)]
+    fk = [fold_col] if fold_col else []
+    arms = F.array(*[F.struct(F.lit(c).alias("_var"), F.lit(name).alias("_spec"), _group_key(sp).alias("_gkey"),
+                              F.col(c).cast("double").alias("_val"))
+                     for c in (r.b, r.a) for name, sp in specs])
+    st = train.select(*fk, r.cls, F.explode(arms).alias("_s")).select(*fk, r.cls, "_s.*")
+    keys = ["_var", "_spec", "_gkey"]
+    present = st.where(F.col("_val").isNotNull()).groupBy(*fk, *keys, "_val").agg(F.count(F.lit(1)).alias("_fw_cnt"))
+    present = fan_out(present, fold_col, k).groupBy(EVAL, *keys, "_val").agg(F.sum("_fw_cnt").alias("_fw_cnt"))
+    nulls = st.where(F.col("_val").isNull()).groupBy(*fk, *keys, r.cls).agg(F.count(F.lit(1)).alias("_fw_cnt"))
+    nulls = fan_out(nulls, fold_col, k).groupBy(EVAL, *keys, r.cls).agg(F.sum("_fw_cnt").alias("_fw_cnt"))
+    fill = None
+    for c in (r.b, r.a):
+        f = fills[c].withColumn("_var", F.lit(c))
+        fill = f if fill is None else fill.unionByName(f)
+    filled = join_on_keys(nulls, fill, [EVAL, "_var", r.cls], "inner")
+    filled = filled.groupBy(EVAL, *keys, F.col("_fill").alias("_val")).agg(F.sum("_fw_cnt").alias("_fw_cnt"))
+    counts = persisted(present.unionByName(filled).groupBy(EVAL, *keys, "_val")
+                       .agg(F.sum("_fw_cnt").cast("long").alias("_fw_cnt")))
+    mo = count_moments(counts, "_val", keys)
+    med = exact_quantiles(None, "_val", [EVAL, *keys], [0.5], ["median"], counts=counts)
+    return persisted(mo.join(med, [EVAL, *keys], "left").select(EVAL, *keys, "median", "mean", "std"))
+
+
 def _edges(counts: DataFrame, value: str, q: int) -> DataFrame:
     """P10 per eval fold: interior quantile edges (linear), duplicates dropped."""
     qs = [i / q for i in range(q + 1)]
