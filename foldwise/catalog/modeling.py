@@ -111,7 +111,7 @@ def x14_nested_cv_meta_learner(spark, sf_dir):
     w = _oof_wide(spark, sf_dir)
     inner = assign_repeated_folds(w.select("id", "label", "fold"), [7], "label", "id", k=K, out="inner").select("id", "inner")
     w = persisted(w.join(inner, "id"))
-    return CV.nested_meta_cv(w, list(PSEUDO_MODELS), [0.1, 1.0], "fold", "inner", K)
+    return CV.nested_meta_cv(w, list(PSEUDO_MODELS), [0.1, 1.0], "fold", "inner", K, max_iter=LR_ITERS)
 
 
 def _meta_cv(w, cols, C, fold_col, n):

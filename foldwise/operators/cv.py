@@ -93,7 +93,7 @@ def fit_full_and_score(train: DataFrame, test: DataFrame, make: Factory, feature
 
 
 def nested_meta_cv(oof_wide: DataFrame, score_cols: Sequence[str], Cs: Sequence[float], outer_col: str,
-                   inner_col: str, k: int, label: str = "label") -> DataFrame:
+                   inner_col: str, k: int, label: str = "label", max_iter: int = 100) -> DataFrame:
     """For each outer fold choose the meta-learner's C by inner-fold AUC (inner folds only see
     outer-training rows), then score that choice on the outer fold."""
     from foldwise.operators.models import logistic
@@ -108,7 +108,7 @@ def nested_meta_cv(oof_wide: DataFrame, score_cols: Sequence[str], Cs: Sequence[
         for c in Cs:
             preds = []
             for g in range(k):
-                m = logistic(c, n, max_iter=100).fit(outer_tr.where(F.col(inner_col) != g))
+                m = logistic(c, n, max_iter=max_iter).fit(outer_tr.where(F.col(inner_col) != g))
                 preds.append(positive_probability(m.transform(outer_tr.where(F.col(inner_col) == g))).select(label, "prob"))
             allp = preds[0]
             for p in preds[1:]:
@@ -116,7 +116,7 @@ def nested_meta_cv(oof_wide: DataFrame, score_cols: Sequence[str], Cs: Sequence[
             a = auc(allp, label, "prob").first()["auc"]
             if a is not None and a > best_auc:
                 best_c, best_auc = c, a
-        m = logistic(best_c, n, max_iter=100).fit(outer_tr)
+        m = logistic(best_c, n, max_iter=max_iter).fit(outer_tr)
         sc = positive_probability(m.transform(data.where(F.col(outer_col) == f)))
         outer_auc = auc(sc, label, "prob").first()["auc"]
         rows.append((f, float(best_c), float(best_auc), float(outer_auc) if outer_auc is not None else None))
