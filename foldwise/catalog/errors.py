@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from foldwise.catalog import sql as S
-from foldwise.catalog.linkage import ENRICH_KEYS, HOLDOUT_SQL, holdout_labels
+from foldwise.catalog.linkage import ENRICH_KEYS, ENRICH_SQL, HOLDOUT_SQL, holdout_labels
 from foldwise.catalog.registry import register
 from foldwise.operators import errors as R
 from foldwise.operators import linkage as J
@@ -204,7 +204,9 @@ def r16_hard_vs_easy_positives(spark, sf_dir):
         F.avg(F.col("c1") + F.col("c2") + 1).alias("family_mean"))
 
 
-@register("r17_hard_case_title_deck", ops=["R17", "J5", "P17"])
+@register("r17_hard_case_title_deck", ops=["R17", "J5", "P17"], sql=W(*HARD_OBS, *ENRICH_SQL[2:]) + """
+select title, deck, count(*) as n, count(distinct ticket_group_size) as group_sizes
+from e where matched = 1 and id in (select id from hard) group by title, deck""")
 def r17_hard_case_title_deck(spark, sf_dir):
     h = _hard_obs(spark, sf_dir).select("id", *ENRICH_KEYS, "x2")
     e = J.enrich(h, registry(spark, sf_dir), ENRICH_KEYS, "x2").where(F.col("matched") == 1)
