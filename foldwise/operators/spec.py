@@ -25,7 +25,7 @@ from foldwise.functions import features as P
 from foldwise.functions.columns import clip
 from foldwise.operators.foldstats import EVAL, fan_out
 from foldwise.operators.impute import apply_imputer, fit_imputer
-from foldwise.plans.joins import join_on_keys, persisted
+from foldwise.plans.joins import join_on_keys, max_broadcast_rows, persisted
 from foldwise.plans.ordered import exact_quantiles
 
 
@@ -162,6 +162,11 @@ class FeatureModel:
         if spec.rank_features:
             mo = count_moments(counts(r.b, [r.cls]), r.b, [r.cls])
             t["range"] = persisted(mo.select(EVAL, r.cls, F.col("min").alias("_lo"), F.col("max").alias("_hi")))
+        # size of every small statistics table checked once here; transform then joins the
+        # (filtered) tables as broadcasts without re-counting them
+        limit = max_broadcast_rows(train)
+        t["_small"] = {name: tbl.count() <= limit for name, tbl in t.items()
+                       if isinstance(tbl, DataFrame)}
         model = cls(spec, t, [])
         model.columns = model._columns()
         return model
@@ -216,18 +221,20 @@ class FeatureModel:
             df = df.select("*", *P.interactions(r.a, r.b, r.cls, r.flag, s.classes, f"log_{r.b}", "family_size", "is_alone"))
         if s.polynomial:
             df = df.select("*", *P.polynomial(r.a, r.b))
+        small = t.get("_small", {})
         if s.group_stats:
             stats = t["group_stats"]
+            ok = small.get("group_stats", False)
             for c in (r.b, r.a):
                 gm = stats.where((F.col("_var") == c) & (F.col("_spec") == "")).select(
                     EVAL, F.col("mean").alias("global_mean"))
-                df = join_on_keys(df, gm, [EVAL], "left")
+                df = join_on_keys(df, gm, [EVAL], "left", checked=not ok)
                 for sp in GROUP_SPECS_OF(r):
                     sfx = "_".join(sp)
                     tb = stats.where((F.col("_var") == c) & (F.col("_spec") == sfx)).select(
                         EVAL, F.col("_gkey"), F.col("median").alias("_g_med"), F.col("mean").alias("_g_mean"),
                         F.coalesce(F.col("std"), F.lit(0.0)).alias("_g_std"))
-                    df = join_on_keys(df.withColumn("_gkey", _group_key(sp)), tb, [EVAL, "_gkey"], "left")
+                    df = join_on_keys(df.withColumn("_gkey", _group_key(sp)), tb, [EVAL, "_gkey"], "left", checked=not ok)
                     med = F.coalesce("_g_med", "global_mean")
                     mean = F.coalesce("_g_mean", "global_mean")
                     sd = F.coalesce(F.col("_g_std"), F.lit(1.0))
@@ -236,10 +243,10 @@ class FeatureModel:
                           .withColumn(f"{c}_z_{sfx}", (F.col(c) - mean) / sd).drop("_g_med", "_g_mean", "_g_std", "_gkey"))
                 df = df.drop("global_mean")
         if s.freq_encoding:
-            df = join_on_keys(df, t["freq"], [EVAL, r.cls], "left").withColumn(
+            df = join_on_keys(df, t["freq"], [EVAL, r.cls], "left", checked=not small.get("freq", False)).withColumn(
                 f"{r.cls}_freq", F.coalesce("_freq", F.lit(0.0))).drop("_freq")
         if s.rank_features:
-            df = join_on_keys(df, t["range"], [EVAL, r.cls], "left")
+            df = join_on_keys(df, t["range"], [EVAL, r.cls], "left", checked=not small.get("range", False))
             lo, hi = F.coalesce("_lo", F.lit(0.0)), F.coalesce("_hi", F.lit(1.0))
             width = F.when(hi != lo, hi - lo).otherwise(F.lit(1.0))
             df = df.withColumn(f"{r.b}_pctile_in_{r.cls}", clip((F.col(r.b) - lo) / width, 0.0, 1.0)).drop("_lo", "_hi")
