@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldwise.llm import bpe, langid, simhash, toxicity, urls, warc
+from foldwise.llm import bpe, langid, quality, simhash, toxicity, urls, warc
 from foldwise.llm.tables import held_out, keep, read, shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,6 +43,13 @@ def op2_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
                         warc.page_key("refers_to").alias("refers_to"), "intact")
 
 
+@query("op6_quality")
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, fold = read(spark, sf_dir, "documents").select("doc_id", "text"), held_out("doc_id")
+    net = quality.fit(docs, docs.where(~fold), read(spark, sf_dir, "labels").where(~fold).select("doc_id", "quality"))
+    return quality.score(docs, net).select("doc_id", fold.alias("held_out"), "score", "predicted")
+
+
 @query("op7_byte_bpe")
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN
