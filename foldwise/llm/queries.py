@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldwise.llm import bpe, langid, quality, simhash, toxicity, urls, warc
+from foldwise.llm import bpe, decontaminate, langid, linededup, quality, simhash, toxicity, urls, warc
 from foldwise.llm.tables import held_out, keep, read, shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,6 +43,18 @@ def op2_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
                         warc.page_key("refers_to").alias("refers_to"), "intact")
 
 
+@query("op3_decontamination")
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.leaks(read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "benchmark"))
+    return found.drop("_row")
+
+
+@query("op4_line_dedup")
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = linededup.dedup(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", F.col("_lines").alias("n_lines"), F.coalesce(F.size("_dropped"), F.lit(0)).alias("n_dropped"), F.col("_dropped").alias("dropped"), "text")
+
+
 @query("op6_quality")
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, fold = read(spark, sf_dir, "documents").select("doc_id", "text"), held_out("doc_id")
