@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldwise.llm import bpe, decontaminate, langid, linededup, quality, simhash, toxicity, urls, warc
+from foldwise.llm import bpe, decontaminate, langid, linededup, quality, setjoin, simhash, toxicity, urls, warc
 from foldwise.llm.tables import held_out, keep, read, shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,6 +55,12 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.col("_lines").alias("n_lines"), F.coalesce(F.size("_dropped"), F.lit(0)).alias("n_dropped"), F.col("_dropped").alias("dropped"), "text")
 
 
+@query("op5_ngram_join")
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = setjoin.joined(read(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
+
+
 @query("op6_quality")
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, fold = read(spark, sf_dir, "documents").select("doc_id", "text"), held_out("doc_id")
