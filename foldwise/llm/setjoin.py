@@ -11,11 +11,13 @@ holds at most ``COMMON`` entries, then by hash.  With Jaccard index t, a partner
 Sets from t times the boundary on do both, so every pair meets in one way or the other.  The boundary is
 the one with the least cost, counted from the sizes of all sets and the measured length of the lists.
 
-A list isn't expanded into pairs.  First each member is checked with one hub, the smallest class of the
-list that it shares most lists with, and components are made; near copies, however many, become one
-component here.  Then the pairs of a list that lie in different components are compared: by a bound on
-the overlap from counts of 32 hash ranges, and if it allows a link, exactly.  So no link between
-components is lost.
+A list isn't expanded into pairs.  Its hub is the member with the largest share of common shingles (of near
+copies, one close to their origin).  First each class is checked with the hub it shares most lists with,
+and components are made.  Then the classes of one hub are compared with one another where they lie in
+different components, block by block (a block has a bounded number of shingles, and each pair of blocks is
+a task's matter), giving out links only.  Last come pairs of one list under different hubs in different
+components: by a bound on the overlap from counts of ``SKETCH`` hash ranges, and if it allows a link,
+exactly.  So every pair that shares a list is decided or lies in one component already.
 
 Null, empty and blank texts have an empty set and link with nothing; texts with fewer words than a
 shingle are one shingle; repeated rows are equal sets; extra columns are not looked at.  Two different
@@ -39,7 +41,9 @@ from foldwise.llm.tables import BROADCAST_ROWS, keep, semi
 #: Jaccard index in percent; words in a shingle; the most common shingles that are told apart.
 PERCENT, WORDS, COMMON = 75, 5, 1 << 18
 BOUNDARIES = (0, 8, 16, 24, 32, 48, 64)
-SKETCH = 32
+SKETCH = 64
+#: Shingles of a block of classes that are compared with one another, and columns of one product.
+BLOCK, COLUMNS = 1 << 19, 4096
 #: Shingles a task counts before it lets go of those met once.
 COUNTED = 1 << 21
 
@@ -105,8 +109,9 @@ def boundary(sizes: dict[int, int], scanned: float, percent: int = PERCENT) -> i
     return BOUNDARIES[int(np.argmin(cost))]
 
 
-def listed(runs: np.ndarray, at: np.ndarray, common: np.ndarray, df: np.ndarray, heavy_from: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """(key, set number) of all lists that the sets of a chunk belong to."""
+def listed(runs: np.ndarray, at: np.ndarray, common: np.ndarray, df: np.ndarray, heavy_from: int, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(key, set number) of all lists that the sets of a chunk belong to, and the share of common
+    shingles of each set in thousandths."""
     size = np.diff(at)
     owner = np.repeat(np.arange(len(size)), size)
     rank = np.zeros(len(runs), np.int64)
@@ -127,7 +132,8 @@ def listed(runs: np.ndarray, at: np.ndarray, common: np.ndarray, df: np.ndarray,
         for i in range(j):
             keys.append(mix(ordered[at[docs] + i] * _LANE[0] + second))
             which.append(docs)
-    return np.concatenate(keys).view(np.int64), np.concatenate(which)
+    mid = 1000 * np.bincount(owner, rank > 0, len(size)) // np.maximum(size, 1)
+    return np.concatenate(keys).view(np.int64), np.concatenate(which), mid.astype(np.int64)
 
 
 def joined(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -163,39 +169,47 @@ def joined(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = WO
             for batch in batches:
                 for _, raw, offsets in chunks(batch, text):
                     runs, at, own = sets(raw, offsets, k)
-                    keys, which = listed(runs, at, common, df, heavy_from, percent)
+                    keys, which, mid = listed(runs, at, common, df, heavy_from, percent)
                     new = np.array([c not in seen for c in own.tolist()])
                     seen.update(own.tolist())
                     keys, which = keys[new[which]], which[new[which]]
                     if not full:
                         yield pa.RecordBatch.from_arrays([pa.array(keys)], ["key"])
                     else:
-                        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(own[which]), pa.array(np.diff(at)[which])], ["key", "class", "n"])
+                        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(own[which]), pa.array(np.diff(at)[which]), pa.array(mid[which])], ["key", "class", "n", "mid"])
 
-        return docs.mapInArrow(run, "key long, class long, n long" if full else "key long")
+        return docs.mapInArrow(run, "key long, class long, n long, mid long" if full else "key long")
 
     shared = keep(posted(False).groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key"), "keys")
     n = shared.count()
     lists = posted(True).join(F.broadcast(shared) if n <= BROADCAST_ROWS else shared, "key").distinct()
     lists = keep(lists, "lists")
-    hubs = lists.groupBy("key").agg(F.min("class").alias("hub"), F.count("*").alias("m")).where("m > 1").select("key", "hub")
-    votes = lists.join(hubs, "key").where("class <> hub").groupBy("class", "hub").agg(F.count("*").alias("c"))
-    best = votes.groupBy("class").agg(F.max(F.struct("c", F.col("hub"))).alias("b")).select(F.col("class").alias("a"), F.col("b.hub").alias("b"))
-    links = _checked(docs, classes, keep(best, "pairs"), key, text, k, percent)
+    hubs = lists.groupBy("key").agg(F.max(F.struct("mid", "class")).alias("h"), F.count("*").alias("m")).where("m > 1")
+    votes = lists.join(hubs.select("key", F.col("h.mid").alias("h_mid"), F.col("h.class").alias("hub")), "key").where("class <> hub")
+    votes = votes.groupBy("class", "n", "hub").agg(F.count("*").alias("c"), F.max("h_mid").alias("h_mid"))
+    best = votes.groupBy("class", "n").agg(F.max(F.struct("c", "h_mid", "hub")).alias("b"))
+    best = keep(best.select("class", "n", F.col("b.hub").alias("hub")), "hubs")
+    full = keep(_whole_sets(docs, classes, best.select("class").union(best.select("hub")).distinct(), key, text, k), "full")
+    links = _checked(best.select(F.col("class").alias("a"), F.col("hub").alias("b")), full, percent)
+    groups = components(links, "a", "b").select(F.col("node").alias("class"), "component")
+    inside = _within_hubs(best, groups, full, percent)
+    links = keep(links.unionByName(inside), "links")
     groups = components(links, "a", "b").select(F.col("node").alias("class"), "component")
 
-    # the rest: pairs of one list in different components
-    apart = lists.join(groups, "class", "left").withColumn("component", F.coalesce("component", "class"))
+    # the rest: pairs of one list in different components and under different hubs
+    apart = lists.drop("mid").join(groups, "class", "left").withColumn("component", F.coalesce("component", "class")).join(best.select("class", "hub"), "class", "left")
     several = apart.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key")
     apart = keep(apart.join(several, "key", "left_semi"), "apart")
     sketched = _sketches(docs, classes, apart.select("class").distinct(), key, text, k)
     apart = keep(apart.join(sketched, "class"), "apart")
-    left, right = (apart.select("key", *(F.col(c).alias(f"{c}_{s}") for c in ("class", "n", "component", "sketch"))) for s in "ab")
+    left, right = (apart.select("key", *(F.col(c).alias(f"{c}_{s}") for c in ("class", "n", "component", "hub", "sketch"))) for s in "ab")
     most = F.aggregate(F.zip_with("sketch_a", "sketch_b", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
-    may = (F.col("class_a") < F.col("class_b")) & (F.col("component_a") != F.col("component_b")) & (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
+    done = F.coalesce((F.col("hub_a") == F.col("hub_b")) | (F.col("hub_a") == F.col("class_b")) | (F.col("hub_b") == F.col("class_a")), F.lit(False))
+    may = ~done & (F.col("class_a") < F.col("class_b")) & (F.col("component_a") != F.col("component_b")) & (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
     rest = left.join(right, "key").where(may & (most * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent))
     rest = keep(rest.select(F.col("class_a").alias("a"), F.col("class_b").alias("b")).distinct(), "pairs")
-    links = links.unionByName(_checked(docs, classes, rest, key, text, k, percent))
+    wanted = rest.select(F.col("a").alias("class")).union(rest.select("b")).distinct()
+    links = links.unionByName(_checked(rest, _whole_sets(docs, classes, wanted, key, text, k), percent))
     groups = components(links, "a", "b").select(F.col("node").alias("class"), F.col("component").alias("group"))
 
     firsts = classes.join(groups, "class", "left").withColumn("group", F.coalesce("group", "class"))
@@ -218,20 +232,25 @@ def _sketches(docs: DataFrame, classes: DataFrame, wanted: DataFrame, key: str,
             for _, raw, offsets in chunks(batch, text):
                 runs, at, own = sets(raw, offsets, k)
                 doc = np.repeat(np.arange(len(own)), np.diff(at))
-                table = np.bincount(doc * SKETCH + (runs >> np.uint64(59)).astype(np.int64), minlength=len(own) * SKETCH).reshape(-1, SKETCH)
+                table = np.bincount(doc * SKETCH + (runs >> np.uint64(58)).astype(np.int64), minlength=len(own) * SKETCH).reshape(-1, SKETCH)
                 yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(list(table.astype(np.int32)), pa.list_(pa.int32()))], ["class", "sketch"])
 
     return _of_classes(docs, classes, wanted, key, text).mapInArrow(run, "class long, sketch array<int>").groupBy("class").agg(F.any_value("sketch").alias("sketch"))
 
 
-def _checked(docs: DataFrame, classes: DataFrame, pairs: DataFrame, key: str, text: str, k: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of classes whose sets are similar, exactly."""
-    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _whole_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, key: str, text: str, k: int) -> DataFrame:
+    """(class, set): the sorted hashes of the wanted classes."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, raw, offsets in chunks(batch, text):
                 runs, at, own = sets(raw, offsets, k)
                 yield pa.RecordBatch.from_arrays([pa.array(own), pa.array([runs[x:y].tobytes() for x, y in zip(at, at[1:])], pa.binary())], ["class", "set"])
 
+    return _of_classes(docs, classes, wanted, key, text).mapInArrow(run, "class long, set binary").dropDuplicates(["class"])
+
+
+def _checked(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of classes whose sets are similar, exactly."""
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             same = []
@@ -242,8 +261,66 @@ def _checked(docs: DataFrame, classes: DataFrame, pairs: DataFrame, key: str, te
                 same.append(100 * both >= percent * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(same, pa.bool_()))
 
-    wanted = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct()
-    full = _of_classes(docs, classes, wanted, key, text).mapInArrow(whole, "class long, set binary").dropDuplicates(["class"])
-    full = keep(full, "full")
     both = pairs.join(full.select(F.col("class").alias("a"), F.col("set").alias("x")), "a").join(full.select(F.col("class").alias("b"), F.col("set").alias("y")), "b")
     return keep(both.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long"), "similar")
+
+
+def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of every left with every right set: products of incidence matrices over
+    the shingles that both sides hold, some columns at a time."""
+    a, b = np.concatenate(left), np.concatenate(right)
+    shared = np.intersect1d(a, b)
+    out = np.zeros((len(left), len(right)), np.float32)
+    rows = [np.repeat(np.arange(len(x)), [len(v) for v in x]) for x in (left, right)]
+    columns = [np.searchsorted(shared, x) for x in (a, b)]
+    hit = [np.append(shared, 0)[c] == x if len(shared) else np.zeros(len(x), bool) for c, x in zip(columns, (a, b))]
+    for at in range(0, len(shared), COLUMNS):
+        part = []
+        for r, c, h, n in zip(rows, columns, hit, out.shape):
+            take = h & (c >= at) & (c < at + COLUMNS)
+            m = np.zeros((n, min(COLUMNS, len(shared) - at)), np.float32)
+            m[r[take], c[take] - at] = 1
+            part.append(m)
+        out += part[0] @ part[1].T
+    return out
+
+
+def _within_hubs(best: DataFrame, groups: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between classes of one hub that lie in different components."""
+    of = groups.withColumnRenamed("component", "own")
+    members = best.join(of, "class", "left").withColumn("own", F.coalesce("own", "class"))
+    # what a hub's component holds needs no look; a hub is busy if some class of it lies outside
+    hubs = members.groupBy("hub").agg(F.sum("n").alias("shingles"), F.min("own").alias("x"), F.max("own").alias("y")).where("x <> y")
+    hubs = hubs.select("hub", F.ceil(F.col("shingles") / BLOCK).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")
+    dealt = members.join(hubs, "hub").withColumn("own_block", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("hub", F.least("own_block", "other").alias("i"), F.greatest("own_block", "other").alias("j"), "own_block", "class", "own").join(full, "class")
+    parts = int(best.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = dealt.select("hub", "i", "j", "own_block", "class", "own", "set").repartition(parts, "hub", "i", "j").sortWithinPartitions("hub", "i", "j")
+
+    def compare(group: list[tuple]) -> pa.RecordBatch:
+        sides = [[r for r in group if r[3] == group[0][s]] for s in (1, 2)]
+        values = [[np.frombuffer(r[6], np.uint64) for r in side] for side in sides]
+        if not (sides[0] and sides[1]):
+            return pa.RecordBatch.from_pydict({"a": [], "b": []}, schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
+        size = [np.array([len(v) for v in x]) for x in values]
+        name, own_ = ([np.array([r[c] for r in side]) for side in sides] for c in (4, 5))
+        ok = np.zeros((len(sides[0]), len(sides[1])), bool)
+        for at in range(0, len(sides[0]), 512):
+            both = overlaps(values[0][at : at + 512], values[1])
+            ok[at : at + 512] = 100 * both >= percent * (size[0][at : at + 512, None] + size[1] - both)
+        x, y = np.nonzero(ok & (own_[0][:, None] != own_[1]))
+        return pa.RecordBatch.from_arrays([pa.array(name[0][x]), pa.array(name[1][y])], ["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group: list[tuple] = []
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                if group and group[0][:3] != row[:3]:
+                    yield compare(group)
+                    group = []
+                group.append(row)
+        if group:
+            yield compare(group)
+
+    return dealt.mapInArrow(run, "a long, b long")
