@@ -82,7 +82,7 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     first = simhash.simhash(docs).withColumn("n", F.coalesce(F.length("text"), F.lit(0)).cast("long"))
-    edited = simhash.with_next(first, "doc_id", "text", ["hi", "lo", "n"], simhash.swap_tail)
+    edited = simhash.with_next(first, "doc_id", "text", ["hi", "lo", "n"], simhash.swap_tail, docs)
     both = simhash.simhash(edited, "made", "e_hi", "e_lo").withColumn("edited_sha256", F.sha2("made", 256)).drop("made", "next_n")
     both = keep(both, "simhash")
     near = simhash.within(both, both.where(F.col("doc_id") % 100 == 0))

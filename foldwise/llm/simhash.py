@@ -79,7 +79,7 @@ def likeness(d: Column) -> Column:
     return F.greatest(F.lit(0.0), F.cos(d * F.lit(math.pi / BITS)))
 
 
-def with_next(docs: DataFrame, order: str, text: str, carry: list[str], make) -> DataFrame:
+def with_next(docs: DataFrame, order: str, text: str, carry: list[str], make, keys: DataFrame | None = None) -> DataFrame:
     """Hands each row and the row after it in ascending ``order`` (after the last: the first) to
     ``make(texts, next_texts) -> texts``; gives ``order``, ``carry``, ``next_``-prefixed ``carry`` and
     the made text as ``made``.
@@ -88,19 +88,21 @@ def with_next(docs: DataFrame, order: str, text: str, carry: list[str], make) ->
     row of each range also goes to the end of the range before, so no range needs another one.  The
     driver sees the bounds and first keys of the ranges only.  Rows of equal ``order`` come by hash of
     their text; null ``order`` comes first.  A single row follows itself.
+    ``keys``: the same rows before ``carry`` was computed, if that is costly; the ranges are laid out by them.
     """
     spark = docs.sparkSession
     ensure_checkpoint_dir(spark)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keyed = docs.select(order, text, *carry, F.xxhash64(F.coalesce(text, F.lit(""))).alias("_tie"))
-    bounds = docs.select(F.percentile_approx(order, F.array([F.lit(i / n) for i in range(1, n)]), 10000) if n > 1 else F.lit(None)).first()[0] or []
+    tie = F.xxhash64(F.coalesce(text, F.lit(""))).alias("_tie")
+    keyed, plain = docs.select(order, text, *carry, tie), (docs if keys is None else keys).select(order, tie)
+    bounds = plain.select(F.percentile_approx(order, F.array([F.lit(i / n) for i in range(1, n)]), 10000) if n > 1 else F.lit(None)).first()[0] or []
     bounds = sorted(set(bounds))
     rank = F.lit(0)
     if bounds:
         rank = F.coalesce(F.size(F.filter(F.array([F.lit(b) for b in bounds]), lambda b: b < F.col(order))), F.lit(0))
         rank = F.when(F.col(order).isNull(), F.lit(0)).otherwise(rank)
-    keyed = keyed.withColumn("_range", rank)
-    firsts = sorted(keyed.groupBy("_range").agg(F.min(F.struct(F.col(order).isNotNull().alias("a"), F.col(order).alias("b"), F.col("_tie").alias("c"))).alias("f")).collect())
+    keyed, plain = keyed.withColumn("_range", rank), plain.withColumn("_range", rank)
+    firsts = sorted(plain.groupBy("_range").agg(F.min(F.struct(F.col(order).isNotNull().alias("a"), F.col(order).alias("b"), F.col("_tie").alias("c"))).alias("f")).collect())
     if not firsts:
         firsts = [(0, (True, None, 0))]
     moved = None
