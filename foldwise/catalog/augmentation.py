@@ -30,7 +30,7 @@ def a1_agreement_pseudo_labels(spark, sf_dir):
 
 
 def _u_sql(text: str) -> str:
-    return f"(cast(('0x'||substr(md5({text}),1,6)) as bigint)/16777216.0)"
+    return f"(cast(('0x'||substr(md5({text}),1,13)) as bigint)/4503599627370496.0)"
 
 
 def _mix_sql(n_aug: int = 100, alpha: float = 0.2, seed: int = 42) -> str:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from foldwise.catalog import sql as S
@@ -20,8 +22,10 @@ def _sides(spark, sf_dir):
 
 
 def _kolmogorov_sql(lam: str) -> str:
-    terms = " + ".join(f"({(-1) ** (k - 1)}) * exp({-2.0 * k * k} * ({lam}) * ({lam}))" for k in range(1, 101))
-    return f"(case when ({lam}) <= 0 then 1.0 else greatest(0.0, least(1.0, 2.0 * ({terms}))) end)"
+    # another way than the operator's: the dual series alone for moderate λ, the leading term beyond
+    near = " + ".join(f"exp({-((2 * k - 1) ** 2) * math.pi ** 2 / 8!r} / (l * l))" for k in range(1, 60))
+    tail = f"(case when l <= 0 then 1.0 when l < 6 then greatest(0.0, least(1.0, 1.0 - {math.sqrt(2 * math.pi)!r} / l * ({near}))) else 2.0 * exp(-2.0 * l * l) end)"
+    return f"list_transform([{lam}], lambda l: {tail})[1]"
 
 
 def _ks_sql() -> str:

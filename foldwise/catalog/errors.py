@@ -32,8 +32,8 @@ def _corr(spark, sf_dir):
     return R.correctness(sc, holdout_labels(spark, sf_dir), label="survived")
 
 
-def _records(spark, sf_dir):
-    return R.per_record(_corr(spark, sf_dir))
+def _records(spark, sf_dir, models=MODELS):
+    return R.per_record(_corr(spark, sf_dir), models)
 
 
 @register("r1_s8_correctness_matrix", ops=["R1", "S8", "S6"], doubles=["avg_prob"], sql=W(*BASE) + "select rec.id, rec.label, " + ", ".join(
@@ -42,7 +42,7 @@ def _records(spark, sf_dir):
 def r1_s8_correctness_matrix(spark, sf_dir):
     corr = _corr(spark, sf_dir)
     wide = corr.groupBy("id").pivot("model", MODELS).agg(F.first("correct"))
-    rec = R.per_record(corr).select("id", "label", "correct_count", "avg_prob")
+    rec = R.per_record(corr, MODELS).select("id", "label", "correct_count", "avg_prob")
     return rec.join(wide, "id")
 
 
@@ -79,7 +79,7 @@ select rec.id, rec.label, corr.model as winner, rec.avg_prob, holdout.confidence
 from rec join corr on rec.id = corr.id and corr.correct = 1 join holdout on rec.id = holdout.id where rec.correct_count = 1""")
 def r6_single_model_right(spark, sf_dir):
     corr = _corr(spark, sf_dir)
-    one = R.one_correct(R.per_record(corr), corr)
+    one = R.one_correct(R.per_record(corr, MODELS), corr)
     return one.join(holdout_labels(spark, sf_dir).select("id", "confidence"), "id").select(
         "id", "label", "winner", "avg_prob", "confidence")
 
@@ -96,6 +96,12 @@ def r7_complementarity(spark, sf_dir):
     return R.complementarity(R.pattern_counts(_records(spark, sf_dir)), MODELS)
 
 
+@register("r7_complementarity_unsorted_models", ops=["R7"], doubles=["complementarity"], sql=W(*BASE, COMP_SQL) + "select * from comp")
+def r7_complementarity_unsorted_models(spark, sf_dir):
+    models = ["m3", "m1", "m5", "m2", "m4"]
+    return R.complementarity(R.pattern_counts(_records(spark, sf_dir, models)), models)
+
+
 @register("r8_best_partner", ops=["R8"], doubles=["complementarity"], sql=W(*BASE, COMP_SQL) + """
 select a, arg_min(b, (-complementarity, b)) as partner, max(complementarity) as complementarity from comp where a <> b group by a""")
 def r8_best_partner(spark, sf_dir):
@@ -138,7 +144,7 @@ def r11_accuracy_by_confidence(spark, sf_dir):
 group by rec.id, rec.label, rec.correct_count, rec.avg_prob""")
 def r13_hardest30_probabilities(spark, sf_dir):
     corr = _corr(spark, sf_dir)
-    hardest = R.per_record(corr).orderBy("correct_count", "id").limit(30)  # top-k report
+    hardest = R.per_record(corr, MODELS).orderBy("correct_count", "id").limit(30)  # top-k report
     wide = corr.join(hardest.select("id"), "id", "left_semi").groupBy("id").pivot("model", MODELS).agg(F.first("prob"))
     return hardest.select("id", "label", "correct_count", "avg_prob").join(wide, "id")
 

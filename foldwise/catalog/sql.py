@@ -9,7 +9,7 @@ from __future__ import annotations
 
 def u(seed, key: str) -> str:
     """DuckDB twin of ``foldwise.functions.columns.hash_uniform``."""
-    return f"(cast(('0x'||substr(md5(concat('{seed}|',cast({key} as varchar))),1,6)) as bigint)/16777216.0)"
+    return f"(cast(('0x'||substr(md5(concat('{seed}|',cast({key} as varchar))),1,13)) as bigint)/4503599627370496.0)"
 
 
 def h24(seed, key: str) -> str:

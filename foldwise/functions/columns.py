@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# fixed values: 2**24 scales a 6-hex-digit md5 prefix to [0, 1)
-HASH_SCALE = 16777216.0
+# fixed values: 2**52 scales a 13-hex-digit md5 prefix to [0, 1) without rounding
+HASH_SCALE = 4503599627370496.0
 
 
 def col(c) -> Column:
@@ -21,8 +21,9 @@ def hash_int24(seed, key) -> Column:
 
 def hash_uniform(seed, key) -> Column:
     """Deterministic uniform in [0, 1) from md5 — the same number DuckDB computes with
-    ``cast(('0x'||substr(md5(concat('seed|', cast(key as varchar))),1,6)) as bigint)/16777216.0``."""
-    return hash_int24(seed, key) / F.lit(HASH_SCALE)
+    ``cast(('0x'||substr(md5(concat('seed|', cast(key as varchar))),1,13)) as bigint)/4503599627370496.0``."""
+    text = F.concat(F.lit(f"{seed}|"), col(key).cast("string"))
+    return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("long") / F.lit(HASH_SCALE)
 
 
 def clip(c, lo: float, hi: float) -> Column:

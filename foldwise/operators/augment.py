@@ -35,12 +35,15 @@ def pseudo_labels(scores: DataFrame, thresholds: Sequence[float], id_col: str =
 def _u(*parts) -> Column:
     """Hash uniform of a composite key built from literals and columns."""
     text = F.concat_ws("|", *[p.cast("string") if isinstance(p, Column) else F.lit(str(p)) for p in parts])
-    return F.conv(F.substring(F.md5(text), 1, 6), 16, 10).cast("long") / F.lit(HASH_SCALE)
+    return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("long") / F.lit(HASH_SCALE)
 
 
 def johnk_beta(alpha: float, *key) -> Column:
     """Beta(α, α) draw by Jöhnk's method from hash uniforms: the first of ``JOHNK_TRIES`` tries
-    with X + Y ≤ 1 (X = U^(1/α), Y = V^(1/α)) gives X / (X + Y); none accepted → 0.5."""
+    with X + Y ≤ 1 (X = U^(1/α), Y = V^(1/α)) gives X / (X + Y). At most every second try fails for
+    α ≤ 1, so that none is accepted (→ 0.5) has a chance below 2^-64; a larger α is refused."""
+    if not 0.0 < alpha <= 1.0:
+        raise ValueError(f"alpha must lie in (0, 1], not {alpha}: Jöhnk's method accepts too few tries beyond")
     tries = F.transform(F.sequence(F.lit(0), F.lit(JOHNK_TRIES - 1)), lambda t: F.struct(
         F.pow(_u(*key, t, "u"), F.lit(1.0 / alpha)).alias("x"),
         F.pow(_u(*key, t, "v"), F.lit(1.0 / alpha)).alias("y")))

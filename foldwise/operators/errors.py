@@ -43,10 +43,11 @@ def accuracy_by_model(corr: DataFrame) -> DataFrame:
         F.sum(((F.col("pred") == 0) & (F.col("label") == 1)).cast("long")).alias("fn"))
 
 
-def per_record(corr: DataFrame) -> DataFrame:
-    """Per record: label, number of models right, mean probability, correctness pattern."""
-    pat = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("model", "correct"))),
-                                   lambda s: s["correct"].cast("string")), "")
+def per_record(corr: DataFrame, models: Sequence[str]) -> DataFrame:
+    """Per record: label, number of models right, mean probability, correctness pattern: one character
+    for each of ``models`` in their order, 1 right, 0 wrong, - without a score."""
+    pat = F.concat(*[F.coalesce(F.max(F.when(F.col("model") == m, F.col("correct"))).cast("string"), F.lit("-"))
+                     for m in models])
     return corr.groupBy("id").agg(
         F.first("label").alias("label"), F.sum("correct").cast("int").alias("correct_count"),
         F.avg("prob").alias("avg_prob"), pat.alias("pattern"))
@@ -85,13 +86,14 @@ def _with_pairs(patterns: DataFrame, models: Sequence[str], ordered: bool) -> Da
 
 
 def complementarity(patterns: DataFrame, models: Sequence[str]) -> DataFrame:
-    """P(B right | A wrong) for every ordered pair; 1 when A makes no error; 0 on the diagonal."""
+    """P(B right | A wrong) for every ordered pair, over records that both score; 1 when A makes no
+    error; 0 on the diagonal. ``models`` is the list that the patterns were made with."""
     spark = patterns.sparkSession
     j = _with_pairs(patterns, models, True)
     ca = F.substring(F.col("pattern"), F.col("ia") + 1, 1)
     cb = F.substring(F.col("pattern"), F.col("ib") + 1, 1)
     agg = j.groupBy("a", "b").agg(
-        F.sum(F.when(ca == "0", F.col("records")).otherwise(0)).alias("a_wrong"),
+        F.sum(F.when((ca == "0") & (cb != "-"), F.col("records")).otherwise(0)).alias("a_wrong"),
         F.sum(F.when((ca == "0") & (cb == "1"), F.col("records")).otherwise(0)).alias("b_rescues"))
     off = agg.select("a", "b", F.when(F.col("a_wrong") == 0, F.lit(1.0))
                      .otherwise(F.col("b_rescues") / F.col("a_wrong")).alias("complementarity"))
@@ -113,8 +115,10 @@ def pairwise_or(patterns: DataFrame, models: Sequence[str]) -> DataFrame:
     j = _with_pairs(patterns, models, False)
     either = (F.substring(F.col("pattern"), F.col("ia") + 1, 1) == "1") | \
              (F.substring(F.col("pattern"), F.col("ib") + 1, 1) == "1")
+    scored = either | (F.substring(F.col("pattern"), F.col("ia") + 1, 1) == "0") | \
+             (F.substring(F.col("pattern"), F.col("ib") + 1, 1) == "0")
     return j.groupBy("a", "b").agg(
-        (F.sum(F.when(either, F.col("records")).otherwise(0)) / F.sum("records")).alias("or_accuracy"))
+        (F.sum(F.when(either, F.col("records")).otherwise(0)) / F.sum(F.when(scored, F.col("records")))).alias("or_accuracy"))
 
 
 def wrong_models(pattern_col: str, models: Sequence[str]):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foldwise.functions.columns import hash_uniform
+from foldwise.functions.columns import HASH_SCALE, hash_uniform
 from foldwise.plans.ordered import bucket_count, running_sum
 
 
@@ -34,7 +34,7 @@ def assign_repeated_folds(df: DataFrame, seeds, label: str = "label", id_col: st
     u = "_fw_u"
     rep = df.withColumn("seed", F.explode(F.array(*[F.lit(int(s)) for s in seeds])))
     text = F.concat(F.col("seed").cast("string"), F.lit("|"), F.col(id_col).cast("string"))
-    rep = rep.withColumn(u, F.conv(F.substring(F.md5(text), 1, 6), 16, 10).cast("long") / F.lit(16777216.0))
+    rep = rep.withColumn(u, F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("long") / F.lit(HASH_SCALE))
     rep = rep.withColumn("_fw_one", F.lit(1))
     bucket = F.least(F.floor(F.col(u) * b), F.lit(b - 1)).cast("int")
     numbered = running_sum(rep, ["seed", label], [u, id_col], ["_fw_one"], bucket=bucket, groups_bounded=True)

@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from foldwise.functions.columns import HASH_SCALE
+
 from foldwise.operators.metrics import auc
 from foldwise.operators.models import assembler, positive_probability
 from foldwise.plans.ordered import running_sum
@@ -23,7 +25,7 @@ STRONG, WEAK = 0.01, 0.001
 
 def _positions(df: DataFrame, group_cols: Sequence[str], key, out: str, n_buckets: int = 64) -> DataFrame:
     """0-based position of each row inside its group when ordered by an md5 uniform of ``key``."""
-    u = F.conv(F.substring(F.md5(key), 1, 6), 16, 10).cast("long") / F.lit(16777216.0)
+    u = F.conv(F.substring(F.md5(key), 1, 13), 16, 10).cast("long") / F.lit(HASH_SCALE)
     d = df.withColumn("_pu", u).withColumn("_one", F.lit(1))
     bucket = F.least(F.floor(F.col("_pu") * n_buckets), F.lit(n_buckets - 1)).cast("int")
     r = running_sum(d, list(group_cols), ["_pu", "id"], ["_one"], bucket=bucket, groups_bounded=True)

@@ -14,6 +14,7 @@ through :func:`running_sum`, which first measures the largest group (one small j
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -33,13 +34,14 @@ def window_max_rows(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get(_WINDOW_KEY, str(DEFAULT_WINDOW_MAX_ROWS)))
 
 
-def bucket_count(df: DataFrame) -> int:
-    """Buckets per running sum: twice the shuffle parallelism, at least 64, at most 256."""
+def bucket_count(df: DataFrame, largest: int = 0) -> int:
+    """Buckets per running sum: twice the shuffle parallelism between 64 and 256, and beyond that as many
+    as keep the largest group's buckets at half of ``foldwise.window.maxGroupRows`` rows."""
     try:
         parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
     except ValueError:
         parts = 8
-    return max(DEFAULT_BUCKETS, min(MAX_TREE_BUCKETS, 2 * parts))
+    return max(DEFAULT_BUCKETS, min(MAX_TREE_BUCKETS, 2 * parts), math.ceil(2 * largest / window_max_rows(df)))
 
 
 def bucket_of(value: str, bounds: Sequence[float]) -> Column:
@@ -103,7 +105,8 @@ def running_sum(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[s
         if small_groups is None:
             small_groups = largest <= window_max_rows(df)
         if groups_bounded is None:
-            groups_bounded = n_groups * ((n_buckets or bucket_count(df)) + 1) <= max_broadcast_rows(df)
+            n_buckets = n_buckets or bucket_count(df, largest)
+            groups_bounded = n_groups * (n_buckets + 1) <= max_broadcast_rows(df)
 
     if small_groups:
         w = (Window.partitionBy(*group_cols).orderBy(*order_cols)

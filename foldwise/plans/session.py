@@ -43,6 +43,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get(CHECKPOINT_KEY, None) or sc.getConf().get(CHECKPOINT_KEY, None)
     if not configured:
+        if not sc.master.startswith("local"):  # a cluster: no folder of one machine is shared
+            raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="foldwise-ckpt-", dir="/tmp")
         spark.conf.set(CHECKPOINT_KEY, configured)
     sc.setCheckpointDir(configured)

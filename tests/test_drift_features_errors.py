@@ -43,7 +43,22 @@ def test_one_hot_null_is_all_zero(spark):
 
 def test_complementarity_model_without_errors(spark):
     corr = spark.createDataFrame([(1, "m1", 1), (1, "m2", 0), (2, "m1", 1), (2, "m2", 1)], "id long, model string, correct int")
-    rec = corr.groupBy("id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("model", "correct"))),
-                                                          lambda s: s["correct"].cast("string")), "").alias("pattern"))
+    rec = R.per_record(corr.withColumn("label", F.lit(1)).withColumn("prob", F.lit(0.5)), ["m1", "m2"])
     comp = {(r["a"], r["b"]): r["complementarity"] for r in R.complementarity(R.pattern_counts(rec), ["m1", "m2"]).collect()}
     assert comp[("m1", "m2")] == 1.0 and comp[("m2", "m1")] == 1.0 and comp[("m1", "m1")] == 0.0
+
+
+def test_patterns_follow_the_given_model_order_and_mark_missing_scores(spark):
+    right = {"rf": [0, 0, 1, 1], "lr": [1, 0, 0, 1], "xgb": [1, None, 0, 0]}
+    rows = [(i, m, 1, 0.5, c) for m, cs in right.items() for i, c in enumerate(cs) if c is not None]
+    corr = spark.createDataFrame(rows, "id long, model string, label int, prob double, correct int")
+    models = ["rf", "lr", "xgb"]
+    rec = R.per_record(corr, models)
+    assert {r.id: r.pattern for r in rec.collect()} == {0: "011", 1: "00-", 2: "100", 3: "110"}
+    pat = R.pattern_counts(rec)
+    comp = {(r.a, r.b): r.complementarity for r in R.complementarity(pat, models).collect()}
+    assert comp["rf", "lr"] == 0.5 and comp["rf", "xgb"] == 1.0 and comp["lr", "rf"] == 0.5 and comp["xgb", "rf"] == 1.0 and comp["xgb", "lr"] == 0.5
+    wrong = {r.pattern: r.w for r in pat.select("pattern", R.wrong_models("pattern", models).alias("w")).collect()}
+    assert wrong["00-"] == ["rf", "lr"] and wrong["100"] == ["lr", "xgb"]
+    either = {(r.a, r.b): r.or_accuracy for r in R.pairwise_or(pat, models).collect()}
+    assert either["rf", "lr"] == 0.75
