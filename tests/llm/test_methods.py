@@ -300,3 +300,8 @@ def test_folds(spark):
 
     rows = spark.range(-20, 200).select(F.col("id"), held_out("id").alias("h")).collect()
     assert all(r.h == (zlib.crc32(str(r.id).encode()) % 5 == 0) for r in rows)
+
+
+def test_line_shingles_of_scripts_without_blanks(spark):
+    rows = spark.createDataFrame([("ab cde",), ("é ab",), ("漢字 ab",), ("x",)], "s string").select(linededup.shingles(F.col("s"), 3)).collect()
+    assert [r[0] for r in rows] == [["ab ", "cde"], ["é a", "ab"], ["漢字 ", "字 a", "ab"], ["x"]]
