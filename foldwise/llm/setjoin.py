@@ -192,9 +192,7 @@ def joined(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = WO
     full = keep(_whole_sets(docs, classes, best.select("class").union(best.select("hub")).distinct(), key, text, k), "full")
     links = _checked(best.select(F.col("class").alias("a"), F.col("hub").alias("b")), full, percent)
     groups = components(links, "a", "b").select(F.col("node").alias("class"), "component")
-    inside = _within_hubs(best, groups, full, percent)
-    links = keep(links.unionByName(inside), "links")
-    groups = components(links, "a", "b").select(F.col("node").alias("class"), "component")
+    groups = _with(groups, keep(_within_hubs(best, groups, full, percent), "links"))
 
     # the rest: pairs of one list in different components and under different hubs
     apart = lists.drop("mid").join(groups, "class", "left").withColumn("component", F.coalesce("component", "class")).join(best.select("class", "hub"), "class", "left")
@@ -209,8 +207,9 @@ def joined(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = WO
     rest = left.join(right, "key").where(may & (most * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent))
     rest = keep(rest.select(F.col("class_a").alias("a"), F.col("class_b").alias("b")).distinct(), "pairs")
     wanted = rest.select(F.col("a").alias("class")).union(rest.select("b")).distinct()
-    links = links.unionByName(_checked(rest, _whole_sets(docs, classes, wanted, key, text, k), percent))
-    groups = components(links, "a", "b").select(F.col("node").alias("class"), F.col("component").alias("group"))
+    if not rest.isEmpty():
+        groups = _with(groups, _checked(rest, _whole_sets(docs, classes, wanted, key, text, k), percent))
+    groups = groups.withColumnRenamed("component", "group")
 
     firsts = classes.join(groups, "class", "left").withColumn("group", F.coalesce("group", "class"))
     low = firsts.groupBy("group").agg(F.min("first").alias("component"), F.sum("rows").alias("rows")).where("rows > 1").select("group", "component")
@@ -219,6 +218,14 @@ def joined(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = WO
     return out.select(key, "n", "class", F.coalesce("component", key).alias("component"))
 
 
+def _with(groups: DataFrame, links: DataFrame) -> DataFrame:
+    """Components (class, component) under further links: a component goes in as one link for each class."""
+    if links.isEmpty():
+        return groups
+    links = groups.select(F.col("class").alias("a"), F.col("component").alias("b")).unionByName(links)
+    return components(links, "a", "b").select(F.col("node").alias("class"), "component")
+
+
 def _of_classes(docs: DataFrame, classes: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:
     """The documents that stand for the wanted classes."""
     ids = keep(classes.join(wanted, "class", "left_semi").select(F.col("first").alias(key)).distinct(), "wanted")
