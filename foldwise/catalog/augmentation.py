@@ -99,9 +99,8 @@ def a5_mixup_sweep_cv(spark, sf_dir):
     fm = preset("minimal", levels=CATS, classes=GRPS).fit(tr, "fold", K)
     fit_rows, val_rows = CV.cv_matrices(tr, fm, K)
     cols = ["x2", "c1", "c2", "grp", "flag"]
-    n = tr.count()
     rows = []
-    base = CV.oof_scores(fit_rows, val_rows, cols, {"base": _lr(1.0)}, K, n)
+    base = CV.oof_scores(fit_rows, val_rows, cols, {"base": _lr(1.0)}, K)
     rows.append(auc(base, "label", "prob").select(F.lit(0).alias("n_aug"), F.lit(0.0).alias("alpha"), "auc"))
     for n_aug in (50, 100):
         for alpha in (0.2, 0.4):
@@ -109,7 +108,7 @@ def a5_mixup_sweep_cv(spark, sf_dir):
             extra = A.mixup(fit_rows, cols, "label", "id", n_aug, alpha, SEED, group_cols=["eval_fold"])
             extra = extra.withColumn("id", -F.col("draw") - 1)
             fr = fit_rows.select("id", "eval_fold", "label", *cols).unionByName(extra.select("id", "eval_fold", "label", *cols))
-            sc = CV.oof_scores(fr, val_rows, cols, {"mix": _lr(1.0)}, K, n)
+            sc = CV.oof_scores(fr, val_rows, cols, {"mix": _lr(1.0)}, K)
             rows.append(auc(sc, "label", "prob").select(F.lit(n_aug).alias("n_aug"), F.lit(alpha).alias("alpha"), "auc"))
     out = rows[0]
     for r in rows[1:]:

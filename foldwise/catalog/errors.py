@@ -211,10 +211,10 @@ def r16_hard_vs_easy_positives(spark, sf_dir):
 
 
 @register("r17_hard_case_title_deck", ops=["R17", "J5", "P17"], sql=W(*HARD_OBS, *ENRICH_SQL[2:]) + """
-select title, deck, count(*) as n, count(distinct ticket_group_size) as group_sizes
+select title, deck, count(*) as n, count(distinct ticket) as tickets
 from e where matched = 1 and id in (select id from hard) group by title, deck""")
 def r17_hard_case_title_deck(spark, sf_dir):
     h = _hard_obs(spark, sf_dir).select("id", *ENRICH_KEYS, "x2")
-    e = J.enrich(h, registry(spark, sf_dir), ENRICH_KEYS, "x2").where(F.col("matched") == 1)
+    e = J.enrich(h, registry(spark, sf_dir), ENRICH_KEYS, "x2", also=["ticket"]).where(F.col("matched") == 1)
     return e.groupBy("title", "deck").agg(F.count(F.lit(1)).alias("n"),
-                                          F.count_distinct("ticket_group_size").alias("group_sizes"))
+                                          F.count_distinct("ticket").alias("tickets"))

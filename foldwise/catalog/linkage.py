@@ -93,10 +93,10 @@ ENRICH_SQL = [
     "tk as (select ticket, count(*) as tgs from reg group by ticket)",
     f"""r as (select grp, flag, c1, c2, coalesce(cast(floor(x2 * 10 + 0.5) as bigint), -1) as fk, ext_row,
   coalesce(nullif(regexp_extract(name, '{TITLE_RE}', 1), ''), 'Unknown') as title,
-  coalesce(substr(cabin, 1, 1), 'Unknown') as deck, coalesce(tgs, 1) as tgs from reg left join tk using (ticket))""",
-    "f as (select grp, flag, c1, c2, fk, arg_min(title, ext_row) as title, arg_min(deck, ext_row) as deck, arg_min(tgs, ext_row) as tgs from r group by grp, flag, c1, c2, fk)",
+  coalesce(substr(cabin, 1, 1), 'Unknown') as deck, coalesce(tgs, 1) as tgs, ticket from reg left join tk using (ticket))""",
+    "f as (select grp, flag, c1, c2, fk, arg_min(title, ext_row) as title, arg_min(deck, ext_row) as deck, arg_min(tgs, ext_row) as tgs, arg_min(ticket, ext_row) as ticket from r group by grp, flag, c1, c2, fk)",
     """e as (select obs.id, coalesce(f.title, 'Unknown') as title, coalesce(f.deck, 'Unknown') as deck,
-  cast(coalesce(f.tgs, 1) as bigint) as ticket_group_size, case when f.title is null then 0 else 1 end as matched
+  cast(coalesce(f.tgs, 1) as bigint) as ticket_group_size, case when f.title is null then 0 else 1 end as matched, f.ticket
   from obs left join f on obs.grp = f.grp and obs.flag = f.flag and obs.c1 = f.c1 and obs.c2 = f.c2
    and coalesce(cast(floor(obs.x2 * 10 + 0.5) as bigint), -1) = f.fk)""",
 ]

@@ -114,11 +114,13 @@ def x14_nested_cv_meta_learner(spark, sf_dir):
     return CV.nested_meta_cv(w, list(PSEUDO_MODELS), [0.1, 1.0], "fold", "inner", K, max_iter=LR_ITERS)
 
 
-def _meta_cv(w, cols, C, fold_col, n):
+def _meta_cv(w, cols, C, fold_col):
     asm = M.assembler(cols)
     data = asm.transform(w)
+    sizes = CV.fold_sizes(w, fold_col)
     preds = []
     for f in range(K):
+        n = sum(sizes.values()) - sizes.get(f, 0)
         m = M.logistic(C, n, max_iter=LR_ITERS).fit(data.where(F.col(fold_col) != f))
         preds.append(M.positive_probability(m.transform(data.where(F.col(fold_col) == f))).select("id", "label", "prob"))
     out = preds[0]
@@ -136,14 +138,13 @@ def n7_n8_stacking_grid(spark, sf_dir):
     folds = assign_repeated_folds(w.select("id", "label"), seeds, "label", "id", k=K, out="meta_fold").select(
         "id", "seed", "meta_fold")
     data = persisted(w.join(folds, "id"))
-    n = w.count()
     rows = []
     for passthrough in (False, True):
         cols = list(PSEUDO_MODELS) + (["x2", "flag", "grp"] if passthrough else [])
         for C in (0.1, 1.0):
             aucs = []
             for s in seeds:
-                oof = _meta_cv(data.where(F.col("seed") == s), cols, C, "meta_fold", n)
+                oof = _meta_cv(data.where(F.col("seed") == s), cols, C, "meta_fold")
                 aucs.append(auc(oof, "label", "prob").first()["auc"])
             rows.append((passthrough, C, float(sum(aucs) / len(aucs))))
     return spark.createDataFrame(rows, "passthrough boolean, C double, auc double")
@@ -166,9 +167,10 @@ def n9_final_stacking_weights(spark, sf_dir):
 
 @register("n11_probability_calibration", ops=["N11", "X5", "X4"])
 def n11_probability_calibration(spark, sf_dir):
-    """Per model: sigmoid (Platt) and isotonic calibration, inner cv = 3 — each calibrator is fitted
-    on one third of the rows' scores and the three calibrated outputs are averaged; Brier and AUC
-    per method, best method per model by Brier."""
+    """Per model: sigmoid (Platt) and isotonic calibration, cv = 3 — each calibrator is fitted on one
+    third of the rows' scores, and a row's output is the average of the calibrators of the other two
+    thirds, so no row is scored by a calibrator that saw it; Brier and AUC per method, best method per
+    model by AUC (on ties none, then the alphabet)."""
     w = _oof_wide(spark, sf_dir)
     thirds = assign_folds(w.select("id", "label"), "label", "id", k=3, seed=11, out="third").select("id", "third")
     data = persisted(w.join(thirds, "id"))
@@ -180,15 +182,14 @@ def n11_probability_calibration(spark, sf_dir):
         for t in range(3):
             fitd = d.where(F.col("third") == t)
             platt = LogisticRegression(featuresCol="f", labelCol="label", regParam=0.0).fit(M.assembler(["s"], "f").transform(fitd))
-            ps = M.positive_probability(platt.transform(M.assembler(["s"], "f").transform(d))).select("id", F.col("prob").alias(f"p{t}"))
+            ps = M.positive_probability(platt.transform(M.assembler(["s"], "f").transform(d.where(F.col("third") != t)))).select("id", "prob")
             iso = IsotonicRegression(featuresCol="f", labelCol="label").fit(M.assembler(["s"], "f").transform(fitd))
-            pi = iso.transform(M.assembler(["s"], "f").transform(d)).select("id", F.col("prediction").alias(f"p{t}"))
+            pi = iso.transform(M.assembler(["s"], "f").transform(d.where(F.col("third") != t))).select("id", F.col("prediction").alias("prob"))
             parts["sigmoid"].append(ps)
             parts["isotonic"].append(pi)
         cal = [raw]
         for meth, ps in parts.items():
-            j = ps[0].join(ps[1], "id").join(ps[2], "id")
-            j = j.select("id", ((F.col("p0") + F.col("p1") + F.col("p2")) / 3.0).alias("prob")).join(d.select("id", "label"), "id")
+            j = ps[0].unionByName(ps[1]).unionByName(ps[2]).groupBy("id").agg(F.avg("prob").alias("prob")).join(d.select("id", "label"), "id")
             cal.append(j.withColumn("method", F.lit(meth)))
         allc = cal[0]
         for c in cal[1:]:
@@ -199,7 +200,7 @@ def n11_probability_calibration(spark, sf_dir):
     for o in out[1:]:
         res = res.unionByName(o)
     from pyspark.sql import Window
-    w_ = Window.partitionBy("model").orderBy("brier", "method")  # 3 rows per model
+    w_ = Window.partitionBy("model").orderBy(F.desc("auc"), F.col("method") != "none", "method")  # 3 rows per model
     return res.withColumn("best", (F.row_number().over(w_) == 1).cast("int"))
 
 
@@ -212,12 +213,11 @@ def n19_model_averaging(spark, sf_dir):
     fm = _features(tr)
     subsets = {"all": None, "base": ["grp", "flag", "x1", "x2"], "family": ["c1", "c2", "family_size", "is_alone"]}
     fit_rows, val_rows = CV.cv_matrices(tr, fm, K)
-    n = tr.count()
     parts = []
     for sname, wanted in subsets.items():
         cols = [c for c in fm.columns if wanted is None or c in wanted]
         models = {f"{sname}_C{C}": _lr(C) for C in (0.1, 1.0)}
-        parts.append(CV.oof_scores(fit_rows, val_rows, cols, models, K, n))
+        parts.append(CV.oof_scores(fit_rows, val_rows, cols, models, K))
     scores = parts[0]
     for p in parts[1:]:
         scores = scores.unionByName(p)

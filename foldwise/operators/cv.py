@@ -22,6 +22,11 @@ from foldwise.plans.session import cut_lineage
 Factory = Callable[[int, int], object]  # (n_features, n_rows) -> estimator
 
 
+def fold_sizes(fit_rows: DataFrame, fold_col: str = EVAL) -> dict[int, int]:
+    """Rows of each fold (one count per fold): what ``regParam = 1 / (C · n)`` needs."""
+    return {r[0]: r["count"] for r in fit_rows.groupBy(fold_col).count().collect()}
+
+
 def training_frames(train: DataFrame, fold_col: str, k: int) -> DataFrame:
     """Each training row tagged with every eval fold it trains (fold != f)."""
     return train.withColumn(EVAL, F.explode(F.filter(eval_targets(F.col(fold_col), k), lambda f: f >= 0)))
@@ -41,14 +46,16 @@ def cv_matrices(train: DataFrame, feature_model, k: int, fold_col: str = "fold",
 
 
 def oof_scores(fit_rows: DataFrame, val_rows: DataFrame, cols: Sequence[str], models: Mapping[str, Factory],
-               k: int, n_rows: int, label: str = "label", id_col: str = "id") -> DataFrame:
-    """Fit every learner on each fold's training rows (feature subset ``cols``), score the fold."""
+               k: int, sizes: Mapping[int, int] | None = None, label: str = "label", id_col: str = "id") -> DataFrame:
+    """Fit every learner on each fold's training rows (feature subset ``cols``), score the fold.
+    ``sizes``: training rows of each eval fold, counted unless given."""
+    sizes = fold_sizes(fit_rows) if sizes is None else sizes
     asm = assembler(cols)
     fr, vr = asm.transform(fit_rows), asm.transform(val_rows)
     parts = []
     for name, make in models.items():
         for f in range(k):
-            m = make(len(cols), n_rows).fit(fr.where(F.col(EVAL) == f))
+            m = make(len(cols), sizes.get(f, 0)).fit(fr.where(F.col(EVAL) == f))
             pred = positive_probability(m.transform(vr.where(F.col(EVAL) == f)))
             parts.append(pred.select(id_col, F.lit(name).alias("model"), F.lit(f).alias("fold"), "prob", label))
     out = parts[0]
@@ -63,12 +70,7 @@ def cross_validate_oof(train: DataFrame, models: Mapping[str, Factory], feature_
     """Returns (scores(id, model, fold, prob, label), per-fold metrics)."""
     cols = feature_model.columns
     fit_rows, val_rows = cv_matrices(train, feature_model, k, fold_col, label, id_col, checkpoint)
-    n_rows = train.count()
-    parts = [oof_scores(fit_rows, val_rows, cols, models, k, n_rows, label, id_col)]
-    scores = parts[0]
-    for p in parts[1:]:
-        scores = scores.unionByName(p)
-    scores = persisted(scores)
+    scores = persisted(oof_scores(fit_rows, val_rows, cols, models, k, None, label, id_col))
     metrics = classification_metrics(scores, label, None, "prob", ["model", "fold"]).join(
         auc(scores, label, "prob", ["model", "fold"], groups_bounded=True).select("model", "fold", "auc"), ["model", "fold"])
     return scores, metrics
@@ -100,15 +102,17 @@ def nested_meta_cv(oof_wide: DataFrame, score_cols: Sequence[str], Cs: Sequence[
 
     asm = assembler(score_cols)
     data = persisted(asm.transform(oof_wide))
-    n = oof_wide.count()
+    cells = data.groupBy(outer_col, inner_col).count().collect()  # at most k * k
     rows = []
     for f in range(k):
         outer_tr = data.where(F.col(outer_col) != f)
+        inner_n = {g: sum(r["count"] for r in cells if r[0] != f and r[1] != g) for g in range(k)}
+        n = sum(r["count"] for r in cells if r[0] != f)
         best_c, best_auc = None, -1.0
         for c in Cs:
             preds = []
             for g in range(k):
-                m = logistic(c, n, max_iter=max_iter).fit(outer_tr.where(F.col(inner_col) != g))
+                m = logistic(c, inner_n[g], max_iter=max_iter).fit(outer_tr.where(F.col(inner_col) != g))
                 preds.append(positive_probability(m.transform(outer_tr.where(F.col(inner_col) == g))).select(label, "prob"))
             allp = preds[0]
             for p in preds[1:]:

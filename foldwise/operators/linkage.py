@@ -39,17 +39,18 @@ def left_join_first(df: DataFrame, reg: DataFrame, keys: Sequence[str], order: s
 
 
 def enrich(df: DataFrame, reg: DataFrame, keys: Sequence[str], fare_col: str, order: str = "ext_row",
-           name_col: str = "name", cabin_col: str = "cabin", ticket_col: str = "ticket") -> DataFrame:
+           name_col: str = "name", cabin_col: str = "cabin", ticket_col: str = "ticket", also: Sequence[str] = ()) -> DataFrame:
     """Registry lookup on (keys…, rounded fare). The registry gets title (regex on the name),
     deck (first letter of the cabin) and ticket group size; the first registry row per key wins;
-    unmatched rows get Unknown / Unknown / 1 and ``matched`` = 0."""
+    unmatched rows get Unknown / Unknown / 1 and ``matched`` = 0. ``also``: further registry columns of
+    that row, null where unmatched."""
     tickets = reg.groupBy(ticket_col).agg(F.count(F.lit(1)).alias("_tgs"))
     r = join_on_keys(reg, tickets, [ticket_col], "left")
     r = r.select(*keys, key_of_value(fare_col).alias("_fare_key"), order,
                  F.coalesce(title_of(name_col), F.lit(UNKNOWN)).alias("title"),
                  F.coalesce(first_letter(cabin_col), F.lit(UNKNOWN)).alias("deck"),
-                 F.coalesce(F.col("_tgs"), F.lit(1)).cast("long").alias("ticket_group_size"))
-    first = first_per_key(r, [*keys, "_fare_key"], order, ["title", "deck", "ticket_group_size"])
+                 F.coalesce(F.col("_tgs"), F.lit(1)).cast("long").alias("ticket_group_size"), *also)
+    first = first_per_key(r, [*keys, "_fare_key"], order, ["title", "deck", "ticket_group_size", *also])
     first = first.withColumn("matched", F.lit(1))
     d = df.withColumn("_fare_key", key_of_value(fare_col))
     out = join_on_keys(d, first, [*keys, "_fare_key"], "left")
@@ -58,7 +59,7 @@ def enrich(df: DataFrame, reg: DataFrame, keys: Sequence[str], fare_col: str, or
         F.coalesce("title", F.lit(UNKNOWN)).alias("title"),
         F.coalesce("deck", F.lit(UNKNOWN)).alias("deck"),
         F.coalesce("ticket_group_size", F.lit(1).cast("long")).alias("ticket_group_size"),
-        F.coalesce("matched", F.lit(0)).alias("matched"))
+        F.coalesce("matched", F.lit(0)).alias("matched"), *also)
 
 
 # fixed values: title codes of the registry flags (unknown and every other title → 6) and the

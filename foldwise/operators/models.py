@@ -89,6 +89,8 @@ def factory(name: str, n_features: int, n_rows: int | None = None, label: str =
     if name == "gbt_ordered":
         return gbt(p["n_estimators"], p["learning_rate"], p["max_depth"], p["subsample"], p["seed"], label, weight)
     if name == "mlp":
+        if weight:
+            raise ValueError("the multilayer perceptron takes no row weights")
         return mlp(n_features, p["hidden"], p["max_iter"], p["learning_rate"], p["seed"], label)
     raise KeyError(name)
 
