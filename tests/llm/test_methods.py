@@ -305,3 +305,20 @@ def test_folds(spark):
 def test_line_shingles_of_scripts_without_blanks(spark):
     rows = spark.createDataFrame([("ab cde",), ("é ab",), ("漢字 ab",), ("x",)], "s string").select(linededup.shingles(F.col("s"), 3)).collect()
     assert [r[0] for r in rows] == [["ab ", "cde"], ["é a", "ab"], ["漢字 ", "字 a", "ab"], ["x"]]
+
+
+def test_line_dedup_decides_all_members_of_a_group(spark):
+    """Families of near copies under one template, which share key groups: unlike one another, alike within."""
+    rnd = random.Random(11)
+    words = ["".join(rnd.choice("abcdefghijk") for _ in range(6)) for _ in range(2000)]
+    template, lines = [rnd.choice(words) for _ in range(40)], []
+    for _ in range(120):
+        own = template + [rnd.choice(words) for _ in range(9)]
+        lines += [" ".join(own), " ".join(own[:-1] + [rnd.choice(words)])]
+    docs = spark.createDataFrame([*enumerate(lines)], "doc_id long, text string")
+    each = linededup.occurrences(docs, "doc_id", "text")
+    _, groups = linededup.similar(docs, each)
+    found = dict(groups.collect())
+    ids = [r[0] for r in spark.createDataFrame([*enumerate(lines)], "n long, s string").orderBy("n").select(F.xxhash64("s")).collect()]
+    families = [(found.get(a, a), found.get(b, b)) for a, b in zip(ids[::2], ids[1::2])]
+    assert all(a == b for a, b in families) and len(set(families)) == 120
