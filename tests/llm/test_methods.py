@@ -322,3 +322,14 @@ def test_line_dedup_decides_all_members_of_a_group(spark):
     ids = [r[0] for r in spark.createDataFrame([*enumerate(lines)], "n long, s string").orderBy("n").select(F.xxhash64("s")).collect()]
     families = [(found.get(a, a), found.get(b, b)) for a, b in zip(ids[::2], ids[1::2])]
     assert all(a == b for a, b in families) and len(set(families)) == 120
+
+
+def test_line_dedup_compares_all_characters(spark):
+    lines = ["https://www.example.org/a/long/path-1", "https://www.other.net/zzz", "q" * 10 + "abcdefghijklmnop", "q" * 10 + "ABCDEFGHIJ!LMNOP"]
+    lines += [f"{word}nationalisation{i % 2} of undertakings" for word in ("de", "re") for i in range(2)] + ["x" * 60 + " end", "x" * 60 + " end."]
+    docs = spark.createDataFrame([*enumerate(lines)], "doc_id long, text string")
+    got = {r.doc_id: r.text for r in linededup.dedup(docs).collect()}
+    grams = [{x.lower()[i : i + 10] for i in range(max(1, len(x) - 9))} for x in lines]
+    linked = [(a, b) for a in range(len(lines)) for b in range(a + 1, len(lines)) if len(grams[a] & grams[b]) >= 0.75 * len(grams[a] | grams[b])]
+    want = brute_components(range(len(lines)), linked)
+    assert {i for i, x in got.items() if x} == set(want.values())
