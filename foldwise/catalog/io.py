@@ -80,6 +80,5 @@ def stream_feature_scoring(spark, sf_dir):
     fm = preset("minimal", levels=CATS, classes=GRPS).fit(tr, "fold", K)
     src = _scratch(spark, "stream-src")
     te.select(*[f.name for f in OBS_SCHEMA.fields]).repartition(4).write.mode("overwrite").parquet(src)
-    name = f"fw_stream_{uuid.uuid4().hex[:8]}"
-    out = run_to_table(feature_stream(spark, src, OBS_SCHEMA, fm), name, _scratch(spark, "stream-ckpt"))
+    out = run_to_table(feature_stream(spark, src, OBS_SCHEMA, fm), _scratch(spark, "stream-out"), _scratch(spark, "stream-ckpt"))
     return out

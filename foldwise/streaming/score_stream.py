@@ -22,10 +22,10 @@ def feature_stream(spark: SparkSession, source_dir: str, schema, feature_model,
     return feature_model.transform(rows)
 
 
-def run_to_table(stream: DataFrame, query_name: str, checkpoint_dir: str) -> DataFrame:
-    """Drain everything available into an in-memory table (append mode) and return it as a batch
-    DataFrame; the checkpoint keeps the offsets, so a restart resumes instead of re-reading."""
-    q = (stream.writeStream.format("memory").queryName(query_name).outputMode("append")
+def run_to_table(stream: DataFrame, out_dir: str, checkpoint_dir: str) -> DataFrame:
+    """Drain everything available into Parquet files in ``out_dir`` (append mode) and return them as a
+    batch DataFrame; the checkpoint keeps the offsets, so a restart resumes instead of re-reading."""
+    q = (stream.writeStream.format("parquet").outputMode("append").option("path", out_dir)
          .option("checkpointLocation", checkpoint_dir).trigger(availableNow=True).start())
     q.awaitTermination()
-    return stream.sparkSession.table(query_name)
+    return stream.sparkSession.read.schema(stream.schema).parquet(out_dir)
