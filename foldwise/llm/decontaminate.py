@@ -5,13 +5,13 @@ typed placeholders, all other words into lower case, punctuation goes.  Every ru
 words is hashed; documents' windows are joined with the items' (an item's windows with fewer than
 ``window // 2`` plain words match too much and are left out).  Windows of one document and item that lie
 on the same diagonal belong to one passage.  A document leaks an item if a diagonal holds at least
-``share`` of the item's windows and the slots agree: along the passage, one value of an item's slot always
+``share`` of the item's windows and the slots agree: in the passage's windows, one value of an item's slot always
 meets one value of the document's, and the other way round.  So a question with other numbers or names is
 caught, and a text of the same form whose slots don't correspond is not.
 
 DataFrame functions only.  Null and empty texts and items with fewer than ``window`` template words (or
 without a window that counts) match nothing; repeated rows give repeated results; of several diagonals
-the one with most windows counts, then the earliest.
+whose slots agree the one with most windows counts, then the earliest.
 """
 
 from __future__ import annotations
@@ -66,23 +66,25 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
     row = F.xxhash64(F.col(key).cast("string"), F.col(text)).alias("_row")
     seen = docs.select(row, template(F.col(text)).alias("w")).select("_row", F.posexplode(windows(F.col("w"), window)).alias("q", "h"))
     hits = seen.join(F.broadcast(runs) if n <= BROADCAST_ROWS else runs, "h").select("_row", "item_id", "p", (F.col("q") - F.col("p")).alias("at")).distinct()
-    lines = hits.groupBy("_row", "item_id", "at").agg(F.count("*").alias("windows")).join(totals, "item_id")
-    lines = lines.where(F.col("windows") >= F.col("item_windows") * share)
-    best = Window.partitionBy("_row", "item_id").orderBy(F.desc("windows"), "at")
-    lines = keep(lines.withColumn("_n", F.row_number().over(best)).where("_n = 1").drop("_n"), "passages")
+    lines = hits.groupBy("_row", "item_id", "at").agg(F.count("*").alias("windows"), F.collect_list("p").alias("met")).join(totals, "item_id")
+    lines = keep(lines.where(F.col("windows") >= F.col("item_windows") * share), "passages")
 
     found = lines.select("_row").distinct()
     texts = semi(docs.select(F.col(key), row, F.col(text).alias("_text")), found, ["_row"], found.count())
-    pairs = lines.join(texts, "_row").join(named.groupBy("item_id").agg(F.min("_t").alias("_t")), "item_id")
-    pairs = pairs.select(key, "_row", "item_id", "at", "windows", "item_windows", template(F.col("_text"), True).alias("d"), template(F.col("_t"), True).alias("i"))
+    texts = texts.select(key, "_row", template(F.col("_text"), True).alias("d"))
+    pairs = lines.join(texts, "_row").join(named.groupBy("item_id").agg(F.min("_t").alias("_t")).select("item_id", template(F.col("_t"), True).alias("i")), "item_id")
     # the aligned words; a passage may begin before the document does or end after it
     pairs = pairs.withColumn("from", F.greatest(-F.col("at"), F.lit(0))).withColumn("n", F.least(F.size("i") - F.col("from"), F.size("d") - F.col("at") - F.col("from")))
     both = F.arrays_zip(F.slice("i", F.col("from") + 1, F.col("n")).alias("i"), F.slice("d", F.col("at") + F.col("from") + 1, F.col("n")).alias("d"))
+    # only words of matched windows belong to the passage
+    both = F.filter(both, lambda x, k: F.exists("met", lambda p: (p <= k + F.col("from")) & (k + F.col("from") < p + window)))
     slots = F.array_distinct(F.filter(both, lambda x: x["i"].startswith("<") & (F.substring(x["i"], 1, 2) == F.substring(x["d"], 1, 2))))
     pairs = pairs.withColumn("_slots", slots)
     one_to_one = (F.size(F.array_distinct(F.col("_slots.i"))) == F.size("_slots")) & (F.size(F.array_distinct(F.col("_slots.d"))) == F.size("_slots"))
-    return pairs.where(one_to_one).select(key, "_row", "item_id", "at", "windows", "item_windows", F.size("_slots").alias("slots"),
-                                          F.size(F.filter("_slots", lambda x: x["i"] != x["d"])).alias("changed"))
+    passed = pairs.where(one_to_one).select(key, "_row", "item_id", "at", "windows", "item_windows", F.size("_slots").alias("slots"),
+                                            F.size(F.filter("_slots", lambda x: x["i"] != x["d"])).alias("changed"))
+    best = Window.partitionBy("_row", "item_id").orderBy(F.desc("windows"), "at")
+    return passed.withColumn("_n", F.rank().over(best)).where("_n = 1").drop("_n")  # rank: repeated rows are equals
 
 
 def clean(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:

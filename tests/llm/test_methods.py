@@ -333,3 +333,12 @@ def test_line_dedup_compares_all_characters(spark):
     linked = [(a, b) for a in range(len(lines)) for b in range(a + 1, len(lines)) if len(grams[a] & grams[b]) >= 0.75 * len(grams[a] | grams[b])]
     want = brute_components(range(len(lines)), linked)
     assert {i for i, x in got.items() if x} == set(want.values())
+
+
+def test_decontamination_slots_of_the_passage_and_of_every_diagonal(spark):
+    item = "A train leaves Paris and travels 120 km in 2 hours while another train leaves Lyon and travels 90 km in 3 hours so how far apart are the two trains from Paris"
+    tail = item.replace("so how far apart are the two trains from Paris", "then we all went home and nobody saw from Rome")
+    broken = item.replace("from Paris", "from Rome")
+    docs = spark.createDataFrame([(1, tail), (2, f"{broken}. {item}"), (2, f"{broken}. {item}"), (3, broken)], "doc_id long, text string")
+    got = [(r.doc_id, r.at > 0) for r in decontaminate.leaks(docs, spark.createDataFrame([(9, item)], "item_id long, text string")).collect()]
+    assert sorted(got) == [(1, False), (2, True), (2, True)]
