@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foldwise.llm import bpe, decontaminate, langid, linededup, quality, setjoin, simhash, toxicity, urls, warc
+from foldwise.llm import bpe, collocations, decontaminate, exactdedup, langid, linededup, quality, setjoin, simhash, toxicity, trie, urls, warc
+from foldwise.llm.oracles import COLLOCATIONS, EXACT_DEDUP, PREFIX_TRIE
 from foldwise.llm.tables import held_out, keep, read, shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,3 +106,21 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     fold = held_out("doc_id")
     prototypes = langid.fit(docs.where(~fold).select("text", "lang"))
     return langid.predict(docs.select("doc_id", "text"), prototypes).select("doc_id", fold.alias("held_out"), "lang_pred", "score")
+
+
+@query("op11_collocations", COLLOCATIONS)
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents").select("lang", "text"))
+
+
+@query("op12_exact_dedup", EXACT_DEDUP)
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # half of the documents stand for the corpus so far, the other half arrives
+    old = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    out = exactdedup.dedup(read(spark, sf_dir, "documents"), old)
+    return out.select("doc_id", F.col("keep").alias("keep_id"), "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+@query("op13_prefix_trie", PREFIX_TRIE)
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.trie(trie.rebuilt(read(spark, sf_dir, "conversations")))

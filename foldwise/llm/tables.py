@@ -22,12 +22,45 @@ def shared_folder(spark: SparkSession, what: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{what}-{uuid.uuid4().hex}"
 
 
+#: At most so many keys are hot, each with more than this share of all rows.
+HOT = 1000
+#: Shuffle files of a write go when it has ended; nothing reads them again.
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def keep(df: DataFrame, what: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back: the lineage ends there, and a
-    lost executor costs only the tasks it was running."""
-    path = shared_folder(df.sparkSession, what)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    lost executor costs only the tasks it was running.  ``discard`` deletes the folder again."""
+    spark = df.sparkSession
+    path = shared_folder(spark, what)
+    before = spark.conf.get(_CLEAN, None)
+    spark.conf.set(_CLEAN, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_CLEAN) if before is None else spark.conf.set(_CLEAN, before)
+    kept = spark.read.schema(df.schema).parquet(path)
+    kept._folder = path
+    return kept
+
+
+def discard(*kept: DataFrame) -> None:
+    """Delete folders that ``keep`` wrote and that no later step reads."""
+    for df in kept:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._folder)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def join_hot(big: DataFrame, small: DataFrame, on: str, weight: str) -> DataFrame:
+    """``big`` left join ``small`` (one row a key; ``weight``: the rows of ``big`` it meets, dropped).
+
+    Keys with over 1/``HOT`` of all rows, at most ``HOT`` of them, are broadcast; the rest is shuffled, where
+    no key holds more than that share.  Null keys meet nothing."""
+    total = small.agg(F.sum(weight)).first()[0] or 0
+    hot = F.col(weight) * HOT > total
+    few = F.broadcast(small.where(hot).drop(weight))
+    rest = big.join(few.select(on), on, "left_anti").join(small.where(~hot).drop(weight), on, "left")
+    return big.join(few, on).unionByName(rest)
 
 
 def semi(big: DataFrame, keys: DataFrame, on: list[str], n_keys: int) -> DataFrame:
