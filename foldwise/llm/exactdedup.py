@@ -35,12 +35,12 @@ from foldwise.llm.tables import discard, join_hot, keep
 
 #: Slots of a bucket on average, levels of a hash (what is left then is listed), rows a task combines at once.
 BUCKET, LEVELS, COMBINED = 50_000, 48, 200_000
-_STEP = np.uint64(0x9E3779B97F4A7C15)
+_STEP = 0x9E3779B97F4A7C15
 
 
 def _spots(digests: np.ndarray, level: int, width: int) -> np.ndarray:
     words = digests.view(np.uint64).reshape(-1, 4)
-    h = mix(words[:, 0] + np.uint64(level + 1) * _STEP)
+    h = mix(words[:, 0] + np.uint64((level + 1) * _STEP & (1 << 64) - 1))
     for i in (1, 2, 3):
         h = mix(h ^ words[:, i])
     return (h % np.uint64(width)).astype(np.int64)
@@ -108,7 +108,7 @@ def build(rows: DataFrame, bucket: int = BUCKET) -> DataFrame:
     buckets = max(1, -(-distinct.count() // bucket))
     kind = rows.schema["id"].dataType.simpleString()
 
-    def hashed(_, part: pa.Table) -> pa.Table:
+    def hashed(part: pa.Table) -> pa.Table:
         known = _matrix(part["digest"])
         made = PerfectHash.of(known)
         order = np.argsort(made.slots(known))

@@ -32,13 +32,13 @@ with own as (select conv_id, list(sha256(octet_length(encode(coalesce(role, ''))
 heads as (select *, (xor(list_reduce(list_prepend(4294967295::bigint, list_transform(string_split(conv_id::varchar, ''), lambda x: ascii(x)::bigint)),
   lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda x, i: case when x & 1 = 1 then xor(x >> 1, 3988292384) else x >> 1 end)), 4294967295) % 9)::int h from own),
 rebuilt as (select a.conv_id, coalesce(b.ks, [])[1:a.h] || a.ks[a.h + 1:] ks, coalesce(b.sz, [])[1:a.h] || a.sz[a.h + 1:] sz from heads a left join own b on b.conv_id = a.conv_id - a.conv_id % 5),
-at as materialized (select conv_id, d, array_to_string(ks[1:d], '') p, case when d > 0 then array_to_string(ks[1:d - 1], '') end up, case when d > 0 then sz[d] else 0 end size, len(ks) = d is_end
+spot as materialized (select conv_id, d, array_to_string(ks[1:d], '') p, case when d > 0 then array_to_string(ks[1:d - 1], '') end up, case when d > 0 then sz[d] else 0 end size, len(ks) = d is_end
   from (select *, unnest(range(0, len(ks) + 1)) d from rebuilt)),
 node as materialized (select p, d depth, min(conv_id) conv_id, any_value(up) up, count(*) n_convs, any_value(size) size,
-  sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (is_end), '')) ends_sha256 from at group by p, d),
+  sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (is_end), '')) ends_sha256 from spot group by p, d),
 kids as (select up p, depth - 1 depth, count(*) n_children from node where up is not null group by 1, 2),
 full_ as materialized (select node.*, coalesce(n_children, 0) n_children from node left join kids using (p, depth)),
-under as (select a.p, a.d depth, sum((n_children = 0)::bigint) n_leaves, sum((n_convs - 1) * f.size) saved from full_ f join at a on a.conv_id = f.conv_id and a.d <= f.depth group by 1, 2)
+under as (select a.p, a.d depth, sum((n_children = 0)::bigint) n_leaves, sum((n_convs - 1) * f.size) saved from full_ f join spot a on a.conv_id = f.conv_id and a.d <= f.depth group by 1, 2)
 select f.conv_id, f.depth, u.conv_id parent_conv_id, f.n_convs, f.n_children, n_leaves::bigint n_leaves, saved::bigint saved_tokens, f.ends_sha256
 from full_ f join under using (p, depth) left join node u on u.p = f.up and u.depth = f.depth - 1
 """
