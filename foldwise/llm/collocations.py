@@ -7,11 +7,11 @@ with 0 past the end.  A phrase of k words occurs where a window begins with it,
 rolled up to (lang, w1 ... wk), are the counts of all phrases, and (lang) is the number of words.
 
 A window is padded earlier, where no frequent phrase can reach: from the first word on that is too rare, or
-that makes too rare a pair with the word before; a rare first word pads the whole window, which then counts
-for the number of words alone.  Rare words and pairs are found by two passes whose counts only fill bit
-tables of a fixed size (``BITS``): a table may take a rare word for a frequent one, never the reverse, so it
-saves work and changes no count.  Words go as 64-bit hashes; the first pass sees whether two words of the
-corpus share one, and takes another seed if so.  Windows are counted within tasks, then by ROLLUP.
+ends too rare a run of up to ``RUNS`` words; a rare first word pads the whole window, which then counts for
+the number of words alone.  Rare words and runs are found by passes whose counts only fill bit tables of a
+fixed size (``BITS``): a table may take a rare run for a frequent one, never the reverse, so it saves work
+and changes no count.  Words go as 64-bit hashes; the first pass sees whether two words of the corpus share
+one, and takes another seed if so.  Windows are counted within tasks, then by ROLLUP.
 
 ``phrases`` gives the counts, ``collocations`` the ranked report: of every cut of a phrase the lowest score
 a * n / (l * r); a phrase goes if some longer frequent phrase holds all its occurrences.
@@ -37,8 +37,8 @@ from foldwise.llm.tables import discard, keep
 
 #: Words of the longest phrase, least count, rows of the report for a language.
 ORDER, LEAST, TOP = 5, 100, 2000
-#: Bits of the tables of frequent words and pairs; windows and pairs a task counts before it lets go of them.
-BITS, COUNTED = 1 << 25, 1 << 21
+#: Words of the longest run that is looked up in a table; bits of a table; rows a task counts before it lets go of them.
+RUNS, BITS, COUNTED = 3, 1 << 25, 1 << 20
 CHUNK_BYTES = 1 << 22
 UNKNOWN = "und"
 
@@ -46,7 +46,6 @@ _CLASS = np.arange(256, dtype=np.uint8)
 _CLASS[65:91] += 32
 _CLASS[[ord(c) for c in ".,;:!?\n\v\f\r"]] = 10
 _CLASS[9] = 32
-_W = [f"w{i}" for i in range(1, ORDER + 1)]
 
 
 def tokens(raw: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray]:
@@ -98,6 +97,8 @@ class _Counter:
         self.names, self.held, self.size = names, {}, 0
 
     def add(self, lang: str, columns: list[np.ndarray], n: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+        if not len(columns[0]):
+            return
         self.held.setdefault(lang, []).append(_summed(columns, n))
         self.size += len(self.held[lang][-1][1])
         if self.size >= COUNTED:
@@ -141,22 +142,64 @@ def vocabulary(docs: DataFrame, seed: int, least: int) -> DataFrame:
     """(lang, h, word, last, n, at) of words that occur ``least`` times, and of words that share a hash
     (word <> last).  Kept."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
+        size = 0
+
+        def summed() -> pa.Table:
+            return pa.concat_tables(held).group_by(["lang", "h", "at", "word"]).aggregate([("n", "sum")]).rename_columns(["lang", "h", "at", "word", "n"]).select(["lang", "h", "word", "n", "at"])
+
         for lang, words, _ in _by_lang(batches):
             code, h, known = _hashes(words, seed)
             n = np.bincount(code, minlength=len(h))
-            at = _position(h ^ _salted(lang))
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(h)), pa.array(h.view(np.int64)), known.cast(pa.binary()), pa.array(n), pa.array(at)], ["lang", "h", "word", "n", "at"])
+            held.append(pa.table({"lang": [lang] * len(h), "h": h.view(np.int64), "word": known.cast(pa.binary()), "n": n, "at": _position(h ^ _salted(lang))}))
+            size += len(h)
+            if size >= COUNTED // 2:
+                held = [summed()]
+                size = len(held[0])
+                if size >= COUNTED // 4:
+                    yield from held[0].to_batches(100_000)
+                    held, size = [], 0
+        if held:
+            yield from summed().to_batches(100_000)
 
     counted = docs.mapInArrow(run, "lang string, h long, word binary, n long, at long").groupBy("lang", "h")
     counted = counted.agg(F.min("word").alias("word"), F.max("word").alias("last"), F.sum("n").alias("n"), F.first("at").alias("at"))
     return keep(counted.where((F.col("n") >= least) | (F.col("word") != F.col("last"))), "words")
 
 
+class _Runs:
+    """Which words of a chunk, and runs of 2 to ``len(tables)`` words from each on, the tables know."""
+
+    def __init__(self, lang: str, words: pa.Array, piece: np.ndarray, seed: int, tables: list[np.ndarray]):
+        self.code, self.h, _ = _hashes(words, seed)
+        self.salted = self.h ^ _salted(lang)
+        self.known = _marked(tables[0], _position(self.salted))  # by code
+        single = self.known[self.code]
+        self.same = piece[:-1] == piece[1:]  # as the next word's
+        self.first = mix(self.salted)
+        #: starts of the runs of each length that are known, and the runs' hashes
+        self.starts, self.hashes = [np.flatnonzero(single)], [self.first[self.code[np.flatnonzero(single)]]]
+        for table in tables[1:]:
+            at, run = self.longer()
+            ok = _marked(table, _position(run))
+            self.starts.append(at[ok])
+            self.hashes.append(run[ok])
+
+    def longer(self) -> tuple[np.ndarray, np.ndarray]:
+        """Starts and hashes of the runs, one word longer than the longest looked up, both of whose parts are known."""
+        k, at = len(self.starts), self.starts[-1]
+        known = np.zeros(len(self.code) + 1, bool)
+        known[at] = True
+        ok = known[at + 1] & np.append(self.same, False)[at + k - 1]
+        at, run = at[ok], self.hashes[-1][ok]
+        return at, mix(run + self.h[self.code[at + k]])
+
+
 def phrases(docs: DataFrame, lang: str = "lang", text: str = "text", order: int = ORDER, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
     """(lang, p, f) of all phrases of 1 to ``order`` words that occur ``least`` times, p their word hashes (empty: f
     is the number of all words of lang), and the words (lang, h, word)."""
     docs = docs.select(F.coalesce(F.col(lang), F.lit(UNKNOWN)).alias("lang"), F.col(text).alias("text"))
-    spark, names = docs.sparkSession, _W[:order] if order <= ORDER else [f"w{i}" for i in range(1, order + 1)]
+    spark, names = docs.sparkSession, [f"w{i}" for i in range(1, order + 1)]
     seed = 0
     while True:
         known = vocabulary(docs, seed, least)
@@ -164,42 +207,43 @@ def phrases(docs: DataFrame, lang: str = "lang", text: str = "text", order: int
             break
         discard(known)
         seed += 1
-    frequent = spark.sparkContext.broadcast(_table(known.select("at")))
+    tables = [spark.sparkContext.broadcast(_table(known.select("at")))]
 
-    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = _Counter(["pair"])
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counter = _Counter(["run"])
         for lang_, words, piece in _by_lang(batches):
-            code, h, _ = _hashes(words, seed)
-            ok = _marked(frequent.value, _position(h ^ _salted(lang_)))[code]
-            i = np.flatnonzero(ok[:-1] & ok[1:] & (piece[:-1] == piece[1:]))
-            yield from counter.add("", [_pair(lang_, h, code[i], code[i + 1])])
+            yield from counter.add("", [_Runs(lang_, words, piece, seed, [t.value for t in tables]).longer()[1]])
         yield from counter.flush()
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             yield pa.RecordBatch.from_arrays([pa.array(_position(b.column(0).to_numpy().view(np.uint64)))], ["at"])
 
-    paired = docs.mapInArrow(pairs, "lang string, pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    close = keep(paired.select("pair").mapInArrow(places, "at long"), "pairs")
-    together = spark.sparkContext.broadcast(_table(close))
-    discard(close)
+    while len(tables) < min(RUNS, order):
+        counted = docs.mapInArrow(runs, "lang string, run long, n long").groupBy("run").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+        often = keep(counted.select("run").mapInArrow(places, "at long"), "runs")
+        tables.append(spark.sparkContext.broadcast(_table(often)))
+        discard(often)
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = _Counter(names)
         for lang_, words, piece in _by_lang(batches):
-            code, h, _ = _hashes(words, seed)
-            ok = _marked(frequent.value, _position(h ^ _salted(lang_)))[code]
-            linked = np.zeros(len(code), bool)  # with the next word
-            i = np.flatnonzero(ok[:-1] & ok[1:] & (piece[:-1] == piece[1:]))
-            linked[i] = _marked(together.value, _position(_pair(lang_, h, code[i], code[i + 1])))
-            columns, on, all_ = [np.where(ok, h[code], np.uint64(0))], linked, h[code]
+            found = _Runs(lang_, words, piece, seed, [t.value for t in tables])
+            code, h = found.code, found.h
+            size = np.zeros(len(code) + order, np.int8)  # words of the longest known run from here on
+            for k, at in enumerate(found.starts):
+                size[at] = k + 1
+            alone = np.bincount(code[size[: len(code)] < 2], minlength=len(h))  # windows of one word, by word
+            one = np.where(found.known, h, np.uint64(0))[alone > 0]
+            yield from counter.add(lang_, [one, *[np.zeros(len(one), np.uint64)] * (order - 1)], alone[alone > 0])
+            at = np.flatnonzero(size[: len(code)] > 1)
+            columns, on = [h[code[at]]], np.ones(len(at), bool)
             for j in range(1, order):
-                lead = np.zeros(len(code), np.uint64)
-                k = np.flatnonzero(on)
-                lead[k] = all_[k + j]
+                k = min(j + 1, len(tables))  # the run that ends with word j
+                on = on & (size[at + j + 1 - k] >= k)
+                lead = np.zeros(len(at), np.uint64)
+                lead[on] = h[code[at[on] + j]]
                 columns.append(lead)
-                on = on.copy()
-                on[k] = linked[k + j]
             yield from counter.add(lang_, columns)
         yield from counter.flush()
 
@@ -213,10 +257,6 @@ def phrases(docs: DataFrame, lang: str = "lang", text: str = "text", order: int
     return counts, known.select("lang", "h", "word")
 
 
-def _pair(lang: str, h: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return mix(mix(h ^ _salted(lang))[a] + h[b])
-
-
 def collocations(docs: DataFrame, lang: str = "lang", text: str = "text", order: int = ORDER, least: int = LEAST, top: int = TOP) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): the first ``top`` phrases of each language."""
     counts, words = phrases(docs, lang, text, order, least)

@@ -10,9 +10,13 @@ select doc_id, keep_id, group_size, k = 1 kept, text_sha256 from r
 COLLOCATIONS = r"""
 with p as (select coalesce(lang, 'und') lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) piece from documents),
 w as materialized (select lang, row_number() over () pid, regexp_extract_all(piece, '[^\x20\x09]+') ws from p),
-t as materialized (select lang, ws, unnest(generate_series(1, len(ws))) i from w where len(ws) > 0),
-total as (select lang, count(*) n from t group by lang),
-f as materialized (select lang, k, array_to_string(ws[i:i + k - 1], ' ') phrase, count(*) f, any_value(ws[i:i + k - 1]) x from t, (select unnest(range(1, 6)) k) where i + k - 1 <= len(ws) group by 1, 2, 3 having count(*) >= 100),
+t as (select lang, pid, unnest(ws) w1, generate_subscripts(ws, 1) i from w where len(ws) > 0),
+lead_ as (select lang, w1, lead(w1, 1) over z w2, lead(w1, 2) over z w3, lead(w1, 3) over z w4, lead(w1, 4) over z w5 from t window z as (partition by pid order by i)),
+g as materialized (select lang, w1, w2, w3, w4, w5, count(*) n from lead_ group by all),
+total as (select lang, sum(n) n from g group by lang),
+f as materialized (select lang, len(x) k, array_to_string(x, ' ') phrase, x, sum(n) f from (
+  select lang, [w1] x, n from g union all select lang, [w1, w2], n from g where w2 is not null union all select lang, [w1, w2, w3], n from g where w3 is not null
+  union all select lang, [w1, w2, w3, w4], n from g where w4 is not null union all select lang, [w1, w2, w3, w4, w5], n from g where w5 is not null) group by lang, x having sum(n) >= 100),
 cut as (select c.lang, c.phrase, c.f a, j, l.f l, r.f r, n, ((1000::hugeint * c.f * n) // (l.f::hugeint * r.f)) score
   from f c, (select unnest(range(1, 5)) j), f l, f r, total
   where c.k > 1 and j < c.k and l.lang = c.lang and r.lang = c.lang and total.lang = c.lang and l.k = j and r.k = c.k - j and l.phrase = array_to_string(c.x[1:j], ' ') and r.phrase = array_to_string(c.x[j + 1:], ' ')),
