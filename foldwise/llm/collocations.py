@@ -4,14 +4,14 @@ Spark's ROLLUP sums them to every shorter order.
 A text, A-Z lower-cased, is cut at ``[.,;:!?\\x0A-\\x0D]`` into pieces and these into words ``[^\\x20\\x09]+``.
 At every word stands one window: the word and the ``ORDER - 1`` words that follow it in its piece, padded
 with 0 past the end.  A phrase of k words occurs where a window begins with it, so the counts of windows,
-rolled up to (lang, w1 ... wk), are the counts of all phrases, and (lang) is the number of words.
+rolled up to (lang, w1 ... wk), are the counts of all phrases.
 
 A window is padded earlier, where no frequent phrase can reach: from the first word on that is too rare, or
-ends too rare a run of up to ``RUNS`` words; a rare first word pads the whole window, which then counts for
-the number of words alone.  Rare words and runs are found by passes whose counts only fill bit tables of a
-fixed size (``BITS``): a table may take a rare run for a frequent one, never the reverse, so it saves work
-and changes no count.  Words go as 64-bit hashes; the first pass sees whether two words of the corpus share
-one, and takes another seed if so.  Windows are counted within tasks, then by ROLLUP.
+ends too rare a run of up to ``RUNS`` words; a window of one word isn't counted (the pass over words has
+counted it).  Rare words and runs are found by passes whose counts only fill bit tables of a fixed size
+(``BITS``): a table may take a rare run for a frequent one, never the reverse, so it saves work and changes
+no count.  Words go as 64-bit hashes; the first pass sees whether two words of the corpus share one, and
+takes another seed if so.
 
 ``phrases`` gives the counts, ``collocations`` the ranked report: of every cut of a phrase the lowest score
 a * n / (l * r); a phrase goes if some longer frequent phrase holds all its occurrences.
@@ -38,7 +38,7 @@ from foldwise.llm.tables import discard, keep
 #: Words of the longest phrase, least count, rows of the report for a language.
 ORDER, LEAST, TOP = 5, 100, 2000
 #: Words of the longest run that is looked up in a table; bits of a table; rows a task counts before it lets go of them.
-RUNS, BITS, COUNTED = 3, 1 << 25, 1 << 20
+RUNS, BITS, COUNTED = 2, 1 << 25, 1 << 20
 CHUNK_BYTES = 1 << 22
 UNKNOWN = "und"
 
@@ -82,8 +82,10 @@ def _by_lang(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, pa.Array,
                         yield lang, words, piece
 
 
-def _position(values: np.ndarray) -> np.ndarray:
-    return (mix(values) % np.uint64(BITS)).astype(np.int64)
+def _positions(values: np.ndarray) -> list[np.ndarray]:
+    """Two places of a value in a table."""
+    values = mix(values)
+    return [(values % np.uint64(BITS)).astype(np.int64), (mix(values + np.uint64(1)) % np.uint64(BITS)).astype(np.int64)]
 
 
 def _salted(lang: str) -> np.uint64:
@@ -91,67 +93,58 @@ def _salted(lang: str) -> np.uint64:
 
 
 class _Counter:
-    """Sums of counts by (lang, row of values), given out when it holds ``COUNTED`` rows."""
+    """Counts of 64-bit values, given out when it holds ``COUNTED``."""
 
-    def __init__(self, names: list[str]):
-        self.names, self.held, self.size = names, {}, 0
+    def __init__(self):
+        self.held, self.size = [], 0
 
-    def add(self, lang: str, columns: list[np.ndarray], n: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
-        if not len(columns[0]):
-            return
-        self.held.setdefault(lang, []).append(_summed(columns, n))
-        self.size += len(self.held[lang][-1][1])
+    def add(self, values: np.ndarray) -> Iterator[pa.RecordBatch]:
+        self.held.append(np.unique(values, return_counts=True))
+        self.size += len(self.held[-1][0])
         if self.size >= COUNTED:
             yield from self.flush()
 
     def flush(self) -> Iterator[pa.RecordBatch]:
-        for lang, parts in self.held.items():
-            columns, n = _summed([np.concatenate(c) for c in zip(*(p[0] for p in parts))], np.concatenate([p[1] for p in parts]))
-            arrays = [pa.array([lang]).dictionary_encode().take(pa.array(np.zeros(len(n), np.int32))).cast(pa.string()), *(pa.array(c.view(np.int64)) for c in columns), pa.array(n)]
-            yield from pa.Table.from_arrays(arrays, ["lang", *self.names, "n"]).to_batches(100_000)
-        self.held, self.size = {}, 0
-
-
-def _summed(columns: list[np.ndarray], n: np.ndarray | None) -> tuple[list[np.ndarray], np.ndarray]:
-    """Distinct rows of ``columns`` and the sums of ``n`` (1 if none) over each."""
-    total = np.zeros(len(columns[0]), np.uint64)
-    for c in columns:
-        total = mix(total ^ c) + c
-    _, first, back = np.unique(total, return_index=True, return_inverse=True)
-    if any((c[first][back] != c).any() for c in columns):  # two rows share a hash
-        rows, back = np.unique(np.stack(columns, 1), axis=0, return_inverse=True)
-        columns, first = list(rows.T.copy()), np.arange(len(rows))
-    back, sums = back.reshape(-1), np.zeros(len(first), np.int64)
-    np.add.at(sums, back, 1 if n is None else n)
-    return [c[first] for c in columns], sums
+        if self.held:
+            values, back = np.unique(np.concatenate([v for v, _ in self.held]), return_inverse=True)
+            n = np.bincount(back, np.concatenate([n for _, n in self.held])).astype(np.int64)
+            yield from pa.table({"run": values.view(np.int64), "n": n}).to_batches(100_000)
+        self.held, self.size = [], 0
 
 
 def _table(frequent: DataFrame) -> np.ndarray:
-    """A bit table of ``BITS`` bits from a column of positions: at most BITS / 64 rows reach the driver."""
-    words = frequent.groupBy(F.shiftright("at", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("b")).toArrow()
+    """A bit table of ``BITS`` bits from a column of values: at most BITS / 64 rows reach the driver."""
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(_positions(b.column(0).to_numpy(zero_copy_only=False).view(np.uint64))))], ["at"])
+
+    at = frequent.mapInArrow(places, "at long")
+    words = at.groupBy(F.shiftright("at", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("b")).toArrow()
     table = np.zeros(BITS // 64, np.uint64)
     table[words["w"].to_numpy()] = words["b"].to_numpy().view(np.uint64)
     return table
 
 
-def _marked(table: np.ndarray, at: np.ndarray) -> np.ndarray:
-    return (table[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1
+def _marked(table: np.ndarray, values: np.ndarray) -> np.ndarray:
+    one, two = _positions(values)
+    return (table[one >> 6] >> (one & 63).astype(np.uint64)) & (table[two >> 6] >> (two & 63).astype(np.uint64)) & np.uint64(1) == 1
 
 
 def vocabulary(docs: DataFrame, seed: int, least: int) -> DataFrame:
-    """(lang, h, word, last, n, at) of words that occur ``least`` times, and of words that share a hash
-    (word <> last).  Kept."""
+    """(lang, h, word, last, n, salted) of words that occur ``least`` times, of words that share a hash
+    (word <> last), and with h = 0 of the number of words of each language.  Kept."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.Table] = []
         size = 0
+        names = ["lang", "h", "salted", "word"]
 
         def summed() -> pa.Table:
-            return pa.concat_tables(held).group_by(["lang", "h", "at", "word"]).aggregate([("n", "sum")]).rename_columns(["lang", "h", "at", "word", "n"]).select(["lang", "h", "word", "n", "at"])
+            return pa.concat_tables(held).group_by(names).aggregate([("n", "sum")]).rename_columns([*names, "n"])
 
         for lang, words, _ in _by_lang(batches):
             code, h, known = _hashes(words, seed)
-            n = np.bincount(code, minlength=len(h))
-            held.append(pa.table({"lang": [lang] * len(h), "h": h.view(np.int64), "word": known.cast(pa.binary()), "n": n, "at": _position(h ^ _salted(lang))}))
+            held.append(pa.table({"lang": [lang] * (len(h) + 1), "h": np.append(h, np.uint64(0)).view(np.int64), "salted": np.append(h ^ _salted(lang), np.uint64(0)).view(np.int64),
+                                  "word": pa.concat_arrays([known.cast(pa.binary()), pa.array([b""])]), "n": np.append(np.bincount(code, minlength=len(h)), len(code))}))
             size += len(h)
             if size >= COUNTED // 2:
                 held = [summed()]
@@ -162,9 +155,9 @@ def vocabulary(docs: DataFrame, seed: int, least: int) -> DataFrame:
         if held:
             yield from summed().to_batches(100_000)
 
-    counted = docs.mapInArrow(run, "lang string, h long, word binary, n long, at long").groupBy("lang", "h")
-    counted = counted.agg(F.min("word").alias("word"), F.max("word").alias("last"), F.sum("n").alias("n"), F.first("at").alias("at"))
-    return keep(counted.where((F.col("n") >= least) | (F.col("word") != F.col("last"))), "words")
+    counted = docs.mapInArrow(run, "lang string, h long, salted long, word binary, n long").groupBy("lang", "h")
+    counted = counted.agg(F.min("word").alias("word"), F.max("word").alias("last"), F.sum("n").alias("n"), F.first("salted").alias("salted"))
+    return keep(counted.where((F.col("n") >= least) | (F.col("h") == 0) | (F.col("word") != F.col("last"))), "words")
 
 
 class _Runs:
@@ -173,15 +166,14 @@ class _Runs:
     def __init__(self, lang: str, words: pa.Array, piece: np.ndarray, seed: int, tables: list[np.ndarray]):
         self.code, self.h, _ = _hashes(words, seed)
         self.salted = self.h ^ _salted(lang)
-        self.known = _marked(tables[0], _position(self.salted))  # by code
-        single = self.known[self.code]
+        single = _marked(tables[0], self.salted)[self.code]
         self.same = piece[:-1] == piece[1:]  # as the next word's
         self.first = mix(self.salted)
         #: starts of the runs of each length that are known, and the runs' hashes
         self.starts, self.hashes = [np.flatnonzero(single)], [self.first[self.code[np.flatnonzero(single)]]]
         for table in tables[1:]:
             at, run = self.longer()
-            ok = _marked(table, _position(run))
+            ok = _marked(table, run)
             self.starts.append(at[ok])
             self.hashes.append(run[ok])
 
@@ -207,35 +199,25 @@ def phrases(docs: DataFrame, lang: str = "lang", text: str = "text", order: int
             break
         discard(known)
         seed += 1
-    tables = [spark.sparkContext.broadcast(_table(known.select("at")))]
+    tables = [spark.sparkContext.broadcast(_table(known.where("h <> 0").select("salted")))]
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = _Counter(["run"])
+        counter = _Counter()
         for lang_, words, piece in _by_lang(batches):
-            yield from counter.add("", [_Runs(lang_, words, piece, seed, [t.value for t in tables]).longer()[1]])
+            yield from counter.add(_Runs(lang_, words, piece, seed, [t.value for t in tables]).longer()[1])
         yield from counter.flush()
 
-    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(_position(b.column(0).to_numpy().view(np.uint64)))], ["at"])
-
     while len(tables) < min(RUNS, order):
-        counted = docs.mapInArrow(runs, "lang string, run long, n long").groupBy("run").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-        often = keep(counted.select("run").mapInArrow(places, "at long"), "runs")
-        tables.append(spark.sparkContext.broadcast(_table(often)))
-        discard(often)
+        counted = docs.mapInArrow(runs, "run long, n long").groupBy("run").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+        tables.append(spark.sparkContext.broadcast(_table(counted.select("run"))))
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = _Counter(names)
         for lang_, words, piece in _by_lang(batches):
             found = _Runs(lang_, words, piece, seed, [t.value for t in tables])
             code, h = found.code, found.h
             size = np.zeros(len(code) + order, np.int8)  # words of the longest known run from here on
             for k, at in enumerate(found.starts):
                 size[at] = k + 1
-            alone = np.bincount(code[size[: len(code)] < 2], minlength=len(h))  # windows of one word, by word
-            one = np.where(found.known, h, np.uint64(0))[alone > 0]
-            yield from counter.add(lang_, [one, *[np.zeros(len(one), np.uint64)] * (order - 1)], alone[alone > 0])
             at = np.flatnonzero(size[: len(code)] > 1)
             columns, on = [h[code[at]]], np.ones(len(at), bool)
             for j in range(1, order):
@@ -244,17 +226,18 @@ def phrases(docs: DataFrame, lang: str = "lang", text: str = "text", order: int
                 lead = np.zeros(len(at), np.uint64)
                 lead[on] = h[code[at[on] + j]]
                 columns.append(lead)
-            yield from counter.add(lang_, columns)
-        yield from counter.flush()
+            lang_column = pa.DictionaryArray.from_arrays(pa.array(np.zeros(len(at), np.int32)), pa.array([lang_])).cast(pa.string())
+            yield from pa.table([lang_column, *(pa.array(c.view(np.int64)) for c in columns)], ["lang", *names]).to_batches(100_000)
 
-    longest = docs.mapInArrow(windows, "lang string, " + ", ".join(f"{w} long" for w in names) + ", n long")
-    longest = longest.groupBy("lang", *names).agg(F.sum("n").alias("n"))
+    longest = docs.mapInArrow(windows, "lang string, " + ", ".join(f"{w} long" for w in names))
+    longest = longest.groupBy("lang", *names).agg(F.count("*").alias("n"))
     rolled = longest.rollup("lang", *names).agg(F.sum("n").alias("f"), F.grouping_id().alias("g"))
     # 2^j - 1 of the grouping columns are rolled up: j of them, so order - j words are left
     left = F.lit(order) - F.round(F.log2(F.col("g") + 1)).cast("int")
-    rolled = rolled.where(F.col("g") < 1 << order).select("lang", F.slice(F.array(*names), F.lit(1), left).alias("p"), "f")
-    counts = keep(rolled.where(((F.col("f") >= least) | (F.size("p") == 0)) & ~F.array_contains("p", F.lit(0).cast("long"))), "phrases")
-    return counts, known.select("lang", "h", "word")
+    rolled = rolled.where(F.col("g") < 1 << order - 1).select("lang", F.slice(F.array(*names), F.lit(1), left).alias("p"), "f")
+    single = known.select("lang", F.when(F.col("h") == 0, F.array().cast("array<long>")).otherwise(F.array("h")).alias("p"), F.col("n").alias("f"))
+    counts = keep(rolled.where((F.col("f") >= least) & ~F.array_contains("p", F.lit(0).cast("long"))).unionByName(single), "phrases")
+    return counts, known.where("h <> 0").select("lang", "h", "word")
 
 
 def collocations(docs: DataFrame, lang: str = "lang", text: str = "text", order: int = ORDER, least: int = LEAST, top: int = TOP) -> DataFrame:

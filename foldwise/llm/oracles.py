@@ -17,11 +17,11 @@ total as (select lang, sum(n) n from g group by lang),
 f as materialized (select lang, len(x) k, array_to_string(x, ' ') phrase, x, sum(n) f from (
   select lang, [w1] x, n from g union all select lang, [w1, w2], n from g where w2 is not null union all select lang, [w1, w2, w3], n from g where w3 is not null
   union all select lang, [w1, w2, w3, w4], n from g where w4 is not null union all select lang, [w1, w2, w3, w4, w5], n from g where w5 is not null) group by lang, x having sum(n) >= 100),
-cut as (select c.lang, c.phrase, c.f a, j, l.f l, r.f r, n, ((1000::hugeint * c.f * n) // (l.f::hugeint * r.f)) score
-  from f c, (select unnest(range(1, 5)) j), f l, f r, total
-  where c.k > 1 and j < c.k and l.lang = c.lang and r.lang = c.lang and total.lang = c.lang and l.k = j and r.k = c.k - j and l.phrase = array_to_string(c.x[1:j], ' ') and r.phrase = array_to_string(c.x[j + 1:], ' ')),
+cuts as materialized (select lang, phrase, f a, j, array_to_string(x[1:j], ' ') px, array_to_string(x[j + 1:], ' ') py from (select *, unnest(range(1, k)) j from f where k > 1)),
+cut as (select c.lang, c.phrase, a, j, fx.f l, fy.f r, n, (1000::hugeint * a * n) // (fx.f::hugeint * fy.f) score
+  from cuts c join f fx on fx.lang = c.lang and fx.phrase = px join f fy on fy.lang = c.lang and fy.phrase = py join total on total.lang = c.lang),
 scored as (select * from cut qualify row_number() over (partition by lang, phrase order by score, j) = 1),
-inside as (select f.lang, array_to_string(x[s:s + m - 1], ' ') phrase, max(f.f) most from f, (select unnest(range(2, 5)) m), (select unnest(range(1, 5)) s) where k > m and s + m - 1 <= k group by 1, 2)
+inside as (select lang, array_to_string(x[s:s + m - 1], ' ') phrase, max(f) most from (select *, unnest(range(1, k - m + 2)) s from (select *, unnest(range(2, k)) m from f where k > 2)) group by 1, 2)
 select scored.lang, row_number() over (partition by scored.lang order by score desc, a desc, scored.phrase) rank, scored.phrase, a::bigint a, l::bigint l, r::bigint r, n::bigint n, score::bigint score
 from scored left join inside on inside.lang = scored.lang and inside.phrase = scored.phrase
 where most is null or 100 * most < 100 * a
