@@ -143,18 +143,16 @@ def _grid_sql(grid, cols, extra="") -> str:
           f"""select t.grid_id, g.w0, g.w1, g.w2, t.auc from {S.auc_sql('gs', ['grid_id'])} t
 join {S.grid_values(GRID3)} on t.grid_id = g.grid_id order by round(t.auc, 9) desc, t.grid_id limit 10""")
 def n13_simplex_grid_top10(spark, sf_dir):
-    res = N.grid_auc(_base(spark, sf_dir), BLEND3, GRID3)
-    # top-10 report over the grid table (231 rows)
+    res = N.grid_top(_base(spark, sf_dir), BLEND3, GRID3, 10)
     return res.select("grid_id", "w0", "w1", "w2", "auc").orderBy(F.round("auc", 9).desc(), "grid_id").limit(10)
 
 
 @register("n14_refined_grid_top10", ops=["N14", "N13"])
 def n14_refined_grid_top10(spark, sf_dir):
     base = _base(spark, sf_dir)
-    coarse = N.grid_auc(base, BLEND3, GRID3)
-    best = coarse.orderBy(F.round("auc", 9).desc(), "grid_id").first()  # one row: the coarse optimum
+    best = N.grid_top(base, BLEND3, GRID3, 1).first()  # one row: the coarse optimum
     fine = N.refine_grid([best["w0"], best["w1"], best["w2"]], 0.01, 0.05)
-    res = N.grid_auc(base, BLEND3, fine)
+    res = N.grid_top(base, BLEND3, fine, 10)
     return res.orderBy(F.round("auc", 9).desc(), "grid_id").limit(10)
 
 
@@ -188,7 +186,8 @@ FIXED = (0.4, 0.3, 0.3)
 def n16_blend_stability_over_seeds(spark, sf_dir):
     ss = seeded_scores(observations(spark, sf_dir)).where(F.col("side") == "train")
     sw = N.wide(ss, ["m3", "m4", "m5"], keys=("seed", "id", "label"))
-    res = N.grid_auc(sw, ["m3", "m4", "m5"], GRID_TENTH, extra_keys=["seed"])
+    at = [g for g, w in enumerate(GRID_TENTH) if all(abs(x - y) < 1e-9 for x, y in zip(w, FIXED))]
+    res = N.grid_top(sw, ["m3", "m4", "m5"], GRID_TENTH, 1, extra_keys=["seed"], always=at)
     fixed = (F.col("w0") == FIXED[0]) & (F.col("w1") == FIXED[1]) & (F.abs(F.col("w2") - FIXED[2]) < 1e-9)
     return res.groupBy("seed").agg(
         F.max(F.when(fixed, F.col("auc"))).alias("auc_fixed"), F.max("auc").alias("auc_best"),

@@ -34,7 +34,7 @@ def x1_stratified_folds(spark, sf_dir):
 @register("x4_auc_by_model_fold", ops=["X4"], doubles=["auc", "n_pos", "n_neg"],
           sql=SCORES_F + "select * from " + S.auc_sql("scores", ["model", "fold"]) + " t")
 def x4_auc_by_model_fold(spark, sf_dir):
-    return auc(train_scores(spark, sf_dir), "label", "prob", ["model", "fold"], groups_bounded=True)
+    return auc(train_scores(spark, sf_dir), "label", "prob", ["model", "fold"])
 
 
 # ---------------------------------------------------------------- X2-X19

@@ -99,7 +99,7 @@ from app join qi on app.eval_fold = qi.eval_fold""")
 def p10_p11_quantile_bins(spark, sf_dir):
     tr, app = applied(spark, sf_dir)
     qs = [0.0, 0.2, 0.4, 0.6, 0.8, 1.0]
-    q = fold_quantiles_multi(tr, ["x2"], [], qs, "fold", K, groups_bounded=True)
+    q = fold_quantiles_multi(tr, ["x2"], [], qs, "fold", K)
     edges = F.array_sort(F.array_distinct(F.array(*[F.col(f"x2_q{int(x * 100):02d}") for x in qs])))
     inner = q.select(EVAL, F.slice(edges, 2, F.greatest(F.size(edges) - 2, F.lit(0))).alias("inner_edges"))
     j = app.select("id", EVAL, "x1", "x2").join(F.broadcast(inner), EVAL)  # one row per fold

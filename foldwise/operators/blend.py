@@ -2,8 +2,10 @@
 
 Scores live in a long table (id, model, prob[, seed, fold]); ``wide`` pivots it to one column per
 model. Search over blend weights never loops over Spark jobs: a weight grid is a literal list
-exploded over the *distinct* score tuples (ids sharing all scores and the label are counted once),
-and one grouped, weighted AUC scores every grid point in the same job.
+exploded over the *distinct* tuples of the scores it blends, with their positives and negatives.
+Where every point's AUC is asked for, one grouped, weighted AUC scores them all in the same job
+(``grid_auc``, ``pair_grid_auc``). Where only the best are (``grid_top``), counts in score buckets bound
+each point's AUC first, and only points whose upper bound reaches the k-th lower bound are scored exactly.
 """
 
 from __future__ import annotations
@@ -11,12 +13,12 @@ from __future__ import annotations
 import itertools
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from foldwise.functions.columns import clip, logit, sigmoid
-from foldwise.operators.metrics import auc
-from foldwise.plans.joins import dim_join
+from foldwise.operators.metrics import count_auc
+from foldwise.plans.joins import dim_join, persisted
 from foldwise.plans.ordered import average_rank
 
 
@@ -92,38 +94,101 @@ def refine_grid(best: Sequence[float], step: float, radius: float) -> list[tuple
     return sorted(pts)
 
 
+def score_tuples(wide_df: DataFrame, cols: Sequence[str], label: str = "label",
+                 extra_keys: Sequence[str] = ()) -> DataFrame:
+    """(extra keys…, cols…) → _tp, _tn: the positives and negatives that share all scores of ``cols``."""
+    y = F.col(label)
+    return wide_df.groupBy(*extra_keys, *cols).agg(
+        F.count(F.when(y == 1, 1)).cast("double").alias("_tp"), F.count(F.when(y == 0, 1)).cast("double").alias("_tn"))
+
+
+def _on_grid(tuples: DataFrame, cols: Sequence[str], grid: Mapping[int, Sequence[float]],
+             extra_keys: Sequence[str], more: Mapping[int, Sequence[float]] | None = None) -> DataFrame:
+    """``tuples`` for every grid point, with its blended _score (and the floats of ``more`` as x0, x1 …)."""
+    more = more or {g: () for g in grid}
+    arr = F.array(*[F.struct(F.lit(int(g)).alias("grid_id"), *[F.lit(float(w)).alias(f"w{i}") for i, w in enumerate(ws)],
+                             *[F.lit(float(x)).alias(f"x{i}") for i, x in enumerate(more[g])]) for g, ws in grid.items()])
+    e = tuples.select("*", F.explode(arr).alias("_g")).select(*extra_keys, *cols, "_tp", "_tn", "_g.*")
+    s = F.col("w0") * F.col(cols[0])
+    for i, c in enumerate(cols[1:], 1):
+        s = s + F.col(f"w{i}") * F.col(c)
+    return e.withColumn("_score", s)
+
+
+def _grid_table(df: DataFrame, grid: Mapping[int, Sequence[float]], k: int) -> DataFrame:
+    return df.sparkSession.createDataFrame([(int(g), *[float(w) for w in ws]) for g, ws in grid.items()],
+                                           "grid_id int, " + ", ".join(f"w{i} double" for i in range(k)))
+
+
+def _exact(tuples: DataFrame, cols: Sequence[str], grid: Mapping[int, Sequence[float]], extra_keys: Sequence[str]) -> DataFrame:
+    res = count_auc(_on_grid(tuples, cols, grid, extra_keys), "_score", "_tp", "_tn", [*extra_keys, "grid_id"])
+    return dim_join(res.select(*extra_keys, "grid_id", "auc"), _grid_table(tuples, grid, len(cols)), ["grid_id"], "inner")
+
+
 def grid_auc(wide_df: DataFrame, cols: Sequence[str], grid: Sequence[Sequence[float]],
              label: str = "label", extra_keys: Sequence[str] = ()) -> DataFrame:
-    """AUC of Σ w_i·col_i for every weight vector of ``grid`` (N13/N17/N18/H4) in one job."""
-    cols = list(cols)
-    keys = [*extra_keys, *cols, label]
-    distinct = wide_df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_cnt"))
-    arr = F.array(*[F.struct(F.lit(g).alias("grid_id"), *[F.lit(float(w)).alias(f"w{i}") for i, w in enumerate(ws)])
-                    for g, ws in enumerate(grid)])
-    e = distinct.select("*", F.explode(arr).alias("_g")).select(*keys, "_cnt", "_g.*")
-    s = F.lit(0.0)
-    for i, c in enumerate(cols):
-        s = (F.col(f"w{i}") * F.col(c)) if i == 0 else s + F.col(f"w{i}") * F.col(c)
-    e = e.withColumn("_score", s)
-    res = auc(e, label, "_score", [*extra_keys, "grid_id"], weight="_cnt")
-    g = wide_df.sparkSession.createDataFrame(
-        [(i, *[float(w) for w in ws]) for i, ws in enumerate(grid)],
-        "grid_id int, " + ", ".join(f"w{i} double" for i in range(len(cols))))
-    return dim_join(res.select(*extra_keys, "grid_id", "auc"), g, ["grid_id"], "inner")
+    """AUC of Σ w_i·col_i for every weight vector of ``grid`` (N18/N21/H4) in one job."""
+    cols, extra_keys = list(cols), list(extra_keys)
+    return _exact(score_tuples(wide_df, cols, label, extra_keys), cols, dict(enumerate(grid)), extra_keys)
+
+
+def auc_bounds(tuples: DataFrame, cols: Sequence[str], grid: Mapping[int, Sequence[float]],
+               extra_keys: Sequence[str] = (), buckets: int = 512) -> DataFrame:
+    """(extra keys…, grid_id) → lo, hi: bounds of each point's AUC from counts in equal score buckets. A
+    positive beats the negatives of lower buckets for certain, and those of its own bucket perhaps."""
+    cols, extra_keys = list(cols), list(extra_keys)
+    ends = tuples.agg(*[f(c).alias(f"{f.__name__}_{c}") for c in cols for f in (F.min, F.max)]).first()
+
+    def reach(ws):  # the least and the widest blend of a point
+        spans = [sorted((w * (ends[f"min_{c}"] or 0.0), w * (ends[f"max_{c}"] or 0.0))) for w, c in zip(ws, cols)]
+        low, high = sum(x for x, _ in spans), sum(x for _, x in spans)
+        return low, buckets / (high - low) if high > low else 0.0
+
+    e = _on_grid(tuples, cols, grid, extra_keys, {g: reach(ws) for g, ws in grid.items()})
+    # rounding may move a score to the next bucket, but never past an equal or a higher one
+    bucket = F.floor((F.col("_score") - F.col("x0")) * F.col("x1")).cast("int")
+    per = e.groupBy(*extra_keys, "grid_id", bucket.alias("_b")).agg(F.sum("_tp").alias("p"), F.sum("_tn").alias("n"))
+    below = Window.partitionBy(*extra_keys, "grid_id").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)  # the buckets
+    per = per.withColumn("_below", F.coalesce(F.sum("n").over(below), F.lit(0.0)))
+    u = per.groupBy(*extra_keys, "grid_id").agg(F.sum(F.col("p") * F.col("_below")).alias("sure"), F.sum(F.col("p") * F.col("n")).alias("open"),
+                                                (F.sum("p") * F.sum("n")).alias("all"))
+    return u.select(*extra_keys, "grid_id", F.try_divide("sure", "all").alias("lo"), F.try_divide(F.col("sure") + F.col("open"), F.col("all")).alias("hi"))
+
+
+def grid_top(wide_df: DataFrame, cols: Sequence[str], grid: Sequence[Sequence[float]], k: int,
+             label: str = "label", extra_keys: Sequence[str] = (), always: Sequence[int] = (), buckets: int = 512) -> DataFrame:
+    """The ``k`` points of highest AUC (by 9 decimals, then by grid_id) per extra key, and the
+    points ``always``, with their exact AUC: branch and bound. The driver sees two numbers a point."""
+    cols, extra_keys = list(cols), list(extra_keys)
+    points = dict(enumerate(grid))
+    tuples = persisted(score_tuples(wide_df, cols, label, extra_keys))
+    by_key: dict = {}
+    for r in auc_bounds(tuples, cols, points, extra_keys, buckets).collect():
+        by_key.setdefault(tuple(r[c] for c in extra_keys), []).append((r["grid_id"], r["lo"], r["hi"]))
+    alive = set(always)
+    for rows in by_key.values():
+        if any(lo is None for _, lo, _ in rows):  # one class only: no AUC to compare
+            alive |= {g for g, _, _ in rows}
+            continue
+        least = sorted((lo for _, lo, _ in rows), reverse=True)[min(k, len(rows)) - 1]
+        alive |= {g for g, _, hi in rows if hi >= least - 1e-8}
+    res = _exact(tuples, cols, {g: points[g] for g in sorted(alive)} or points, extra_keys)
+    rank = F.row_number().over(Window.partitionBy(*(extra_keys or [F.lit(0)])).orderBy(F.round("auc", 9).desc(), "grid_id"))  # of grid points
+    return res.withColumn("_rank", rank).where((F.col("_rank") <= k) | F.col("grid_id").isin(*always)).drop("_rank")
 
 
 def pair_grid_auc(wide_df: DataFrame, cols: Sequence[str], weights: Sequence[float],
                   label: str = "label") -> DataFrame:
-    """For every model pair (a, b) and weight w, AUC of w·a + (1−w)·b — one job."""
+    """For every model pair (a, b) and weight w, AUC of w·a + (1−w)·b — one job over the distinct
+    pairs of scores."""
     cols = list(cols)
-    distinct = wide_df.groupBy(*cols, label).agg(F.count(F.lit(1)).alias("_cnt"))
-    combos = [(cols[i], cols[j], float(w)) for i in range(len(cols)) for j in range(i + 1, len(cols))
-              for w in weights]
-    arr = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.lit(w).alias("w"),
-                             (F.lit(w) * F.col(a) + (F.lit(1.0) - F.lit(w)) * F.col(b)).alias("_score"))
-                    for a, b, w in combos])
-    e = distinct.select(label, "_cnt", F.explode(arr).alias("_g")).select(label, "_cnt", "_g.*")
-    return auc(e, label, "_score", ["a", "b", "w"], weight="_cnt").select("a", "b", "w", "auc")
+    combos = [(cols[i], cols[j]) for i in range(len(cols)) for j in range(i + 1, len(cols))]
+    pairs = wide_df.select(label, F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(a).alias("_va"), F.col(b).alias("_vb"))
+                                                      for a, b in combos])).alias("_g")).select(label, "_g.*")
+    tuples = score_tuples(pairs, ["_va", "_vb"], label, ["a", "b"])
+    e = tuples.select("*", F.explode(F.array(*[F.lit(float(w)) for w in weights])).alias("w"))
+    e = e.withColumn("_score", F.col("w") * F.col("_va") + (F.lit(1.0) - F.col("w")) * F.col("_vb"))
+    return count_auc(e, "_score", "_tp", "_tn", ["a", "b", "w"]).select("a", "b", "w", "auc")
 
 
 def gated_auc(wide_df: DataFrame, primary: str, secondary: str, fallback: str, linear: Column,
@@ -132,14 +197,14 @@ def gated_auc(wide_df: DataFrame, primary: str, secondary: str, fallback: str, l
     blend; AUC for every (t, α)."""
     base = wide_df.select(label, F.col(primary).alias("_p"), F.col(secondary).alias("_s"),
                           F.col(fallback).alias("_f"), linear.alias("_lin"))
-    distinct = base.groupBy(label, "_p", "_s", "_f", "_lin").agg(F.count(F.lit(1)).alias("_cnt"))
+    distinct = score_tuples(base, ["_p", "_s", "_f", "_lin"], label)
     arr = F.array(*[F.struct(F.lit(float(t)).alias("threshold"), F.lit(float(a)).alias("alpha"))
                     for t in thresholds for a in alphas])
     e = distinct.select("*", F.explode(arr).alias("_g")).select("*", "_g.threshold", "_g.alpha").drop("_g")
     score = F.when(F.abs(F.col("_p") - F.col("_s")) > F.col("threshold"),
                    F.col("alpha") * F.col("_s") + (F.lit(1.0) - F.col("alpha")) * F.col("_f")).otherwise(F.col("_lin"))
     e = e.withColumn("_score", score)
-    return auc(e, label, "_score", ["threshold", "alpha"], weight="_cnt").select("threshold", "alpha", "auc")
+    return count_auc(e, "_score", "_tp", "_tn", ["threshold", "alpha"]).select("threshold", "alpha", "auc")
 
 
 def softmax_weights(model_auc: DataFrame, temperature: float = 50.0, model: str = "model",
@@ -157,4 +222,4 @@ def brier(df: DataFrame, label: str, prob: str, group_cols: Sequence[str] = ())
 
 
 __all__ = ["wide", "mean_expr", "soft_vote", "percentile_ranks", "logit_blend", "simplex_grid",
-           "refine_grid", "grid_auc", "gated_auc", "softmax_weights", "brier", "clip"]
+           "refine_grid", "grid_auc", "grid_top", "gated_auc", "softmax_weights", "brier", "clip"]

@@ -72,7 +72,7 @@ def cross_validate_oof(train: DataFrame, models: Mapping[str, Factory], feature_
     fit_rows, val_rows = cv_matrices(train, feature_model, k, fold_col, label, id_col, checkpoint)
     scores = persisted(oof_scores(fit_rows, val_rows, cols, models, k, None, label, id_col))
     metrics = classification_metrics(scores, label, None, "prob", ["model", "fold"]).join(
-        auc(scores, label, "prob", ["model", "fold"], groups_bounded=True).select("model", "fold", "auc"), ["model", "fold"])
+        auc(scores, label, "prob", ["model", "fold"]).select("model", "fold", "auc"), ["model", "fold"])
     return scores, metrics
 
 

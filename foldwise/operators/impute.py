@@ -12,9 +12,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foldwise.operators.foldstats import (EVAL, fold_mode, fold_quantiles, fold_quantiles_multi,
-                                          fold_shares, fold_value_counts, moments)
+                                          fold_shares, moments)
 from foldwise.functions.columns import clip
-from foldwise.plans.joins import stat_join
+from foldwise.plans.joins import join_on_keys, persisted, stat_join
 from foldwise.plans.ordered import exact_quantiles
 
 
@@ -24,7 +24,7 @@ def fill_from_own_table(df: DataFrame, median_cols: Sequence[str] = (), mode_col
     """Fill nulls with the table's own median / mode / mean (not leak-safe; never inside CV)."""
     stats = None
     if median_cols:
-        q = fold_quantiles_multi(df, median_cols, [], [0.5], None, None, groups_bounded=True)
+        q = fold_quantiles_multi(df, median_cols, [], [0.5], None, None)
         stats = q.select(*[F.col(f"{c}_median").alias(f"_med_{c}") for c in median_cols])
     for c in mode_cols:
         m = fold_mode(df, c, [], None, None, f"_mode_{c}").drop(EVAL)
@@ -56,9 +56,12 @@ def fit_imputer(train: DataFrame, group_col: str, median_cols: Sequence[str], mo
     """Per-group medians, global medians and modes, keyed by eval fold.
 
     Returns (group_table, global_table)."""
-    g = fold_quantiles_multi(train, median_cols, [group_col], [0.5], fold_col, k)
-    glob = fold_quantiles_multi(train, median_cols, [], [0.5], fold_col, k, groups_bounded=True)
-    glob = glob.select(EVAL, *[F.col(f"{c}_median").alias(f"{c}_median_global") for c in median_cols])
+    both = train.select(*([fold_col] if fold_col else []), *median_cols, F.explode(F.array(
+        F.struct(F.lit(0).alias("_lvl"), F.col(group_col)), F.struct(F.lit(1).alias("_lvl"), F.lit(None).cast(train.schema[group_col].dataType).alias(group_col)))).alias("_s"))
+    both = both.select("*", "_s.*").drop("_s")  # one running count serves the groups and the whole
+    med = persisted(fold_quantiles_multi(both, median_cols, ["_lvl", group_col], [0.5], fold_col, k))
+    g = med.where("_lvl = 0").drop("_lvl")
+    glob = med.where("_lvl = 1").select(EVAL, *[F.col(f"{c}_median").alias(f"{c}_median_global") for c in median_cols])
     for c in mode_cols:
         m = fold_mode(train, c, [], fold_col, k, f"{c}_mode")
         glob = m if glob is None else glob.join(m, EVAL, "full_outer")
@@ -66,10 +69,11 @@ def fit_imputer(train: DataFrame, group_col: str, median_cols: Sequence[str], mo
 
 
 def apply_imputer(df: DataFrame, group_tbl: DataFrame, global_tbl: DataFrame, group_col: str,
-                  median_cols: Sequence[str], mode_cols: Sequence[str]) -> DataFrame:
-    """Value → group median → global median; category → mode. Expects ``eval_fold`` on ``df``."""
-    out = stat_join(df, group_tbl, [EVAL, group_col], "left")
-    out = stat_join(out, global_tbl, [EVAL], "left")
+                  median_cols: Sequence[str], mode_cols: Sequence[str], checked: bool = True) -> DataFrame:
+    """Value → group median → global median; category → mode. Expects ``eval_fold`` on ``df``.
+    ``checked=False``: the caller knows that both tables may be broadcast."""
+    out = join_on_keys(df, group_tbl, [EVAL, group_col], "left", checked=checked)
+    out = join_on_keys(out, global_tbl, [EVAL], "left", checked=checked)
     for c in median_cols:
         out = out.withColumn(c, F.coalesce(F.col(c), F.col(f"{c}_median"), F.col(f"{c}_median_global")))
     for c in mode_cols:
@@ -170,4 +174,4 @@ def above_group_quantile(df: DataFrame, value: str, group_col: str, q: float = 0
 
 __all__ = ["fill_from_own_table", "fit_imputer", "apply_imputer", "fit_group_stats",
            "apply_group_stats", "fit_frequency", "apply_frequency", "fit_range", "apply_range",
-           "group_zscore", "above_group_quantile", "fold_value_counts"]
+           "group_zscore", "above_group_quantile"]

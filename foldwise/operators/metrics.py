@@ -52,11 +52,11 @@ def confusion(df: DataFrame, label: str = "label", pred: str = "pred",
 
 
 def auc(df: DataFrame, label: str = "label", score: str = "prob", group_cols: Sequence[str] = (),
-        weight: str | None = None, groups_bounded: bool | None = None, out: str = "auc") -> DataFrame:
+        weight: str | None = None, out: str = "auc") -> DataFrame:
     """X4 ROC AUC with ties counted ½ (Mann-Whitney), per group; null when a group has one class.
 
     Rows are first reduced to distinct (group, score) with positive/negative counts, then negatives
-    below each score come from the bucketed running sum — never a one-partition window.
+    below each score come from the running sum — never a one-partition window.
     """
     group_cols = list(group_cols)
     w = F.col(weight) if weight else F.lit(1)
@@ -64,17 +64,28 @@ def auc(df: DataFrame, label: str = "label", score: str = "prob", group_cols: Se
     glob = not group_cols
     d = df.select(*group_cols, score, label, *([weight] if weight else []))
     if glob:
-        d, group_cols, groups_bounded = d.withColumn("_fw_all", F.lit(0)), ["_fw_all"], True
-    dist = persisted(d.groupBy(*group_cols, score).agg(
+        d, group_cols = d.withColumn("_fw_all", F.lit(0)), ["_fw_all"]
+    dist = d.groupBy(*group_cols, score).agg(
         F.sum(F.when(y == 1, w).otherwise(0)).cast("double").alias("_p"),
-        F.sum(F.when(y == 0, w).otherwise(0)).cast("double").alias("_n")))
-    cum = running_sum(dist, group_cols, [score], ["_n"], groups_bounded=groups_bounded)
+        F.sum(F.when(y == 0, w).otherwise(0)).cast("double").alias("_n"))
+    res = _area(dist, group_cols, score, out)
+    return res.drop("_fw_all") if glob else res
+
+
+def count_auc(df: DataFrame, score: str, pos: str, neg: str, group_cols: Sequence[str], out: str = "auc") -> DataFrame:
+    """X4 over rows that stand for ``pos`` positives and ``neg`` negatives, per group."""
+    dist = df.groupBy(*group_cols, score).agg(F.sum(pos).alias("_p"), F.sum(neg).alias("_n"))
+    return _area(dist, list(group_cols), score, out)
+
+
+def _area(dist: DataFrame, group_cols: list, score: str, out: str) -> DataFrame:
+    dist = persisted(dist)
+    cum = running_sum(dist, group_cols, [score], ["_n"])
     res = cum.groupBy(*group_cols).agg(
         F.sum(F.col("_p") * (F.col("cum__n") - F.col("_n") + 0.5 * F.col("_n"))).alias("_u"),
         F.sum("_p").alias("_np"), F.sum("_n").alias("_nn"))
-    res = res.select(*group_cols, F.try_divide(F.col("_u"), F.col("_np") * F.col("_nn")).alias(out),
-                     F.col("_np").alias("n_pos"), F.col("_nn").alias("n_neg"))
-    return res.drop("_fw_all") if glob else res
+    return res.select(*group_cols, F.try_divide(F.col("_u"), F.col("_np") * F.col("_nn")).alias(out),
+                      F.col("_np").alias("n_pos"), F.col("_nn").alias("n_neg"))
 
 
 def calibration_curve(df: DataFrame, label: str = "label", prob: str = "prob", n_bins: int = 10,

@@ -23,12 +23,12 @@ from foldwise.plans.ordered import running_sum
 STRONG, WEAK = 0.01, 0.001
 
 
-def _positions(df: DataFrame, group_cols: Sequence[str], key, out: str, n_buckets: int = 64) -> DataFrame:
+def _positions(df: DataFrame, group_cols: Sequence[str], key, out: str) -> DataFrame:
     """0-based position of each row inside its group when ordered by an md5 uniform of ``key``."""
     u = F.conv(F.substring(F.md5(key), 1, 13), 16, 10).cast("long") / F.lit(HASH_SCALE)
     d = df.withColumn("_pu", u).withColumn("_one", F.lit(1))
-    bucket = F.least(F.floor(F.col("_pu") * n_buckets), F.lit(n_buckets - 1)).cast("int")
-    r = running_sum(d, list(group_cols), ["_pu", "id"], ["_one"], bucket=bucket, groups_bounded=True)
+    r = running_sum(d, list(group_cols), ["_pu", "id"], ["_one"],
+                    bucket=lambda n: F.least(F.floor(F.col("_pu") * n), F.lit(n - 1)).cast("int"))
     return r.withColumn(out, F.col("cum__one") - 1).drop("_pu", "_one", "cum__one")
 
 
@@ -50,7 +50,7 @@ def permutation_importance(model, val_rows: DataFrame, cols: Sequence[str], n_re
         j = j.withColumn(c, F.when(F.col("feature") == c, F.col(f"_src_{c}")).otherwise(F.col(c)))
     j = j.drop(*[f"_src_{c}" for c in feats], "_p_own")
     scored = positive_probability(model.transform(assembler(cols).transform(j)))
-    pa = auc(scored, label, "prob", ["feature", "rep"], groups_bounded=True)
+    pa = auc(scored, label, "prob", ["feature", "rep"])
     pa = pa.withColumn("_k", F.lit(0)).join(F.broadcast(base_auc.withColumn("_k", F.lit(0))), "_k")
     drop = pa.select("feature", "rep", (F.col("base_auc") - F.col("auc")).alias("importance"))
     return drop

@@ -8,9 +8,10 @@ Stages run in the reference order: missing flags (before imputation) → imputat
 → extra function → fixed output schema.
 
 Statistics of later stages are fitted on *imputed* training values, and imputation depends on the
-eval fold. Instead of materialising the imputed training table once per fold, the imputed values
-are added to the per-fold distinct-value counts: the null rows of each (fold, group) contribute
-``count × fill value`` — exact, and one pass over the rows.
+eval fold. Instead of materialising the imputed training table once per fold, the null rows of each
+(fold, group) go in as one value, the eval fold's fill, with their count: into the count vectors of
+the distinct values (quantiles) and as a block without spread into (n, mean, M2) — exact, in two
+aggregations of the rows, with no copy of a value per fold.
 """
 
 from __future__ import annotations
@@ -23,10 +24,11 @@ from pyspark.sql import functions as F
 
 from foldwise.functions import features as P
 from foldwise.functions.columns import clip
-from foldwise.operators.foldstats import EVAL, fan_out
+from foldwise.operators.foldstats import EVAL, eval_folds, fan_out, vector_columns, vector_of
 from foldwise.operators.impute import apply_imputer, fit_imputer
 from foldwise.plans.joins import join_on_keys, max_broadcast_rows, persisted
-from foldwise.plans.ordered import exact_quantiles
+from foldwise.plans.session import cut_lineage
+from foldwise.plans.ordered import vector_quantiles
 
 
 @dataclass(frozen=True)
@@ -86,37 +88,50 @@ def preset(name: str, **kw) -> FeatureSpec:
 GROUP_SPECS_OF = lambda r: [[r.cls], [r.flag], [r.cls, r.flag]]
 
 
-def imputed_value_counts(train: DataFrame, value: str, group_cols: Sequence[str], fold_col: str | None,
-                         k: int | None, fill: DataFrame | None, fill_keys: Sequence[str]) -> DataFrame:
-    """(eval_fold, group…, value, _fw_cnt) of the training rows *after* imputation: non-null rows
-    as they are, plus each (fold, group, fill key) block of null rows as one value (the fill) with
-    its count. ``fill`` is (eval_fold, fill_keys…, _fill)."""
-    g = list(group_cols)
+#: Statistics the later stages read off one stacked table: the arm's number (column, group spec) and the group.
+_KEYS = ("_arm", "_gkey")
+
+
+def _stacked(train: DataFrame, fold_col: str | None, cls: str, arms: Sequence[tuple[str, str, list]]) -> DataFrame:
+    """(fold, class, _arm, _gkey, _val): each row once per arm (column, spec name, spec columns)."""
     fk = [fold_col] if fold_col else []
-    v = F.col(value)
-    present = (train.where(v.isNotNull()).groupBy(*fk, *g, value).agg(F.count(F.lit(1)).alias("_fw_cnt")))
-    present = fan_out(present, fold_col, k).groupBy(EVAL, *g, value).agg(F.sum("_fw_cnt").alias("_fw_cnt"))
-    if fill is None:
-        return present.select(EVAL, *g, F.col(value).cast("double").alias(value), F.col("_fw_cnt").cast("long"))
-    extra = [c for c in fill_keys if c not in g]
-    nulls = train.where(v.isNull()).groupBy(*fk, *g, *extra).agg(F.count(F.lit(1)).alias("_fw_cnt"))
-    nulls = fan_out(nulls, fold_col, k).groupBy(EVAL, *g, *extra).agg(F.sum("_fw_cnt").alias("_fw_cnt"))
-    filled = join_on_keys(nulls, fill, [EVAL, *fill_keys], "inner")
-    filled = filled.groupBy(EVAL, *g, F.col("_fill").alias(value)).agg(F.sum("_fw_cnt").alias("_fw_cnt"))
-    both = present.select(EVAL, *g, F.col(value).cast("double").alias(value), "_fw_cnt").unionByName(
-        filled.select(EVAL, *g, F.col(value).cast("double").alias(value), "_fw_cnt"))
-    return both.groupBy(EVAL, *g, value).agg(F.sum("_fw_cnt").cast("long").alias("_fw_cnt"))
-
-
-def count_moments(counts: DataFrame, value: str, group_cols: Sequence[str]) -> DataFrame:
-    """n, mean, sample std, min, max per (eval_fold, group) from a value-count table (two-pass)."""
-    keys = [EVAL, *group_cols]
-    w = Window.partitionBy(*keys)
-    c = counts.withColumn("_m", F.sum(F.col("_fw_cnt") * F.col(value)).over(w) / F.sum("_fw_cnt").over(w))
-    return c.groupBy(*keys).agg(
-        F.sum("_fw_cnt").alias("n"), F.first("_m").alias("mean"),
-        F.sqrt(F.try_divide(F.sum(F.col("_fw_cnt") * (F.col(value) - F.col("_m")) ** 2), F.sum("_fw_cnt") - 1)).alias("std"),
-        F.min(value).alias("min"), F.max(value).alias("max"))
+    rows = F.array(*[F.struct(F.lit(i).alias("_arm"), _group_key(sp).alias("_gkey"), F.col(c).cast("double").alias("_val"))
+                     for i, (c, _, sp) in enumerate(arms)])
+    return train.select(*fk, cls, F.explode(rows).alias("_s")).select(*fk, cls, "_s.*")
+
+
+def _fit_arms(st: DataFrame, cls: str, fold_col: str | None, k: int | None, fill: DataFrame,
+              qs: Sequence[float], names: Sequence[str]) -> DataFrame:
+    """(eval_fold, _arm, _gkey) → quantiles ``names``, n, mean, std, min, max of the *imputed* training
+    values. ``fill``: (eval_fold, _arm, class, _fill). Two aggregations of the stacked rows: blocks
+    per (fold, arm, class) with (n, mean, M2, min, max, nulls), and count vectors per distinct value; the
+    nulls of a block count as one value, the fill of each eval fold."""
+    fk = [fold_col] if fold_col else []
+    v = F.col("_val")
+    blocks = persisted(st.groupBy(*fk, *_KEYS, cls).agg(
+        F.count(v).alias("_bn"), F.avg(v).alias("_bm"), (F.var_pop(v) * F.count(v)).alias("_b2"),
+        F.min(v).alias("_lo"), F.max(v).alias("_hi"), (F.count(F.lit(1)) - F.count(v)).alias("_null")))
+    trained = fan_out(blocks, fold_col, k)
+    filled = join_on_keys(trained.where("_null > 0").select(EVAL, *_KEYS, cls, "_null"), fill, [EVAL, "_arm", cls], "inner")
+    filled = persisted(filled.groupBy(EVAL, *_KEYS, "_fill").agg(F.sum("_null").alias("_null")))
+    # moments: every block, and every fill as a block without spread
+    every = trained.where("_bn > 0").select(EVAL, *_KEYS, "_bn", "_bm", "_b2", "_lo", "_hi").unionByName(filled.select(
+        EVAL, *_KEYS, F.col("_null").alias("_bn"), F.col("_fill").alias("_bm"), F.lit(0.0).alias("_b2"),
+        F.col("_fill").alias("_lo"), F.col("_fill").alias("_hi")))
+    sums = every.groupBy(EVAL, *_KEYS).agg(F.collect_list(F.struct("_bm", "_bn", "_b2")).alias("_b"), F.sum("_bn").alias("n"),
+                                           F.min("_lo").alias("min"), F.max("_hi").alias("max"))
+    mean = F.aggregate("_b", F.lit(0.0), lambda s, b: s + b._bn * b._bm) / F.col("n")
+    sums = sums.withColumn("_b", F.array_sort("_b")).withColumn("mean", mean)  # a block per (fold, class)
+    m2 = F.aggregate("_b", F.lit(0.0), lambda s, b: s + b._b2 + b._bn * (b._bm - F.col("mean")) * (b._bm - F.col("mean")))
+    mo = sums.withColumn("std", F.sqrt(F.try_divide(m2, F.col("n") - 1))).drop("_b")
+    # order statistics: count vectors of the values present, and of the fills
+    vec = vector_columns(k)
+    present = st.where(v.isNotNull()).select(*_KEYS, "_val", *vector_of(fold_col, k))
+    fills = filled.select(*_KEYS, F.col("_fill").alias("_val"), *[F.when(F.col(EVAL) == e, F.col("_null")).otherwise(0).cast("long").alias(c)
+                                                                  for e, c in zip(eval_folds(k), vec)])
+    counts = present.unionByName(fills).groupBy(*_KEYS, "_val").agg(*[F.sum(c).alias(c) for c in vec])
+    med = vector_quantiles(counts, "_val", list(_KEYS), qs, names, vec, EVAL, eval_folds(k))
+    return persisted(mo.join(med, [EVAL, *_KEYS], "left"))
 
 
 class FeatureModel:
@@ -131,42 +146,44 @@ class FeatureModel:
         t: dict = {}
         # Imputation statistics (group medians by class, global medians, category mode)
         g, glob = fit_imputer(train, r.cls, [r.a, r.b], [r.cat], fold_col, k)
-        g, glob = persisted(g), persisted(glob)
-        t["impute"] = (g, glob)
-        fills = {}
-        needs_counts = spec.age_bins == "quantile" or spec.fare_bins == "quantile" or spec.group_stats or spec.rank_features
-        for c in ((r.a, r.b) if needs_counts else ()):
-            fills[c] = join_on_keys(g.select(EVAL, r.cls, F.col(f"{c}_median").alias("_gm")),
-                                    glob.select(EVAL, F.col(f"{c}_median_global").alias("_glm")), [EVAL], "inner",
-                                    checked=False).select(EVAL, r.cls, F.coalesce("_gm", "_glm").alias("_fill"))
-        # classes present in the fit but with no non-null value get the global median
-        cls_all = fan_out(train.select(*([fold_col] if fold_col else []), r.cls).distinct(), fold_col, k).select(EVAL, r.cls).distinct()
-        for c in ((r.a, r.b) if needs_counts else ()):
-            full = join_on_keys(cls_all, glob.select(EVAL, F.col(f"{c}_median_global").alias("_glm")), [EVAL], "inner", checked=False)
-            full = join_on_keys(full, fills[c], [EVAL, r.cls], "left", checked=False)
-            fills[c] = persisted(full.select(EVAL, r.cls, F.coalesce("_fill", "_glm").alias("_fill")))
-
-        def counts(value, group):
-            return persisted(imputed_value_counts(train, value, group, fold_col, k, fills[value], [r.cls]))
-
-        if spec.age_bins == "quantile":
-            t["a_edges"] = _edges(counts(r.a, []), r.a, spec.n_age_qbins)
-        if spec.fare_bins == "quantile":
-            t["b_edges"] = _edges(counts(r.b, []), r.b, spec.n_fare_qbins)
-        if spec.group_stats:
-            t["group_stats"] = _fit_group_stats(train, r, fold_col, k, fills)
+        g, fold = cut_lineage(g), cut_lineage(glob)
+        edges = {c: q for c, q, on in ((r.a, spec.n_age_qbins, spec.age_bins), (r.b, spec.n_fare_qbins, spec.fare_bins)) if on == "quantile"}
+        arms = [(c, name, sp) for c in (r.b, r.a) for name, sp in [("", []), *[("_".join(sp), sp) for sp in GROUP_SPECS_OF(r)]]
+                if spec.group_stats or (name == "" and c in edges) or (spec.rank_features and (c, name) == (r.b, r.cls))]
+        if arms:
+            qs = sorted({0.5, *[i / q for q in edges.values() for i in range(q + 1)]})
+            names = [f"_q{i}" for i in range(len(qs))]
+            stats = cut_lineage(_fit_arms(_stacked(train, fold_col, r.cls, arms), r.cls, fold_col, k,
+                                          _fills(train, r, fold_col, k, g, fold, arms), qs, names))
+            number = {(c, name): i for i, (c, name, _) in enumerate(arms)}
+            of_fold = []  # one row per eval fold: the global mean, the quantile edges
+            for c in (r.b, r.a):
+                if (c, "") not in number:
+                    continue
+                here = F.col("_arm") == number[c, ""]
+                of_fold.append(F.max(F.when(here, F.col("mean"))).alias(f"_gm_{c}"))
+                if c in edges:
+                    e = F.array_sort(F.array_distinct(F.array(*[F.col(names[qs.index(i / edges[c])]) for i in range(edges[c] + 1)])))
+                    e = F.slice(e, 2, F.greatest(F.size(e) - 2, F.lit(0)))
+                    of_fold.append(F.first(F.when(here, e), ignorenulls=True).alias(f"_edges_{c}"))
+            if of_fold:
+                fold = fold.join(stats.groupBy(EVAL).agg(*of_fold), EVAL, "left")
+            for name in ["_".join(sp) for sp in GROUP_SPECS_OF(r)]:  # one row per (eval fold, group): both columns' statistics
+                own = [c for c in (r.b, r.a) if (c, name) in number]
+                wide = [F.max(F.when(F.col("_arm") == number[c, name], x)).alias(f"_{what}_{c}") for c in own
+                        for what, x in (("med", F.col(names[qs.index(0.5)])), ("mean", F.col("mean")),
+                                        ("sd", F.coalesce("std", F.lit(0.0))), ("lo", F.col("min")), ("hi", F.col("max")))]
+                if spec.group_stats or (spec.rank_features and name == r.cls):
+                    t[name] = stats.where(F.col("_arm").isin([number[c, name] for c in own])).groupBy(EVAL, "_gkey").agg(*wide)
         if spec.freq_encoding:
             vc = train.groupBy(*([fold_col] if fold_col else []), r.cls).agg(F.count(F.lit(1)).alias("_n"))
             vc = fan_out(vc, fold_col, k).groupBy(EVAL, r.cls).agg(F.sum("_n").alias("_n"))
-            t["freq"] = persisted(vc.withColumn("_freq", F.col("_n") / F.sum("_n").over(Window.partitionBy(EVAL))).select(EVAL, r.cls, "_freq"))
-        if spec.rank_features:
-            mo = count_moments(counts(r.b, [r.cls]), r.b, [r.cls])
-            t["range"] = persisted(mo.select(EVAL, r.cls, F.col("min").alias("_lo"), F.col("max").alias("_hi")))
-        # size of every small statistics table checked once here; transform then joins the
-        # (filtered) tables as broadcasts without re-counting them
+            t["freq"] = vc.withColumn("_freq", F.col("_n") / F.sum("_n").over(Window.partitionBy(EVAL))).select(EVAL, r.cls, "_freq")
+        # the size of every statistics table is checked here, once; their lineage is cut, so that a chain of
+        # joins isn't planned over the whole history of each
+        t = {"group_medians": g, "fold": cut_lineage(fold), **{name: cut_lineage(tbl) for name, tbl in t.items()}}
         limit = max_broadcast_rows(train)
-        t["_small"] = {name: tbl.count() <= limit for name, tbl in t.items()
-                       if isinstance(tbl, DataFrame)}
+        t["_small"] = {name: tbl.count() <= limit for name, tbl in t.items()}
         model = cls(spec, t, [])
         model.columns = model._columns()
         return model
@@ -207,49 +224,42 @@ class FeatureModel:
         df = rows
         if s.missing_flags:  # P8: before imputation
             df = df.select("*", *P.missing_flags([r.a, r.b, r.cat]))
-        g, glob = t["impute"]
-        df = apply_imputer(df, g, glob, r.cls, [r.a, r.b], [r.cat])
+        def joined(df, name, keys):
+            return join_on_keys(df, t[name], keys, "left") if not t["_small"][name] else df.join(F.broadcast(t[name]), keys, "left")
+
+        df = apply_imputer(df, t["group_medians"], t["fold"], r.cls, [r.a, r.b], [r.cat], checked=not all(t["_small"][x] for x in ("group_medians", "fold")))
         df = df.select("*", *P.one_hot(r.cat, s.levels, r.cat),
                        *P.base_derived(r.n1, r.n2, r.b, r.cls, r.flag))
         if s.age_bins == "rule":
             df = df.withColumn(f"{r.a}_bin", P.rule_bin(r.a))
         elif s.age_bins == "quantile":
-            df = _apply_edges(df, r.a, t["a_edges"], f"{r.a}_qbin")
+            df = df.withColumn(f"{r.a}_qbin", P.apply_edges(r.a, F.col(f"_edges_{r.a}")))
         if s.fare_bins == "quantile":
-            df = _apply_edges(df, r.b, t["b_edges"], f"{r.b}_qbin")
+            df = df.withColumn(f"{r.b}_qbin", P.apply_edges(r.b, F.col(f"_edges_{r.b}")))
         if s.interactions:
             df = df.select("*", *P.interactions(r.a, r.b, r.cls, r.flag, s.classes, f"log_{r.b}", "family_size", "is_alone"))
         if s.polynomial:
             df = df.select("*", *P.polynomial(r.a, r.b))
-        small = t.get("_small", {})
-        if s.group_stats:
-            stats = t["group_stats"]
-            ok = small.get("group_stats", False)
-            for c in (r.b, r.a):
-                gm = stats.where((F.col("_var") == c) & (F.col("_spec") == "")).select(
-                    EVAL, F.col("mean").alias("global_mean"))
-                df = join_on_keys(df, gm, [EVAL], "left", checked=not ok)
-                for sp in GROUP_SPECS_OF(r):
-                    sfx = "_".join(sp)
-                    tb = stats.where((F.col("_var") == c) & (F.col("_spec") == sfx)).select(
-                        EVAL, F.col("_gkey"), F.col("median").alias("_g_med"), F.col("mean").alias("_g_mean"),
-                        F.coalesce(F.col("std"), F.lit(0.0)).alias("_g_std"))
-                    df = join_on_keys(df.withColumn("_gkey", _group_key(sp)), tb, [EVAL, "_gkey"], "left", checked=not ok)
-                    med = F.coalesce("_g_med", "global_mean")
-                    mean = F.coalesce("_g_mean", "global_mean")
-                    sd = F.coalesce(F.col("_g_std"), F.lit(1.0))
+        if s.group_stats or s.rank_features:
+            for sp in GROUP_SPECS_OF(r):
+                name = "_".join(sp)
+                if name not in t:
+                    continue
+                df = joined(df.withColumn("_gkey", _group_key(sp)), name, [EVAL, "_gkey"])
+                new = []
+                for c in (r.b, r.a) if s.group_stats else ():
+                    med = F.coalesce(f"_med_{c}", f"_gm_{c}")
+                    mean = F.coalesce(f"_mean_{c}", f"_gm_{c}")
+                    sd = F.coalesce(F.col(f"_sd_{c}"), F.lit(1.0))
                     sd = F.when(sd == 0, F.lit(1.0)).otherwise(sd)
-                    df = (df.withColumn(f"{c}_diff_{sfx}", F.col(c) - med)
-                          .withColumn(f"{c}_z_{sfx}", (F.col(c) - mean) / sd).drop("_g_med", "_g_mean", "_g_std", "_gkey"))
-                df = df.drop("global_mean")
+                    new += [(F.col(c) - med).alias(f"{c}_diff_{name}"), ((F.col(c) - mean) / sd).alias(f"{c}_z_{name}")]
+                if s.rank_features and name == r.cls:
+                    lo, hi = F.coalesce(f"_lo_{r.b}", F.lit(0.0)), F.coalesce(f"_hi_{r.b}", F.lit(1.0))
+                    width = F.when(hi != lo, hi - lo).otherwise(F.lit(1.0))
+                    new.append(clip((F.col(r.b) - lo) / width, 0.0, 1.0).alias(f"{r.b}_pctile_in_{r.cls}"))
+                df = df.select(*[c for c in df.columns if c != "_gkey" and c not in t[name].columns or c == EVAL], *new)
         if s.freq_encoding:
-            df = join_on_keys(df, t["freq"], [EVAL, r.cls], "left", checked=not small.get("freq", False)).withColumn(
-                f"{r.cls}_freq", F.coalesce("_freq", F.lit(0.0))).drop("_freq")
-        if s.rank_features:
-            df = join_on_keys(df, t["range"], [EVAL, r.cls], "left", checked=not small.get("range", False))
-            lo, hi = F.coalesce("_lo", F.lit(0.0)), F.coalesce("_hi", F.lit(1.0))
-            width = F.when(hi != lo, hi - lo).otherwise(F.lit(1.0))
-            df = df.withColumn(f"{r.b}_pctile_in_{r.cls}", clip((F.col(r.b) - lo) / width, 0.0, 1.0)).drop("_lo", "_hi")
+            df = joined(df, "freq", [EVAL, r.cls]).withColumn(f"{r.cls}_freq", F.coalesce("_freq", F.lit(0.0))).drop("_freq")
         if s.domain_features:
             df = df.select("*", *P.domain_flags(r.a, r.flag, r.n2, r.b, "family_size"))
         if s.extra_fn is not None:
@@ -265,42 +275,11 @@ def _group_key(cols) -> "F.Column":
     return F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("\u2205")) for c in cols])
 
 
-def _fit_group_stats(train: DataFrame, r: Roles, fold_col: str | None, k: int | None, fills: dict) -> DataFrame:
-    """I5 on imputed values for both value columns × every group spec (and the global mean) in
-    one stacked pass: (eval_fold, _var, _spec, _gkey) → median, mean, sample std."""
-    specs = [("", [])] + [("_".join(sp), sp) for sp in GROUP_SPECS_OF(r)]
-    fk = [fold_col] if fold_col else []
-    arms = F.array(*[F.struct(F.lit(c).alias("_var"), F.lit(name).alias("_spec"), _group_key(sp).alias("_gkey"),
-                              F.col(c).cast("double").alias("_val"))
-                     for c in (r.b, r.a) for name, sp in specs])
-    st = train.select(*fk, r.cls, F.explode(arms).alias("_s")).select(*fk, r.cls, "_s.*")
-    keys = ["_var", "_spec", "_gkey"]
-    present = st.where(F.col("_val").isNotNull()).groupBy(*fk, *keys, "_val").agg(F.count(F.lit(1)).alias("_fw_cnt"))
-    present = fan_out(present, fold_col, k).groupBy(EVAL, *keys, "_val").agg(F.sum("_fw_cnt").alias("_fw_cnt"))
-    nulls = st.where(F.col("_val").isNull()).groupBy(*fk, *keys, r.cls).agg(F.count(F.lit(1)).alias("_fw_cnt"))
-    nulls = fan_out(nulls, fold_col, k).groupBy(EVAL, *keys, r.cls).agg(F.sum("_fw_cnt").alias("_fw_cnt"))
-    fill = None
-    for c in (r.b, r.a):
-        f = fills[c].withColumn("_var", F.lit(c))
-        fill = f if fill is None else fill.unionByName(f)
-    filled = join_on_keys(nulls, fill, [EVAL, "_var", r.cls], "inner")
-    filled = filled.groupBy(EVAL, *keys, F.col("_fill").alias("_val")).agg(F.sum("_fw_cnt").alias("_fw_cnt"))
-    counts = persisted(present.unionByName(filled).groupBy(EVAL, *keys, "_val")
-                       .agg(F.sum("_fw_cnt").cast("long").alias("_fw_cnt")))
-    mo = count_moments(counts, "_val", keys)
-    med = exact_quantiles(None, "_val", [EVAL, *keys], [0.5], ["median"], counts=counts)
-    return persisted(mo.join(med, [EVAL, *keys], "left").select(EVAL, *keys, "median", "mean", "std"))
-
-
-def _edges(counts: DataFrame, value: str, q: int) -> DataFrame:
-    """P10 per eval fold: interior quantile edges (linear), duplicates dropped."""
-    qs = [i / q for i in range(q + 1)]
-    names = [f"_e{i}" for i in range(q + 1)]
-    qt = exact_quantiles(None, value, [EVAL], qs, names, counts=counts)
-    e = F.array_sort(F.array_distinct(F.array(*[F.col(n) for n in names])))
-    return persisted(qt.select(EVAL, F.slice(e, 2, F.greatest(F.size(e) - 2, F.lit(0))).alias("_edges")))
-
-
-def _apply_edges(df: DataFrame, value: str, edges: DataFrame, out: str) -> DataFrame:
-    j = join_on_keys(df, edges, [EVAL], "left", checked=False)  # one row per eval fold
-    return j.withColumn(out, P.apply_edges(value, F.col("_edges"))).drop("_edges")
+def _fills(train: DataFrame, r: Roles, fold_col: str | None, k: int | None, g: DataFrame, glob: DataFrame,
+           arms: Sequence[tuple[str, str, list]]) -> DataFrame:
+    """(eval_fold, _arm, class, _fill): what imputation puts in; a class without any value gets the global median."""
+    classes = fan_out(train.select(*([fold_col] if fold_col else []), r.cls).distinct(), fold_col, k).select(EVAL, r.cls).distinct()
+    both = join_on_keys(classes, glob, [EVAL], "inner", checked=False).join(g, [EVAL, r.cls], "left")
+    rows = F.array(*[F.struct(F.lit(i).alias("_arm"), F.coalesce(f"{c}_median", f"{c}_median_global").cast("double").alias("_fill"))
+                     for i, (c, _, _) in enumerate(arms)])
+    return persisted(both.select(EVAL, r.cls, F.explode(rows).alias("_s")).select(EVAL, r.cls, "_s.*"))

@@ -5,25 +5,25 @@ task. Every running sum here (AUC, ranks, KS, Wasserstein, exact quantiles, fold
 through :func:`running_sum`, which first measures the largest group (one small job):
 
 * every group has at most ``foldwise.window.maxGroupRows`` rows → a plain window partitioned by the
-  group (each task holds at most that many rows; exact quantiles use the built-in ``percentile``
-  with a frequency column, whose buffer is one entry per distinct value — bounded by the same check);
-* otherwise → the order column is split into contiguous value buckets (approximate equi-depth
-  boundaries), each bucket is summed (a tiny table), the sums become per-bucket offsets, and a window
-  partitioned by (group, bucket) finishes the job. A hot group spreads over as many tasks as buckets.
+  group (each task holds at most that many rows);
+* otherwise → ``repartitionByRange`` on (group, order) deals the rows to contiguous ranges, as many as
+  keep one at half of that limit; Spark samples the bounds, so no expression holds them. Each range is
+  summed per group (a table of groups + ranges rows), the sums become offsets, and a window partitioned
+  by (group, range number) finishes the job. A hot group spreads over as many tasks as it needs.
+  Where the order column is uniform already (a hash), the caller gives the bucket as arithmetic.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from foldwise.plans.joins import dim_join, max_broadcast_rows, persisted
+from foldwise.plans.joins import max_broadcast_rows, persisted
 
 DEFAULT_BUCKETS = 64
-MAX_TREE_BUCKETS = 256
 DEFAULT_WINDOW_MAX_ROWS = 1_000_000
 _WINDOW_KEY = "foldwise.window.maxGroupRows"
 _BUCKET = "_fw_bucket"
@@ -34,95 +34,65 @@ def window_max_rows(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get(_WINDOW_KEY, str(DEFAULT_WINDOW_MAX_ROWS)))
 
 
-def bucket_count(df: DataFrame, largest: int = 0) -> int:
-    """Buckets per running sum: twice the shuffle parallelism between 64 and 256, and beyond that as many
-    as keep the largest group's buckets at half of ``foldwise.window.maxGroupRows`` rows."""
+def bucket_count(df: DataFrame, rows: int = 0) -> int:
+    """Buckets or ranges of a running sum over ``rows``: at least the shuffle parallelism, and as many as
+    keep one at half of ``foldwise.window.maxGroupRows`` rows."""
     try:
         parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
     except ValueError:
         parts = 8
-    return max(DEFAULT_BUCKETS, min(MAX_TREE_BUCKETS, 2 * parts), math.ceil(2 * largest / window_max_rows(df)))
+    return max(1, parts, math.ceil(2 * rows / window_max_rows(df)))
 
 
-def bucket_of(value: str, bounds: Sequence[float]) -> Column:
-    """Index i with bounds[i-1] < value <= bounds[i]: a binary-search CASE tree built as one SQL
-    expression (codegen-friendly); past 256 bounds a higher-order count instead."""
-    bounds = [float(b) for b in bounds]
-    if len(bounds) > MAX_TREE_BUCKETS:
-        arr = F.array(*[F.lit(b) for b in bounds])
-        return F.size(F.filter(arr, lambda b: b < F.col(value)))
-    ref = f"`{value}`"
-
-    def build(lo: int, hi: int) -> str:
-        if lo == hi:
-            return str(lo)
-        mid = (lo + hi) // 2
-        return (f"CASE WHEN {ref} <= CAST('{bounds[mid]!r}' AS DOUBLE) THEN {build(lo, mid)} "
-                f"ELSE {build(mid + 1, hi)} END")
-
-    return F.expr(build(0, len(bounds)))
-
-
-def value_bounds(df: DataFrame, col: str, n_buckets: int | None = None) -> list[float]:
-    """Approximate equi-depth boundaries of ``col``: ``n_buckets - 1`` numbers (bounded collect)."""
-    n_buckets = n_buckets or bucket_count(df)
-    if n_buckets <= 1:
-        return []
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    row = df.agg(F.percentile_approx(F.col(col).cast("double"), probs, 10000).alias("b")).first()
-    vals = (row["b"] if row else None) or []
-    return sorted({float(v) for v in vals if v is not None})
-
-
-def group_profile(df: DataFrame, group_cols: Sequence[str]) -> tuple[int, int]:
-    """(rows in the largest group, number of groups) — one two-stage job on a small table."""
+def group_profile(df: DataFrame, group_cols: Sequence[str]) -> tuple[int, int, int]:
+    """(rows in the largest group, number of groups, rows) — one two-stage job on a small table."""
     if not group_cols:
-        return df.count(), 1
+        n = df.count()
+        return n, 1, n
     row = (df.groupBy(*group_cols).count()
-           .agg(F.max("count").alias("m"), F.count(F.lit(1)).alias("g")).first())
-    return int(row["m"] or 0), int(row["g"] or 0)
+           .agg(F.max("count").alias("m"), F.count(F.lit(1)).alias("g"), F.sum("count").alias("n")).first())
+    return int(row["m"] or 0), int(row["g"] or 0), int(row["n"] or 0)
+
+
+def _attach(rows: DataFrame, small: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
+    """Inner join with a table of ``n`` rows, one for each key; a null key is a key. Broadcast within the bound."""
+    renamed = small.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in small.columns])
+    right = F.broadcast(renamed) if n <= max_broadcast_rows(rows) else renamed
+    on = [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in keys]
+    return rows.join(right, on, "inner").drop(*[f"_r_{c}" for c in keys])
 
 
 def running_sum(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
-                measures: Sequence[str], prefix: str = "cum_", bounds: Sequence[float] | None = None,
-                n_buckets: int | None = None, bucket: Column | None = None,
-                small_groups: bool | None = None, groups_bounded: bool | None = None) -> DataFrame:
+                measures: Sequence[str], prefix: str = "cum_",
+                bucket: Callable[[int], Column] | None = None,
+                profile: tuple[int, int, int] | None = None) -> DataFrame:
     """Add ``prefix + m`` = sum of ``m`` over rows of the same group ordered at or before this row.
 
-    Rows are ordered by ``order_cols`` (the first one numeric, used for bucketing); give a unique
-    order within a group (aggregate to distinct values first, or add a tiebreak column).
-    ``small_groups``: caller already knows every group fits one task (None → measured).
-    ``groups_bounded``: the number of groups is small enough to broadcast per-bucket offsets
-    (None → measured).
+    Rows are ordered by ``order_cols``; give a unique order within a group (aggregate to distinct
+    values first, or add a tiebreak column). ``bucket``: the bucket of a row among n of them, where it
+    can be computed and rises with the order. ``profile``: ``group_profile`` of ``df``, where known.
     """
     group_cols, order_cols, measures = list(group_cols), list(order_cols), list(measures)
     glob = not group_cols
     if glob:
         df, group_cols = df.withColumn(_ALL, F.lit(0)), [_ALL]
-        groups_bounded = True
-    if small_groups is None or (groups_bounded is None and not small_groups):
-        largest, n_groups = group_profile(df, group_cols)
-        if small_groups is None:
-            small_groups = largest <= window_max_rows(df)
-        if groups_bounded is None:
-            n_buckets = n_buckets or bucket_count(df, largest)
-            groups_bounded = n_groups * (n_buckets + 1) <= max_broadcast_rows(df)
-
-    if small_groups:
+    largest, n_groups, rows = profile or group_profile(df, [] if glob else group_cols)
+
+    if largest <= window_max_rows(df):
         w = (Window.partitionBy(*group_cols).orderBy(*order_cols)
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        out = df
-        for m in measures:
-            out = out.withColumn(prefix + m, F.sum(m).over(w))
+        out = df.select("*", *[F.sum(m).over(w).alias(prefix + m) for m in measures])
         return out.drop(_ALL) if glob else out
 
-    first = order_cols[0]
-    n_buckets = n_buckets or bucket_count(df)
-    if bucket is None:
-        if bounds is None:
-            bounds = value_bounds(df, first, n_buckets)
-        bucket = bucket_of(first, bounds)
-    keyed = df.withColumn(_BUCKET, bucket)
+    if bucket is not None:
+        n = max(DEFAULT_BUCKETS, bucket_count(df, largest))
+        keyed = df.withColumn(_BUCKET, bucket(n))
+        n_offsets = n_groups * n
+    else:
+        n = bucket_count(df, rows)
+        # persisted: the totals and the rows must see the same ranges
+        keyed = persisted(df.repartitionByRange(n, *group_cols, *order_cols).withColumn(_BUCKET, F.spark_partition_id()))
+        n_offsets = n_groups + n
     totals = keyed.groupBy(*group_cols, _BUCKET).agg(*[F.sum(m).alias(m) for m in measures])
     before = (Window.partitionBy(*group_cols).orderBy(_BUCKET)
               .rowsBetween(Window.unboundedPreceding, -1))
@@ -130,15 +100,11 @@ def running_sum(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[s
         *group_cols, _BUCKET,
         *[F.coalesce(F.sum(m).over(before), F.lit(0)).alias(f"_fw_off_{m}") for m in measures])
     keys = group_cols + [_BUCKET]
-    if groups_bounded:
-        joined = dim_join(keyed, offsets, on=keys, how="inner")
-    else:  # many groups: the offsets table grows with the data, keep a shuffle join
-        joined = keyed.join(offsets, on=keys, how="inner")
+    # with many groups the offsets table grows with the data: a shuffle join then
+    joined = _attach(keyed, offsets, keys, n_offsets)
     local = (Window.partitionBy(*keys).orderBy(*order_cols)
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    out = joined
-    for m in measures:
-        out = out.withColumn(prefix + m, F.sum(m).over(local) + F.col(f"_fw_off_{m}"))
+    out = joined.select("*", *[(F.sum(m).over(local) + F.col(f"_fw_off_{m}")).alias(prefix + m) for m in measures])
     out = out.drop(_BUCKET, *[f"_fw_off_{m}" for m in measures])
     return out.drop(_ALL) if glob else out
 
@@ -152,54 +118,62 @@ def value_counts(df: DataFrame, group_cols: Sequence[str], value: str,
 
 
 def exact_quantiles(df: DataFrame | None, value: str, group_cols: Sequence[str], qs: Sequence[float],
-                    names: Sequence[str] | None = None, counts: DataFrame | None = None,
-                    groups_bounded: bool | None = None) -> DataFrame:
+                    names: Sequence[str] | None = None, counts: DataFrame | None = None) -> DataFrame:
     """Exact linearly interpolated quantiles (the pandas / numpy default) per group.
 
-    Works on distinct-value counts. When every group has few distinct values (checked), the built-in
-    ``percentile`` with a frequency column is exact and its per-group buffer is bounded; otherwise a
-    bucketed running count finds the order statistics, so no task ever holds a whole group.
-    ``counts`` may pass a precomputed (group…, value, _fw_cnt) table (leave-fold-out statistics).
+    Works on distinct-value counts (``counts`` may pass a (group…, value, _fw_cnt) table): one running
+    count finds the order statistics, so no task ever holds a large group.
     """
-    group_cols, qs = list(group_cols), [float(q) for q in qs]
-    names = list(names) if names else [f"q{int(round(q * 100))}" for q in qs]
-    vc = persisted(counts if counts is not None else value_counts(df, group_cols, value))
+    names = list(names) if names else [f"q{int(round(float(q) * 100))}" for q in qs]
+    vc = counts if counts is not None else value_counts(df, group_cols, value)
+    return vector_quantiles(vc, value, group_cols, qs, names, ["_fw_cnt"])
+
+
+def vector_quantiles(vc: DataFrame, value: str, group_cols: Sequence[str], qs: Sequence[float],
+                     names: Sequence[str], counts: Sequence[str], which: str | None = None,
+                     labels: Sequence | None = None) -> DataFrame:
+    """Exact quantiles under several weightings at once: ``vc`` has one row per (group, value) and one
+    column of multiplicities per weighting. One running sum carries all of them; a value is given out
+    only where it is an order statistic that some quantile needs. With ``which`` there is one row per
+    (label, group) under the weighting's ``labels`` entry, else one row per group (a single weighting).
+    Groups without weight under a weighting have no row."""
+    group_cols, qs, counts = list(group_cols), [float(q) for q in qs], list(counts)
+    labels = list(labels) if labels is not None else [0]
     glob = not group_cols
     if glob:
-        vc, group_cols, groups_bounded = vc.withColumn(_ALL, F.lit(0)), [_ALL], True
-    largest, n_groups = group_profile(vc, group_cols)
-    if largest <= window_max_rows(vc):
-        res = vc.groupBy(*group_cols).agg(
-            F.percentile(F.col(value).cast("double"), F.array(*[F.lit(q) for q in qs]),
-                         F.col("_fw_cnt")).alias("_qs"))
-        res = res.select(*group_cols, *[F.col("_qs")[i].alias(nm) for i, nm in enumerate(names)])
-        return res.drop(_ALL) if glob else res
-
-    n_buckets = bucket_count(vc)
-    if groups_bounded is None:
-        groups_bounded = n_groups * (n_buckets + 1) <= max_broadcast_rows(vc)
-    cum = running_sum(vc, group_cols, [value], ["_fw_cnt"], n_buckets=n_buckets,
-                      small_groups=False, groups_bounded=groups_bounded)
-    n = vc.groupBy(*group_cols).agg(F.sum("_fw_cnt").alias("_fw_n"))
-    cum = dim_join(cum, n, group_cols, "inner") if groups_bounded else cum.join(n, group_cols)
-    start = F.col("cum__fw_cnt") - F.col("_fw_cnt")
-    end = F.col("cum__fw_cnt")
-    hits = []
-    for i, q in enumerate(qs):
-        pos = (F.col("_fw_n") - 1) * F.lit(q)
-        lo, hi = F.floor(pos), F.ceil(pos)
-        for side, p in ((0, lo), (1, hi)):
-            hits.append(F.when((start <= p) & (p < end), F.struct(
-                F.lit(i).alias("qi"), F.lit(side).alias("side"), (pos - lo).alias("frac"))))
-    marked = cum.select(*group_cols, F.col(value).cast("double").alias("_fw_v"),
-                        F.explode(F.filter(F.array(*hits), lambda h: h.isNotNull())).alias("_fw_h"))
-    picked = marked.groupBy(*group_cols, F.col("_fw_h.qi").alias("qi")).agg(
-        F.max(F.when(F.col("_fw_h.side") == 0, F.col("_fw_v"))).alias("_lo"),
-        F.max(F.when(F.col("_fw_h.side") == 1, F.col("_fw_v"))).alias("_hi"),
-        F.max("_fw_h.frac").alias("_frac"))
-    picked = picked.withColumn("_q", F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_frac"))
-    res = picked.groupBy(*group_cols).agg(
-        *[F.max(F.when(F.col("qi") == i, F.col("_q"))).alias(nm) for i, nm in enumerate(names)])
+        vc, group_cols = vc.withColumn(_ALL, F.lit(0)), [_ALL]
+    vc = persisted(vc)
+    totals = vc.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_fw_rows"), *[F.sum(c).alias(f"_fw_n{i}") for i, c in enumerate(counts)])
+    # the positions that some quantile needs: a few entries per group
+    need = []
+    for w in range(len(counts)):
+        for i, q in enumerate(qs):
+            pos = (F.col(f"_fw_n{w}") - 1) * F.lit(q)
+            for side, p in ((0, F.floor(pos)), (1, F.ceil(pos))):
+                need.append(F.when(F.col(f"_fw_n{w}") > 0, F.struct(
+                    F.lit(w).alias("w"), p.cast("long").alias("p"), F.lit(i).alias("qi"), F.lit(side).alias("side"), (pos - F.floor(pos)).alias("frac"))))
+    totals = persisted(totals.select(*group_cols, "_fw_rows", F.filter(F.array(*need), lambda h: h.isNotNull()).alias("_fw_need")))
+    row = totals.agg(F.max("_fw_rows"), F.count(F.lit(1)), F.sum("_fw_rows")).first()
+    profile = (int(row[0] or 0), int(row[1]), int(row[2] or 0))
+    cum = running_sum(vc, group_cols, [value], counts, profile=profile)
+    cum = _attach(cum, totals.drop("_fw_rows"), group_cols, profile[1])
+    ends, own = F.array(*[F.col(f"cum_{c}") for c in counts]), F.array(*[F.col(c) for c in counts])
+    cum = cum.select(*group_cols, F.col(value).cast("double").alias("_fw_v"), "_fw_need", ends.alias("_fw_end"), own.alias("_fw_own"))
+    found = F.filter("_fw_need", lambda h: (F.get("_fw_end", h.w) > h.p) & (F.get("_fw_end", h.w) - F.get("_fw_own", h.w) <= h.p))
+    marked = cum.select(*group_cols, "_fw_v", F.explode(found).alias("_fw_h"))
+    marked = marked.select(*group_cols, "_fw_v", *[F.col(f"_fw_h.{x}").alias(f"_fw_{x}") for x in ("w", "qi", "side", "frac")])
+
+    def of(i: int, side: int, what: str) -> Column:
+        return F.max(F.when((F.col("_fw_qi") == i) & (F.col("_fw_side") == side), F.col(what)))
+
+    label = F.element_at(F.array(*[F.lit(x) for x in labels]), F.col("_fw_w") + 1)
+    keys = ([label.alias(which)] if which else []) + [F.col(g) for g in group_cols]
+    picked = marked.groupBy(*keys).agg(*[x for i in range(len(qs)) for x in (
+        of(i, 0, "_fw_v").alias(f"_lo{i}"), of(i, 1, "_fw_v").alias(f"_hi{i}"), of(i, 0, "_fw_frac").alias(f"_fr{i}"))])
+    res = picked.select(*([which] if which else []), *group_cols,
+                        *[F.when(F.col(f"_lo{i}") == F.col(f"_hi{i}"), F.col(f"_lo{i}")).otherwise(
+                            F.col(f"_lo{i}") * (1 - F.col(f"_fr{i}")) + F.col(f"_hi{i}") * F.col(f"_fr{i}")).alias(nm)
+                          for i, nm in enumerate(names)])
     return res.drop(_ALL) if glob else res
 
 
@@ -212,13 +186,11 @@ def average_rank(df: DataFrame, group_cols: Sequence[str], value: str, out: str
     if glob:
         df, group_cols = df.withColumn(_ALL, F.lit(0)), [_ALL]
     vc = persisted(value_counts(df, group_cols, value))
-    largest, n_groups = group_profile(vc, group_cols)
-    small = largest <= window_max_rows(vc)
-    bounded = n_groups * (bucket_count(vc) + 1) <= max_broadcast_rows(vc)
-    cum = running_sum(vc, group_cols, [value], ["_fw_cnt"], small_groups=small, groups_bounded=bounded)
+    profile = group_profile(vc, group_cols)
+    cum = running_sum(vc, group_cols, [value], ["_fw_cnt"], profile=profile)
     if pct:
         n = vc.groupBy(*group_cols).agg(F.sum("_fw_cnt").alias("_fw_n"))
-        cum = dim_join(cum, n, group_cols, "inner") if bounded else cum.join(n, group_cols)
+        cum = _attach(cum, n, group_cols, profile[1])
     rank = F.col("cum__fw_cnt") - F.col("_fw_cnt") + (F.col("_fw_cnt") + 1) / 2.0
     cols = [*group_cols, value, rank.alias(out)]
     if pct:

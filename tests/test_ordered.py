@@ -50,12 +50,32 @@ def test_average_rank_ties(spark):
     assert r[1] == (1.0, 0.25) and r[2] == (2.5, 0.625) and r[3] == (2.5, 0.625) and r[4] == (4.0, 1.0)
 
 
-def test_no_single_partition_exchange_in_bucketed_plan(spark, small_groups):
-    df = spark.range(0, 100).select(F.lit(0).alias("g"), (F.col("id") * 1.0).alias("v"), F.lit(1).alias("one"))
-    plan = running_sum(df, [], ["v"], ["one"])._jdf.queryExecution().executedPlan().toString().splitlines()
-    # the row-level window is partitioned by (group, bucket) ...
-    assert any("hashpartitioning" in ln and "_fw_bucket" in ln for ln in plan)
-    # ... and a single-partition exchange only ever feeds on the per-bucket totals (≤ buckets rows)
-    for i, ln in enumerate(plan):
-        if "SinglePartition" in ln:
-            assert "HashAggregate" in plan[i + 1] and "_fw_bucket" in plan[i + 1], plan[i:i + 2]
+def test_range_partitioned_plan_has_no_bounds_and_no_whole_column_window(spark, small_groups):
+    df = spark.range(0, 100).select((F.col("id") * 1.0).alias("v"), F.lit(1).alias("one"))
+
+    def plan(parts):
+        spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+        try:
+            return running_sum(df, [], ["v"], ["one"])._jdf.queryExecution().optimizedPlan().toString()
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+    few, many = plan(8), plan(100_000)  # the number of ranges is no part of any expression
+    assert abs(len(many) - len(few)) < 200 and "CASE WHEN" not in many
+    physical = running_sum(df, [], ["v"], ["one"])._jdf.queryExecution().executedPlan().toString().splitlines()
+    assert any("hashpartitioning" in ln and "_fw_bucket" in ln for ln in physical)  # the rows' window is dealt by range
+    for i, ln in enumerate(physical):
+        if "SinglePartition" in ln:  # only the totals of the ranges come together
+            assert "HashAggregate" in physical[i + 1] and "_fw_bucket" in physical[i + 1], physical[i:i + 2]
+
+
+def test_null_groups_and_hot_groups_are_kept(spark, small_groups):
+    rows = [(None if i % 3 == 0 else i % 2, float(i * 7 % 50), 1) for i in range(150)]
+    got = running_sum(spark.createDataFrame(rows, "g int, v double, one int").groupBy("g", "v").agg(F.sum("one").alias("one")), ["g"], ["v"], ["one"])
+    want = {}
+    for g in (None, 0, 1):
+        total = 0
+        for v in sorted({r[1] for r in rows if r[0] == g}):
+            total += sum(1 for r in rows if r[:2] == (g, v))
+            want[g, v] = total
+    assert {(r.g, r.v): r.cum_one for r in got.collect()} == want
