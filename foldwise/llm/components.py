@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foldwise.llm.tables import keep
+from foldwise.llm.tables import discard, keep
 
 
 def _stars(edges: DataFrame) -> DataFrame:
@@ -43,7 +43,8 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
                  .where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col("u") != F.col("v"))).distinct(), "links")
     mark = _mark(edges)
     while mark[0]:
-        edges = keep(_small(_stars(edges)), "stars")
+        before, edges = edges, keep(_small(_stars(edges)), "stars")
+        discard(before)
         now = _mark(edges)
         if now == mark:
             break

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from foldwise.llm.tables import BROADCAST_ROWS, keep, semi
+from foldwise.llm.tables import BROADCAST_ROWS, fresh, keep, semi
 
 WINDOW, SHARE = 8, 0.5
 #: Units of measure and money.
@@ -90,5 +90,6 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
 def clean(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """``docs`` without the rows that leak an item."""
     bad = keep(leaks(docs, items, key, text, **options).select("_row").distinct(), "leaks")
-    marked = docs.withColumn("_row", F.xxhash64(F.col(key).cast("string"), F.col(text)))
-    return marked.join(F.broadcast(bad) if bad.count() <= BROADCAST_ROWS else bad, "_row", "left_anti").drop("_row").select(docs.columns)
+    row = fresh(docs, "_row")
+    marked, bad = docs.withColumn(row, F.xxhash64(F.col(key).cast("string"), F.col(text))), bad.withColumnRenamed("_row", row)
+    return marked.join(F.broadcast(bad) if bad.count() <= BROADCAST_ROWS else bad, row, "left_anti").select(docs.columns)

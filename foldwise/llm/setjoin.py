@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from foldwise.llm.components import components
 from foldwise.llm.hashing import _LANE, chunks, distinct_sets, mix, shingles, words
-from foldwise.llm.tables import BROADCAST_ROWS, keep, semi
+from foldwise.llm.tables import BROADCAST_ROWS, discard, keep, semi
 
 #: Jaccard index in percent; words in a shingle; the most common shingles that are told apart.
 PERCENT, WORDS, COMMON = 75, 5, 1 << 18
@@ -184,28 +184,33 @@ def joined(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = WO
     n = shared.count()
     lists = posted(True).join(F.broadcast(shared) if n <= BROADCAST_ROWS else shared, "key").distinct()
     lists = keep(lists, "lists")
+    discard(shared)
     hubs = lists.groupBy("key").agg(F.max(F.struct("mid", "class")).alias("h"), F.count("*").alias("m")).where("m > 1")
     votes = lists.join(hubs.select("key", F.col("h.mid").alias("h_mid"), F.col("h.class").alias("hub")), "key").where("class <> hub")
     votes = votes.groupBy("class", "n", "hub").agg(F.count("*").alias("c"), F.max("h_mid").alias("h_mid"))
     best = votes.groupBy("class", "n").agg(F.max(F.struct("c", "h_mid", "hub")).alias("b"))
     best = keep(best.select("class", "n", F.col("b.hub").alias("hub")), "hubs")
+    kept = [lists, best]
     full = keep(_whole_sets(docs, classes, best.select("class").union(best.select("hub")).distinct(), key, text, k), "full")
     links = _checked(best.select(F.col("class").alias("a"), F.col("hub").alias("b")), full, percent)
-    groups = components(links, "a", "b").select(F.col("node").alias("class"), "component")
-    groups = _with(groups, keep(_within_hubs(best, groups, full, percent), "links"))
+    groups = keep(components(links, "a", "b").select(F.col("node").alias("class"), "component"), "groups")
+    links = keep(_within_hubs(best, groups, full, percent), "links")
+    discard(full)
+    groups = _with(groups, links)
 
     # the rest: pairs of one list in different components and under different hubs
     apart = lists.drop("mid").join(groups, "class", "left").withColumn("component", F.coalesce("component", "class")).join(best.select("class", "hub"), "class", "left")
     several = apart.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key")
     apart = keep(apart.join(several, "key", "left_semi"), "apart")
-    sketched = _sketches(docs, classes, apart.select("class").distinct(), key, text, k)
-    apart = keep(apart.join(sketched, "class"), "apart")
+    bare, apart = apart, keep(apart.join(_sketches(docs, classes, apart.select("class").distinct(), key, text, k), "class"), "apart")
+    discard(bare, *kept)
     left, right = (apart.select("key", *(F.col(c).alias(f"{c}_{s}") for c in ("class", "n", "component", "hub", "sketch"))) for s in "ab")
     most = F.aggregate(F.zip_with("sketch_a", "sketch_b", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
     done = F.coalesce((F.col("hub_a") == F.col("hub_b")) | (F.col("hub_a") == F.col("class_b")) | (F.col("hub_b") == F.col("class_a")), F.lit(False))
     may = ~done & (F.col("class_a") < F.col("class_b")) & (F.col("component_a") != F.col("component_b")) & (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
     rest = left.join(right, "key").where(may & (most * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent))
     rest = keep(rest.select(F.col("class_a").alias("a"), F.col("class_b").alias("b")).distinct(), "pairs")
+    discard(apart)
     wanted = rest.select(F.col("a").alias("class")).union(rest.select("b")).distinct()
     if not rest.isEmpty():
         groups = _with(groups, _checked(rest, _whole_sets(docs, classes, wanted, key, text, k), percent))

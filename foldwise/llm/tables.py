@@ -44,6 +44,14 @@ def keep(df: DataFrame, what: str) -> DataFrame:
     return kept
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, or with more underscores before it, as no column of ``df`` is called (in any case of letters)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def discard(*kept: DataFrame) -> None:
     """Delete folders that ``keep`` wrote and that no later step reads."""
     for df in kept:
