@@ -111,6 +111,15 @@ def i13_feature_builder_recommended(spark, sf_dir):
     return _run(spark, sf_dir, "recommended")
 
 
+@register("i13_feature_builder_learned_levels", ops=["I13", "P2", "P3", "P22"],
+          doubles=[d for d in DOUBLES_BUILDER if d not in ("x1_sq", "x2_sq", "x1_x2", "grp_freq", "x2_pctile_in_grp")],
+          digits=9, sql=_builder_sql("recommended"))
+def i13_feature_builder_learned_levels(spark, sf_dir):
+    """The recommended preset with its default vocabulary: the category's levels are learned from the training rows."""
+    tr, app = applied(spark, sf_dir)
+    return preset("recommended", classes=GRPS).fit(tr, "fold", K).transform(app)
+
+
 @register("i13_feature_builder_minimal", ops=["I11", "I13"], doubles=["x1", "x2", "log_x2", "x2_per_person"], digits=9,
           sql=_builder_sql("minimal"))
 def i13_feature_builder_minimal(spark, sf_dir):

@@ -99,7 +99,6 @@ union all select 'all', null, avg(weight), min(weight), max(weight), count(*) fr
 def d9_weight_summary(spark, sf_dir):
     obs = observations(spark, sf_dir).where(F.col("side") == "train")
     w = obs.withColumn("weight", D.importance_weight(pseudo_score_expr(2)))
-    a = D.weight_summary(w, "weight", ["label"]).select(F.lit("label").alias("by_col"), F.col("label").alias("key"), "*").drop("label")
-    b = D.weight_summary(w, "weight", ["flag"]).select(F.lit("flag").alias("by_col"), F.col("flag").alias("key"), "*").drop("flag")
-    c = D.weight_summary(w, "weight", []).select(F.lit("all").alias("by_col"), F.lit(None).cast("int").alias("key"), "*")
-    return a.unionByName(b).unionByName(c)
+    out = D.weight_summary(w, "weight", [["label"], ["flag"], []])
+    view = F.element_at(F.array(F.lit("label"), F.lit("flag"), F.lit("all")), F.col("_set") + 1)
+    return out.select(view.alias("by_col"), F.coalesce("label", "flag").alias("key"), "mean_w", "min_w", "max_w", "n")

@@ -13,11 +13,14 @@ from pyspark.sql import types as T
 from foldwise.catalog import sql as S
 from foldwise.catalog.builder import CATS, GRPS, _builder_sql
 from foldwise.catalog.common import K, split
+from foldwise.catalog.errors import BASE
+from foldwise.catalog.linkage import HOLDOUT_SQL, holdout_labels
 from foldwise.catalog.registry import register
+from foldwise.operators.errors import correctness, per_record
 from foldwise.operators.spec import preset
 from foldwise.plans.session import ensure_checkpoint_dir
 from foldwise.sources import files as IO
-from foldwise.sources.tables import PSEUDO_MODELS, observations, pseudo_scores
+from foldwise.sources.tables import PSEUDO_MODELS, observations, pseudo_scores, seeded_scores
 from foldwise.streaming.score_stream import feature_stream, run_to_table
 
 W = S.with_
@@ -45,18 +48,67 @@ def s6_s8_submissions_to_long_and_matrix(spark, sf_dir):
     """Several submission files → one long score table; the wide record × model matrix is written
     sorted by difficulty as well."""
     sc = pseudo_scores(observations(spark, sf_dir)).where(F.col("side") == "test")
-    files = {}
-    for m in PSEUDO_MODELS:
-        p = _scratch(spark, f"sub-{m}")
-        IO.write_submission(sc.where(F.col("model") == m), p)
-        files[m] = p
-    long = IO.scores_from_files(spark, files)
+    long = IO.scores_from_files(spark, _written(sc, "model", PSEUDO_MODELS))
     wide = long.groupBy("id").pivot("model", list(PSEUDO_MODELS)).agg(F.first("prob"))
     IO.write_matrix(wide.withColumn("avg_prob", sum(F.col(m) for m in PSEUDO_MODELS) / len(PSEUDO_MODELS)),
                     _scratch(spark, "matrix"), [F.col("avg_prob").desc(), "id"])
     return long.select("id", "model", "prob")
 
 
+def _written(scores, by: str, names) -> dict[str, str]:
+    """Headerless (id, prob) files of every model, one folder each, written in one job."""
+    folder = _scratch(scores.sparkSession, "submissions")
+    scores.select("id", "prob", F.col(by).alias("model")).write.partitionBy("model").option("header", "false").csv(folder)
+    return {n: f"{folder}/model={n}" for n in names}
+
+
+FILE_SEEDS = tuple(range(9))
+FILES = [f"{m}_s{s}" for m in PSEUDO_MODELS for s in FILE_SEEDS]
+
+
+@register("x9_x10_score_submission_files", ops=["X9", "X10", "S6", "S7"], doubles=["auc", "n_pos", "n_neg"], sql=W(
+    *HOLDOUT_SQL, S.seeded_scores("obs", "ss", FILE_SEEDS),
+    """fs as (select ss.model || '_s' || ss.seed as model, ss.prob, h.survived as label, h.confidence from ss join holdout h on ss.id = h.id
+  where ss.side = 'test' and h.survived is not null)""",
+    """lv as (select model, 'all' as level, label, prob from fs
+  union all select model, 'sure', label, prob from fs where confidence in ('unique', 'all_agree')
+  union all select model, 'unique', label, prob from fs where confidence = 'unique')""",
+) + "select * from " + S.auc_sql("lv", ["model", "level"]) + " t")
+def x9_x10_score_submission_files(spark, sf_dir):
+    """45 files, one for every model and seed; all scored on {all, sure, unique} labels in one scan of the files."""
+    sc = seeded_scores(observations(spark, sf_dir), FILE_SEEDS).where(F.col("side") == "test")
+    sc = sc.select("id", "prob", F.concat_ws("_s", "model", F.col("seed").cast("string")).alias("file"))
+    return IO.score_files(spark, _written(sc, "file", FILES), holdout_labels(spark, sf_dir), "survived")
+
+
+@register("s1_s4_s5_header_csv_sources", ops=["S1", "S4", "S5"], doubles=["x1", "x2"], sql=W(*HOLDOUT_SQL) + """
+select obs.id, obs.grp, obs.cat, obs.x1, obs.x2, h.survived, h.confidence from obs join holdout h on obs.id = h.id where obs.side = 'test'""")
+def s1_s4_s5_header_csv_sources(spark, sf_dir):
+    """The test rows and the holdout labels as CSV files with a header (the hand-offs of the table and label
+    sources), read with declared schemas and joined by id, never by position."""
+    table, labels = _scratch(spark, "table"), _scratch(spark, "labels")
+    obs = observations(spark, sf_dir).where(F.col("side") == "test")
+    obs.select("id", "grp", "cat", "x1", "x2").write.option("header", "true").csv(table)
+    holdout_labels(spark, sf_dir).select("id", "survived", "confidence").write.option("header", "true").csv(labels)
+    rows = IO.read_table(spark, table, "id long, grp int, cat string, x1 double, x2 double")
+    return rows.join(IO.read_table(spark, labels, "id long, survived int, confidence string"), "id")
+
+
+@register("s8_matrix_by_difficulty", ops=["S8", "R1"], doubles=["avg_prob"], sql=W(*BASE) + "select rec.id, rec.label, " + ", ".join(
+    f"max(case when corr.model = '{m}' then corr.correct end) as {m}" for m in PSEUDO_MODELS) +
+    ", any_value(rec.correct_count) as correct_count, any_value(rec.avg_prob) as avg_prob from rec join corr on rec.id = corr.id group by rec.id, rec.label")
+def s8_matrix_by_difficulty(spark, sf_dir):
+    """The record × model matrix written with a header, the hardest records first, and read back."""
+    sc = pseudo_scores(observations(spark, sf_dir)).select("id", "model", "prob")
+    corr = correctness(sc, holdout_labels(spark, sf_dir), label="survived")
+    wide = corr.groupBy("id").pivot("model", list(PSEUDO_MODELS)).agg(F.first("correct"))
+    rec = per_record(corr, list(PSEUDO_MODELS)).select("id", "label", F.col("correct_count").cast("int").alias("correct_count"), "avg_prob")
+    out = rec.join(wide, "id").select("id", "label", *PSEUDO_MODELS, "correct_count", "avg_prob")
+    path = _scratch(spark, "matrix")
+    IO.write_matrix(out, path, ["correct_count", F.col("avg_prob").desc(), "id"])
+    return IO.read_table(spark, path, "id long, label int, " + ", ".join(f"{m} int" for m in PSEUDO_MODELS) + ", correct_count int, avg_prob double")
+
+
 OBS_SCHEMA = T.StructType([
     T.StructField("id", T.LongType()), T.StructField("label", T.IntegerType()), T.StructField("grp", T.IntegerType()),
     T.StructField("flag", T.IntegerType()), T.StructField("cat", T.StringType()), T.StructField("x1", T.DoubleType()),

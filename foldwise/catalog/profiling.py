@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from foldwise.catalog import sql as S
 from foldwise.catalog.registry import register
+from foldwise.operators.drift import by_sets
 from foldwise.functions import features as P
 from foldwise.operators import profile as E
 from foldwise.sources.tables import observations
@@ -97,10 +98,12 @@ def _hist_sql(src: str, cols, by: str | None, bins: int = 30) -> str:
   (select min({c}) as lo, max({c}) as hi from {src}) r where v.{c} is not null""")
     st = "st as (" + "\nunion all\n".join(parts) + ")"
     b = f"{by}, " if by else ""
+    counted = f"""(select {b}"column", lo, hi, cast(case when hi = lo then 0 else least(floor((v - lo) / (hi - lo) * {bins}), {bins - 1}) end as integer) as bin, count(*) as n
+  from st group by all)"""
+    every = f"""(select distinct {b}"column", lo, hi, bin from st, (select cast(unnest(range({bins})) as integer) as bin) where bin = 0 or hi > lo)"""
     return (st, f"""select {b}"column", bin, lo + bin * (case when hi = lo then 1.0 else (hi - lo) / {bins} end) as bin_lo,
   n, n / (sum(n) over (partition by {b}"column") * (case when hi = lo then 1.0 else (hi - lo) / {bins} end)) as density
-from (select {b}"column", lo, hi, cast(case when hi = lo then 0 else least(floor((v - lo) / (hi - lo) * {bins}), {bins - 1}) end as integer) as bin,
-             count(*) as n from st group by all) c""")
+from (select {b}"column", lo, hi, bin, coalesce(n, 0) as n from {every} e left join {counted} c using ({b}"column", lo, hi, bin))""")
 
 
 _h8 = _hist_sql("tr", ["x1", "x2"], None)
@@ -262,22 +265,12 @@ union all select 'by_flag_col', null, null, flag, null, count(*), null, avg(cast
 union all select 'by_grp_flag', null, grp, flag, null, count(*), null, avg(cast(x1 is null as integer)) from tr group by grp, flag""")
 def e25_missingness_profile(spark, sf_dir):
     tr = _train(spark, sf_dir).withColumn("x1_missing", F.col("x1").isNull().cast("int"))
-    null_i, null_d = F.lit(None).cast("int"), F.lit(None).cast("double")
-    a = tr.groupBy("x1_missing").agg(F.avg(F.col("label").cast("double")).alias("rate"), F.count(F.lit(1)).alias("n"),
-                                     F.avg("x2").alias("x2_mean")).select(
-        F.lit("by_flag").alias("view"), "x1_missing", null_i.alias("grp"), null_i.alias("flag"), "rate", "n",
-        "x2_mean", null_d.alias("missing_rate"))
-    parts = [a]
-    for view, keys in (("by_grp", ["grp"]), ("by_flag_col", ["flag"]), ("by_grp_flag", ["grp", "flag"])):
-        g = tr.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.avg(F.col("x1_missing").cast("double")).alias("missing_rate"))
-        parts.append(g.select(F.lit(view).alias("view"), null_i.alias("x1_missing"),
-                              (F.col("grp") if "grp" in keys else null_i).alias("grp"),
-                              (F.col("flag") if "flag" in keys else null_i).alias("flag"),
-                              null_d.alias("rate"), "n", null_d.alias("x2_mean"), "missing_rate"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    out = by_sets(tr, [["x1_missing"], ["grp"], ["flag"], ["grp", "flag"]], F.avg(F.col("label").cast("double")).alias("rate"), F.count(F.lit(1)).alias("n"),
+                  F.avg("x2").alias("x2_mean"), F.avg(F.col("x1").isNull().cast("double")).alias("missing_rate"))
+    view = F.element_at(F.array(*[F.lit(v) for v in ("by_flag", "by_grp", "by_flag_col", "by_grp_flag")]), F.col("_set") + 1)
+    first = F.col("_set") == 0  # the rates by missingness; the other views show missingness itself
+    return out.select(view.alias("view"), "x1_missing", "grp", "flag", F.when(first, F.col("rate")).alias("rate"), "n",
+                      F.when(first, F.col("x2_mean")).alias("x2_mean"), F.when(~first, F.col("missing_rate")).alias("missing_rate"))
 
 
 @register("e26_two_table_numeric", ops=["E26"], doubles=["mean_a", "std_a", "q50_a", "min_a", "max_a", "mean_b",

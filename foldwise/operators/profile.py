@@ -121,7 +121,8 @@ def binned_rate(df: DataFrame, col: str, edges: Sequence[float], labels: Sequenc
 
 def histogram(df: DataFrame, cols: Sequence[str], bins: int = 30, by: Sequence[str] = (),
               shared: bool = True) -> DataFrame:
-    """Equal-width histogram with density over [min, max] (last bin closed).
+    """Equal-width histogram with density over [min, max] (last bin closed), every bin shown
+    (empty bins: n = 0); a column with one value has one bin.
 
     With ``by`` (e.g. a side column) and ``shared`` the edges come from the union of the groups."""
     by = list(by)
@@ -134,6 +135,11 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int = 30, by: Sequence[s
     idx = F.when(width == 0, F.lit(0)).otherwise(
         F.least(F.floor((F.col("v") - F.col("lo")) / width * bins), F.lit(bins - 1))).cast("int")
     counts = j.withColumn("bin", idx).groupBy(*by, "column", "lo", "hi", "bin").agg(F.count(F.lit(1)).alias("n"))
+    # every bin of every (group, column), among them the empty ones
+    every = counts.select(*by, "column", "lo", "hi").distinct().withColumn(
+        "bin", F.explode(F.sequence(F.lit(0), F.when(width == 0, F.lit(0)).otherwise(F.lit(bins - 1)))))
+    counts = join_on_keys(every, counts.select(*by, "column", "bin", "n"), [*by, "column", "bin"], "left", null_safe=True)
+    counts = counts.withColumn("n", F.coalesce("n", F.lit(0).cast("long")))
     tot = F.sum("n").over(Window.partitionBy(*by, "column"))  # ≤ bins rows per partition
     bw = F.when(width == 0, F.lit(1.0)).otherwise(width / bins)
     return counts.select(*by, "column", "bin", (F.col("lo") + F.col("bin") * bw).alias("bin_lo"), "n",

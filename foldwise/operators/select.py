@@ -1,9 +1,10 @@
 """Permutation importance, verdicts, stability selection and subset evaluation.
 
-Permutation importance is one job per fitted model: validation rows are repeated for every
-(feature, repeat); inside each copy the feature's values are permuted by pairing hash-ordered
-positions (an equi-join on the position), the model scores every copy in one ``transform``, and a
-grouped AUC gives the drop for all features and repeats at once.
+Permutation importance is one job per fitted model: validation rows are numbered once, and in each
+repeat once more in the repeat's own order; the row at a position is joined with the row that comes there
+in that order, whole (rows x repeats are shuffled, whatever the number of features). Only then, map-side,
+a copy of the row is made for every feature, which takes that feature from the partner; the model scores
+every copy in one ``transform``, and a grouped AUC gives the drop for all features and repeats at once.
 """
 
 from __future__ import annotations
@@ -39,16 +40,14 @@ def permutation_importance(model, val_rows: DataFrame, cols: Sequence[str], n_re
     feats = list(features) if features is not None else cols
     base = positive_probability(model.transform(assembler(cols).transform(val_rows)))
     base_auc = auc(base, label, "prob").select(F.col("auc").alias("base_auc"))
-    pairs = F.array(*[F.struct(F.lit(f).alias("feature"), F.lit(r).alias("rep")) for f in feats for r in range(n_repeats)])
-    rep = val_rows.select("*", F.explode(pairs).alias("_fr")).select("*", "_fr.feature", "_fr.rep").drop("_fr")
-    rep = _positions(rep, ["feature", "rep"], F.concat_ws("|", F.lit("orig"), F.col("id").cast("string")), "_p_own")
-    src = _positions(rep.select("feature", "rep", "id", *[F.col(c).alias(f"_src_{c}") for c in feats]),
-                     ["feature", "rep"], F.concat_ws("|", F.lit(seed), F.col("feature"), F.col("rep").cast("string"),
-                                                     F.col("id").cast("string")), "_p_own")
-    j = rep.join(src.drop("id"), ["feature", "rep", "_p_own"])
-    for c in feats:
-        j = j.withColumn(c, F.when(F.col("feature") == c, F.col(f"_src_{c}")).otherwise(F.col(c)))
-    j = j.drop(*[f"_src_{c}" for c in feats], "_p_own")
+    own = _positions(val_rows, [], F.concat_ws("|", F.lit("own"), F.col("id").cast("string")), "_at")
+    own = own.withColumn("rep", F.explode(F.sequence(F.lit(0), F.lit(n_repeats - 1))))
+    src = val_rows.select("id", F.struct(*feats).alias("_src"), F.explode(F.sequence(F.lit(0), F.lit(n_repeats - 1))).alias("rep"))
+    src = _positions(src, ["rep"], F.concat_ws("|", F.lit(seed), F.col("rep").cast("string"), F.col("id").cast("string")), "_at")
+    j = own.join(src.drop("id"), ["rep", "_at"]).drop("_at")
+    j = j.withColumn("feature", F.explode(F.array(*[F.lit(f) for f in feats])))
+    j = j.select(*[F.when(F.col("feature") == c, F.col(f"_src.{c}")).otherwise(F.col(c)).alias(c) if c in feats else c
+                   for c in j.columns if c != "_src"])
     scored = positive_probability(model.transform(assembler(cols).transform(j)))
     pa = auc(scored, label, "prob", ["feature", "rep"])
     pa = pa.withColumn("_k", F.lit(0)).join(F.broadcast(base_auc.withColumn("_k", F.lit(0))), "_k")

@@ -43,10 +43,14 @@ class Roles:
     n2: str = "c2"          # parch
 
 
+#: Levels of a category that may become columns; more are an error, never cut.
+MAX_LEVELS = 1_000
+
+
 @dataclass(frozen=True)
 class FeatureSpec:
     roles: Roles = field(default_factory=Roles)
-    levels: tuple = ()                  # one-hot vocabulary of the category (fixed output schema)
+    levels: tuple | None = None         # one-hot vocabulary of the category; None: learned from the training rows
     classes: tuple = (1, 2, 3)          # class values of the flag × class indicators
     missing_flags: bool = True
     age_bins: str | None = "rule"       # "rule" | "quantile" | None
@@ -138,11 +142,13 @@ class FeatureModel:
     """Fitted statistics for every eval fold; ``transform`` is a chain of checked joins."""
 
     def __init__(self, spec: FeatureSpec, tables: dict, columns: list[str]):
-        self.spec, self.tables, self.columns = spec, tables, columns
+        self.spec, self.tables, self.columns = spec, tables, columns  # spec: with the levels learned
 
     @classmethod
     def fit(cls, spec: FeatureSpec, train: DataFrame, fold_col: str | None, k: int | None) -> "FeatureModel":
         r = spec.roles
+        if spec.levels is None:  # the training side fixes the output schema; a level unseen there is all zeros
+            spec = spec.with_(levels=tuple(P.learn_levels(train, r.cat, MAX_LEVELS)))
         t: dict = {}
         # Imputation statistics (group medians by class, global medians, category mode)
         g, glob = fit_imputer(train, r.cls, [r.a, r.b], [r.cat], fold_col, k)
