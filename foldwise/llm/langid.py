@@ -9,7 +9,9 @@ Texts are lower-cased; runs of other characters than letters count as one blank,
 Null texts and texts without a letter get ``und`` with score 0.  Ties go to the language first in
 alphabetical order.  Without any training text all texts get ``und``.  Repeated rows give repeated
 results; extra columns are kept.  A prototype sums whole numbers, so it doesn't depend on the order of
-the rows, and it has ``DIMENSIONS`` entries a language, whatever the corpus holds.
+the rows, and it has ``DIMENSIONS`` entries a language, whatever the corpus holds.  A task holds the bundles
+of ``TEXTS`` texts and the vectors of 2,048 trigrams, however many different letters there are.  The cosine of a
+text with a prototype that shares no trigram with it is noise, of deviation ``NOISE``.
 """
 
 from __future__ import annotations
@@ -26,8 +28,10 @@ from pyspark.sql import types as T
 from foldwise.llm.hashing import chunks
 
 DIMENSIONS = 1024
-CHUNK = 1 << 19
+#: Bytes of text and number of texts that are bundled at once; cells of a block of counts.
+CHUNK, TEXTS, CELLS = 1 << 19, 1024, 1 << 21
 UNDETERMINED = "und"
+NOISE = DIMENSIONS**-0.5
 
 
 @lru_cache(1)
@@ -35,7 +39,7 @@ def _letters() -> np.ndarray:
     return np.array([chr(c).isalpha() if not 0xD800 <= c < 0xE000 else False for c in range(0x110000)])
 
 
-@lru_cache(1 << 14)
+@lru_cache(1 << 15)
 def _letter(code: int) -> np.ndarray:
     """The vector of a letter; 0 is the blank."""
     return np.random.RandomState(0x5EED ^ code).randint(0, 2, DIMENSIONS).astype(np.int8) * 2 - 1
@@ -68,13 +72,20 @@ def bound(codes: np.ndarray) -> np.ndarray:
 
 
 def bundles(texts: list[str], groups: np.ndarray, n_groups: int) -> np.ndarray:
-    """The bundle of each group of texts."""
+    """The bundle of each group of texts: counts times vectors, some trigrams at a time, so that neither the
+    vectors of all trigrams nor the counts of all groups are held at once."""
+    out = np.zeros((n_groups, DIMENSIONS), np.float32)
     codes, owner = trigrams(texts)
-    if not len(codes):
-        return np.zeros((n_groups, DIMENSIONS), np.float32)
     codes, at = np.unique(codes, return_inverse=True)
-    counts = np.bincount(groups[owner] * len(codes) + at, minlength=n_groups * len(codes))
-    return counts.reshape(n_groups, len(codes)).astype(np.float32) @ bound(codes)
+    order = np.argsort(at, kind="stable")
+    at, owner = at[order], groups[owner[order]]
+    step = int(max(64, min(2048, CELLS // max(n_groups, 1))))
+    for low in range(0, len(codes), step):
+        block = codes[low : low + step]
+        here = slice(*np.searchsorted(at, (low, low + len(block))))
+        counts = np.bincount(owner[here] * len(block) + at[here] - low, minlength=n_groups * len(block))
+        out += counts.reshape(n_groups, len(block)).astype(np.float32) @ bound(block)
+    return out
 
 
 def fit(docs: DataFrame, text: str = "text", label: str = "lang") -> dict[str, np.ndarray]:
@@ -84,10 +95,11 @@ def fit(docs: DataFrame, text: str = "text", label: str = "lang") -> dict[str, n
         for batch in batches:
             for part, _, _ in chunks(batch, "text", CHUNK):
                 labels = np.array(part.column(1).to_pylist(), object)
-                names, groups = np.unique(labels.astype(str), return_inverse=True)
                 texts = [t or "" for t in part.column(0).to_pylist()]
-                for name, v in zip(names, bundles(texts, groups, len(names))):
-                    sums[name] = sums.get(name, 0) + v.astype(np.float64)
+                for low in range(0, len(texts), TEXTS):
+                    names, groups = np.unique(labels[low : low + TEXTS].astype(str), return_inverse=True)
+                    for name, v in zip(names, bundles(texts[low : low + TEXTS], groups, len(names))):
+                        sums[name] = sums.get(name, 0) + v.astype(np.float64)
         if sums:
             yield pa.RecordBatch.from_arrays([pa.array(list(sums)), pa.array([v.tolist() for v in sums.values()], pa.list_(pa.float64()))], ["lang", "bundle"])
 
@@ -113,11 +125,13 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], text: str = "tex
                 texts = [t or "" for t in part.column(part.schema.get_field_index(text)).to_pylist()]
                 best, cosine = np.full(len(texts), len(names) - 1), np.zeros(len(texts))
                 if matrix is not None:
-                    vectors = bundles(texts, np.arange(len(texts)), len(texts))
-                    norm = np.linalg.norm(vectors, axis=1)
-                    near = vectors @ matrix / np.maximum(norm, 1e-9)[:, None]
-                    best = np.where(norm > 0, near.argmax(1), best)
-                    cosine = np.where(norm > 0, np.clip(near.max(1), 0, 1), 0.0)
+                    for low in range(0, len(texts), TEXTS):
+                        some = slice(low, min(low + TEXTS, len(texts)))
+                        vectors = bundles(texts[some], np.arange(some.stop - low), some.stop - low)
+                        norm = np.linalg.norm(vectors, axis=1)
+                        near = vectors @ matrix / np.maximum(norm, 1e-9)[:, None]
+                        best[some] = np.where(norm > 0, near.argmax(1), best[some])
+                        cosine[some] = np.where(norm > 0, np.clip(near.max(1), 0, 1), 0.0)
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(part.schema.get_field_index(c)) for c in rest), pa.array([names[i] for i in best]), pa.array(cosine.astype(np.float64))],
                     [*rest, lang, score])

@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +47,8 @@ SKETCH = 64
 BLOCK, COLUMNS = 1 << 19, 4096
 #: Shingles a task counts before it lets go of those met once.
 COUNTED = 1 << 21
+#: Parts in which pairs are checked, one after another, so that the sets of one part are on their way at a time.
+PARTS = 4
 
 
 def sets(part_raw: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -142,6 +145,7 @@ def joined(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = WO
     docs = docs.select(key, text)
     measured = keep(measure(docs, key, text, k), "sets")
     rows = measured.where("n is not null").select(key, "class", "n")
+    once = rows.groupBy(key).count().where("count > 1").isEmpty()  # no key stands for several rows
     classes = keep(rows.where("class is not null").groupBy("class", "n").agg(F.min(key).alias("first"), F.count("*").alias("rows")), "classes")
 
     # the common shingles: the power of two is the least whose table fits
@@ -191,7 +195,7 @@ def joined(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = WO
     best = votes.groupBy("class", "n").agg(F.max(F.struct("c", "h_mid", "hub")).alias("b"))
     best = keep(best.select("class", "n", F.col("b.hub").alias("hub")), "hubs")
     kept = [lists, best]
-    full = keep(_whole_sets(docs, classes, best.select("class").union(best.select("hub")).distinct(), key, text, k), "full")
+    full = keep(_whole_sets(docs, classes, best.select("class").union(best.select("hub")).distinct(), key, text, k, once), "full")
     links = _checked(best.select(F.col("class").alias("a"), F.col("hub").alias("b")), full, percent)
     groups = keep(components(links, "a", "b").select(F.col("node").alias("class"), "component"), "groups")
     links = keep(_within_hubs(best, groups, full, percent), "links")
@@ -213,7 +217,9 @@ def joined(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = WO
     discard(apart)
     wanted = rest.select(F.col("a").alias("class")).union(rest.select("b")).distinct()
     if not rest.isEmpty():
-        groups = _with(groups, _checked(rest, _whole_sets(docs, classes, wanted, key, text, k), percent))
+        full = keep(_whole_sets(docs, classes, wanted, key, text, k, once), "full")
+        groups = _with(groups, _checked(rest, full, percent))
+        discard(full)
     groups = groups.withColumnRenamed("component", "group")
 
     firsts = classes.join(groups, "class", "left").withColumn("group", F.coalesce("group", "class"))
@@ -250,15 +256,16 @@ def _sketches(docs: DataFrame, classes: DataFrame, wanted: DataFrame, key: str,
     return _of_classes(docs, classes, wanted, key, text).mapInArrow(run, "class long, sketch array<int>").groupBy("class").agg(F.any_value("sketch").alias("sketch"))
 
 
-def _whole_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, key: str, text: str, k: int) -> DataFrame:
-    """(class, set): the sorted hashes of the wanted classes."""
+def _whole_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, key: str, text: str, k: int, once: bool) -> DataFrame:
+    """(class, set): the sorted hashes of the wanted classes.  ``once``: every key has one row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, raw, offsets in chunks(batch, text):
                 runs, at, own = sets(raw, offsets, k)
                 yield pa.RecordBatch.from_arrays([pa.array(own), pa.array([runs[x:y].tobytes() for x, y in zip(at, at[1:])], pa.binary())], ["class", "set"])
 
-    return _of_classes(docs, classes, wanted, key, text).mapInArrow(run, "class long, set binary").dropDuplicates(["class"])
+    out = _of_classes(docs, classes, wanted, key, text).mapInArrow(run, "class long, set binary")
+    return out if once else out.dropDuplicates(["class"])
 
 
 def _checked(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
@@ -273,8 +280,14 @@ def _checked(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
                 same.append(100 * both >= percent * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(same, pa.bool_()))
 
-    both = pairs.join(full.select(F.col("class").alias("a"), F.col("set").alias("x")), "a").join(full.select(F.col("class").alias("b"), F.col("set").alias("y")), "b")
-    return keep(both.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long"), "similar")
+    found = []
+    for i in range(PARTS):
+        part = pairs.select("a", "b").where(F.pmod(F.xxhash64("b"), F.lit(PARTS)) == i)
+        ids = part.select(F.col("a").alias("class")).union(part.select("b")).distinct()
+        own = semi(full, ids, ["class"], ids.count())
+        both = part.join(own.select(F.col("class").alias("b"), F.col("set").alias("y")), "b").join(own.select(F.col("class").alias("a"), F.col("set").alias("x")), "a")
+        found.append(keep(both.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long"), "similar"))
+    return reduce(DataFrame.unionByName, found)
 
 
 def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:

@@ -7,6 +7,8 @@ import itertools
 import json
 import random
 import re
+import subprocess
+import sys
 import zipfile
 
 import numpy as np
@@ -14,7 +16,8 @@ import public_tokenizers
 import tiktoken
 from pyspark.sql import functions as F
 
-from foldwise.llm import bpe, components, decontaminate, linededup, queries, setjoin, simhash, toxicity, urls, warc
+import corpus_pipeline
+from foldwise.llm import bpe, components, decontaminate, langid, linededup, queries, setjoin, simhash, toxicity, urls, warc
 from foldwise.llm.tables import read, shared_folder
 
 SF = "/root/testdata/sf0.001"
@@ -372,3 +375,33 @@ def test_decontamination_slots_of_the_passage_and_of_every_diagonal(spark):
     docs = spark.createDataFrame([(1, tail), (2, f"{broken}. {item}"), (2, f"{broken}. {item}"), (3, broken)], "doc_id long, text string")
     got = [(r.doc_id, r.at > 0) for r in decontaminate.leaks(docs, spark.createDataFrame([(9, item)], "item_id long, text string")).collect()]
     assert sorted(got) == [(1, False), (2, True), (2, True)]
+
+
+def test_language_bundles_of_many_different_trigrams_are_small():
+    """4,000 short texts over a large alphabet: the same bundles as one dense product, in blocks."""
+    rnd = random.Random(3)
+    texts = ["".join(chr(rnd.randint(0x4E00, 0x9FA5)) for _ in range(rnd.randint(0, 12))) for _ in range(200)] + ["the end", ""]
+    codes, owner = langid.trigrams(texts)
+    want = np.zeros((len(texts), langid.DIMENSIONS), np.float32)
+    np.add.at(want, owner, langid.bound(codes))
+    assert (langid.bundles(texts, np.arange(len(texts)), len(texts)) == want).all()
+    code = ("import resource, random, numpy as np\nfrom foldwise.llm import langid\nrnd = random.Random(1)\n"
+            "texts = [''.join(chr(rnd.randint(0x4E00, 0x9FA5)) for _ in range(40)) for _ in range(2000)]\n"
+            "for low in range(0, 2000, langid.TEXTS): langid.bundles(texts[low:low + langid.TEXTS], np.arange(len(texts[low:low + langid.TEXTS])), langid.TEXTS)\n"
+            "print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024)")
+    used = int(subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True).stdout)
+    assert used < 500
+
+
+def test_language_stage_drops_unknown_scripts_and_keeps_clean_documents(spark):
+    docs = read(spark, "/root/testdata/sf0.01", "documents")
+    rnd = random.Random(7)
+    scripts = [(0x0400, 0x044F), (0x05D0, 0x05EA), (0x0905, 0x0939), (0x3041, 0x3096), (0x4E00, 0x9FA5), (0xAC00, 0xD7A3)]
+    strange = [(10**6 + i, " ".join("".join(chr(rnd.randint(*scripts[i % 6])) for _ in range(rnd.randint(2, 8))) for _ in range(30)), None, "x", 1) for i in range(300)]
+    both = docs.unionByName(spark.createDataFrame(strange, docs.schema)).withColumn("_lang", F.lit("mine")).withColumn("_score", F.lit(1))
+    out = corpus_pipeline.language_id(spark, both, "")
+    kept = {r.doc_id for r in out.select("doc_id").collect()}
+    assert out.columns == both.columns and {r._lang for r in out.select("_lang").distinct().collect()} == {"mine"}
+    lettered = {r.doc_id for r in docs.where(F.col("text").rlike(r"\p{L}")).select("doc_id").collect()}
+    assert len([i for i in kept if i >= 10**6]) <= 1
+    assert not lettered - kept
