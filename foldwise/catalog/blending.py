@@ -173,10 +173,11 @@ def n15_gated_blend_grid(spark, sf_dir):
 
 GRID_TENTH = N.simplex_grid(3, 0.1)
 FIXED = (0.4, 0.3, 0.3)
+BLEND_SEEDS = (0, 1, 2, 3, 4)
 
 
 @register("n16_blend_stability_over_seeds", ops=["N16", "N18"], doubles=["auc_fixed", "auc_best"], sql=W(
-    S.OBS, S.seeded_scores("obs", "ss"),
+    S.OBS, S.seeded_scores("obs", "ss", BLEND_SEEDS),
     "sw as (select seed, id, label, " + ", ".join(f"max(case when model = 'm{k}' then prob end) as m{k}" for k in (3, 4, 5)) +
     " from ss where side = 'train' group by seed, id, label)",
     "gs as (select g.grid_id, g.w0, g.w1, g.w2, sw.seed, sw.label, g.w0 * sw.m3 + g.w1 * sw.m4 + g.w2 * sw.m5 as prob from sw cross join " + S.grid_values(GRID_TENTH) + ")",
@@ -184,7 +185,7 @@ FIXED = (0.4, 0.3, 0.3)
 ) + f"""select seed, max(case when w0 = {FIXED[0]!r} and w1 = {FIXED[1]!r} and abs(w2 - {FIXED[2]!r}) < 1e-9 then auc end) as auc_fixed,
   max(auc) as auc_best, arg_min(grid_id, (-round(auc, 9), grid_id)) as best_grid_id from ga group by seed""")
 def n16_blend_stability_over_seeds(spark, sf_dir):
-    ss = seeded_scores(observations(spark, sf_dir)).where(F.col("side") == "train")
+    ss = seeded_scores(observations(spark, sf_dir), BLEND_SEEDS).where(F.col("side") == "train")
     sw = N.wide(ss, ["m3", "m4", "m5"], keys=("seed", "id", "label"))
     at = [g for g, w in enumerate(GRID_TENTH) if all(abs(x - y) < 1e-9 for x, y in zip(w, FIXED))]
     res = N.grid_top(sw, ["m3", "m4", "m5"], GRID_TENTH, 1, extra_keys=["seed"], always=at)
@@ -214,25 +215,25 @@ def _model_auc_sql() -> str:
     return f"ml as ({parts})"
 
 
-@register("n20_softmax_topk_averages", ops=["N20", "N19"], doubles=["equal", "softmax", "top3"], sql=W(
+@register("n20_softmax_topk_averages", ops=["N20", "N19"], doubles=["equal", "softmax", "top3", "top5", "top10"], sql=W(
     *BASE_SQL, _model_auc_sql(),
     "ma as (select * from " + S.auc_sql("ml", ["model"]) + " t)",
     "mx as (select max(auc) as mx from ma)",
     "sw as (select model, exp(50.0 * (auc - mx)) / sum(exp(50.0 * (auc - mx))) over () as w from ma, mx)",
-    "tk as (select model, 1.0 / 3 as w from (select model, row_number() over (order by round(auc, 9) desc, model) as rn from ma) where rn <= 3)",
+    "tk as (select model, row_number() over (order by round(auc, 9) desc, model) as rn from ma)",
     "lg as (select id, model, prob from scores)",
 ) + """select lg.id, avg(lg.prob) as equal, sum(sw.w * lg.prob) / sum(sw.w) as softmax,
-  sum(case when tk.w is not null then tk.w * lg.prob end) / sum(tk.w) as top3
-from lg join sw on lg.model = sw.model left join tk on lg.model = tk.model group by lg.id""")
+  avg(case when rn <= 3 then lg.prob end) as top3, avg(case when rn <= 5 then lg.prob end) as top5, avg(case when rn <= 10 then lg.prob end) as top10
+from lg join sw on lg.model = sw.model join tk on lg.model = tk.model group by lg.id""")
 def n20_softmax_topk_averages(spark, sf_dir):
     sc = train_scores(spark, sf_dir)
     ma = auc(sc, "label", "prob", ["model"])
     sw = N.softmax_weights(ma, 50.0).select("model", F.col("weight").alias("w"))
-    top = [r["model"] for r in ma.orderBy(F.round("auc", 9).desc(), "model").limit(3).collect()]  # k model names
+    ranked = [r["model"] for r in ma.orderBy(F.round("auc", 9).desc(), "model").limit(10).collect()]  # model names
     j = sc.join(F.broadcast(sw), "model")  # one row per model
     return j.groupBy("id").agg(
         F.avg("prob").alias("equal"), (F.sum(F.col("w") * F.col("prob")) / F.sum("w")).alias("softmax"),
-        F.avg(F.when(F.col("model").isin(*top), F.col("prob"))).alias("top3"))
+        *[F.avg(F.when(F.col("model").isin(*ranked[:k]), F.col("prob"))).alias(f"top{k}") for k in (3, 5, 10)])
 
 
 @register("n21_two_group_blend_sweep", ops=["N21"], doubles=["auc"], sql=W(

@@ -25,7 +25,7 @@ from foldwise.sources.tables import PSEUDO_MODELS, observations, pseudo_score_ex
 CATS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 GRPS = (1, 2, 3, 4, 5)
 # run-time sizes of the registered model queries (the factories default to the reference's sizes)
-TREES, BOOST_ITERS, MLP_ITERS, LR_ITERS = 100, 30, 100, 30
+TREES, BOOST_ITERS, MLP_ITERS, LR_ITERS = 100, 30, 100, 1000
 
 
 def _split(spark, sf_dir):

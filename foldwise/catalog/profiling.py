@@ -187,9 +187,9 @@ def e16_box_summary(spark, sf_dir):
 
 @register("e17_rates_with_min_count", ops=["E17"], doubles=["rate"], sql=W(S.OBS, TR) + """
 select cat, c1, c2, grp, avg(label) as rate, count(*) as n from tr where cat is not null
-group by cat, c1, c2, grp having count(*) >= 25""")
+group by cat, c1, c2, grp having count(*) >= 5""")
 def e17_rates_with_min_count(spark, sf_dir):
-    return E.target_rate(_train(spark, sf_dir), ["cat", "c1", "c2", "grp"], min_n=25)
+    return E.target_rate(_train(spark, sf_dir), ["cat", "c1", "c2", "grp"], min_n=5)
 
 
 CORR_COLS = ["label", "grp", "flag", "x1", "x2", "c1", "c2"]
