@@ -6,7 +6,6 @@ Model fits are not SQL: these are rows-only checks (the invariant tests live in
 from __future__ import annotations
 
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import functions as F
 
 from foldwise.catalog.common import K, SEED
@@ -17,6 +16,8 @@ from foldwise.operators import models as M
 from foldwise.operators.blend import softmax_weights, wide
 from foldwise.operators.foldstats import EVAL, train_eval_frame
 from foldwise.operators.folds import assign_folds, assign_repeated_folds
+from foldwise.operators.blend import logit_blend, mean_expr
+from foldwise.operators.isotonic import apply_isotonic, fit_isotonic
 from foldwise.operators.metrics import auc, classification_metrics
 from foldwise.operators.spec import preset
 from foldwise.plans.joins import persisted
@@ -165,40 +166,51 @@ def n9_final_stacking_weights(spark, sf_dir):
     return coef.unionByName(test_auc)
 
 
+def _calibrated(w):
+    """(id, label, model, method, prob) of every model's raw and calibrated scores. The isotonic calibrators of
+    all models and thirds are one fit, keyed by both; a row takes the steps of the other two thirds."""
+    thirds = assign_folds(w.select("id", "label"), "label", "id", k=3, seed=11, out="third").select("id", "third")
+    scores = F.explode(F.array(*[F.struct(F.lit(m).alias("model"), F.col(m).alias("s")) for m in PSEUDO_MODELS])).alias("m")
+    d = persisted(w.join(thirds, "id").select("id", "label", "third", scores).select("id", "label", "third", "m.*"))
+    key = F.concat_ws("|", "model", F.col("third").cast("string"))
+    steps = fit_isotonic(d.withColumn("key", key), "s", "label", "key")
+    other = d.withColumn("third", F.explode(F.filter(F.array(*[F.lit(t) for t in range(3)]), lambda t: t != F.col("third"))))
+    parts = [apply_isotonic(other.withColumn("key", key), steps, "s", by="key").select("id", "model", F.lit("isotonic").alias("method"), "prob")]
+    asm = M.assembler(["s"], "f")
+    for m in PSEUDO_MODELS:
+        for t in range(3):
+            own = asm.transform(d.where((F.col("model") == m) & (F.col("third") == t)))
+            platt = LogisticRegression(featuresCol="f", labelCol="label", regParam=0.0).fit(own)
+            rest = asm.transform(d.where((F.col("model") == m) & (F.col("third") != t)))
+            parts.append(M.positive_probability(platt.transform(rest)).select("id", "model", F.lit("sigmoid").alias("method"), "prob"))
+    both = parts[0]
+    for x in parts[1:]:
+        both = both.unionByName(x)
+    mean = both.groupBy("id", "model", "method").agg(F.avg("prob").alias("prob")).join(d.select("id", "model", "label"), ["id", "model"])
+    return persisted(mean.unionByName(d.select("id", "model", "label", F.lit("none").alias("method"), F.col("s").alias("prob"))))
+
+
+@register("x21_calibrated_blends", ops=["X21", "N11", "N12"])
+def x21_calibrated_blends(spark, sf_dir):
+    """The plain mean and the logit blend of the models' scores, raw and calibrated: AUC and Brier score."""
+    cal = _calibrated(_oof_wide(spark, sf_dir))
+    wide = cal.groupBy("id", "label", "method").pivot("model", list(PSEUDO_MODELS)).agg(F.first("prob"))
+    blends = F.explode(F.array(F.struct(F.lit("average").alias("blend"), mean_expr(list(PSEUDO_MODELS)).alias("prob")),
+                               F.struct(F.lit("logit").alias("blend"), logit_blend(list(PSEUDO_MODELS)).alias("prob")))).alias("b")
+    rows = wide.select("label", "method", blends).select("label", "method", "b.*")
+    brier = rows.groupBy("method", "blend").agg(F.avg((F.col("prob") - F.col("label")) ** 2).alias("brier"))
+    return auc(rows, "label", "prob", ["method", "blend"]).select("method", "blend", "auc").join(brier, ["method", "blend"])
+
+
 @register("n11_probability_calibration", ops=["N11", "X5", "X4"])
 def n11_probability_calibration(spark, sf_dir):
     """Per model: sigmoid (Platt) and isotonic calibration, cv = 3 — each calibrator is fitted on one
     third of the rows' scores, and a row's output is the average of the calibrators of the other two
     thirds, so no row is scored by a calibrator that saw it; Brier and AUC per method, best method per
     model by AUC (on ties none, then the alphabet)."""
-    w = _oof_wide(spark, sf_dir)
-    thirds = assign_folds(w.select("id", "label"), "label", "id", k=3, seed=11, out="third").select("id", "third")
-    data = persisted(w.join(thirds, "id"))
-    out = []
-    for m in PSEUDO_MODELS:
-        d = data.select("id", "label", "third", F.col(m).alias("s"))
-        raw = d.select("id", "label", F.col("s").alias("prob")).withColumn("method", F.lit("none"))
-        parts = {"sigmoid": [], "isotonic": []}
-        for t in range(3):
-            fitd = d.where(F.col("third") == t)
-            platt = LogisticRegression(featuresCol="f", labelCol="label", regParam=0.0).fit(M.assembler(["s"], "f").transform(fitd))
-            ps = M.positive_probability(platt.transform(M.assembler(["s"], "f").transform(d.where(F.col("third") != t)))).select("id", "prob")
-            iso = IsotonicRegression(featuresCol="f", labelCol="label").fit(M.assembler(["s"], "f").transform(fitd))
-            pi = iso.transform(M.assembler(["s"], "f").transform(d.where(F.col("third") != t))).select("id", F.col("prediction").alias("prob"))
-            parts["sigmoid"].append(ps)
-            parts["isotonic"].append(pi)
-        cal = [raw]
-        for meth, ps in parts.items():
-            j = ps[0].unionByName(ps[1]).unionByName(ps[2]).groupBy("id").agg(F.avg("prob").alias("prob")).join(d.select("id", "label"), "id")
-            cal.append(j.withColumn("method", F.lit(meth)))
-        allc = cal[0]
-        for c in cal[1:]:
-            allc = allc.unionByName(c)
-        met = classification_metrics(allc, "label", None, "prob", ["method"]).join(auc(allc, "label", "prob", ["method"]), "method")
-        out.append(met.select(F.lit(m).alias("model"), "method", "brier", "auc"))
-    res = out[0]
-    for o in out[1:]:
-        res = res.unionByName(o)
+    cal = _calibrated(_oof_wide(spark, sf_dir))
+    res = classification_metrics(cal, "label", None, "prob", ["model", "method"]).join(auc(cal, "label", "prob", ["model", "method"]), ["model", "method"])
+    res = res.select("model", "method", "brier", "auc")
     from pyspark.sql import Window
     w_ = Window.partitionBy("model").orderBy(F.desc("auc"), F.col("method") != "none", "method")  # 3 rows per model
     return res.withColumn("best", (F.row_number().over(w_) == 1).cast("int"))
