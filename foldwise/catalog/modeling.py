@@ -26,7 +26,7 @@ from foldwise.sources.tables import PSEUDO_MODELS, observations, pseudo_score_ex
 CATS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 GRPS = (1, 2, 3, 4, 5)
 # run-time sizes of the registered model queries (the factories default to the reference's sizes)
-TREES, BOOST_ITERS, MLP_ITERS, LR_ITERS = 100, 30, 100, 1000
+TREES, BOOST_ITERS, MLP_ITERS, LR_ITERS = 100, 30, 500, 1000
 
 
 def _split(spark, sf_dir):
@@ -82,6 +82,14 @@ def m4_m5_m6_learners_cv(spark, sf_dir):
     return CV.cross_validate(tr, learners, fm, K)
 
 
+@register("m6_m9_network_loss_curve", ops=["M6", "M9"])
+def m6_m9_network_loss_curve(spark, sf_dir):
+    """The network at its default size: training and held-out loss of every iteration until it stops."""
+    tr, te = _split(spark, sf_dir)
+    model, _, _ = CV.fit_full_and_score(tr, te, lambda d, n: M.factory("mlp", d, n), _features(tr))
+    return M.loss_curve(spark, model)
+
+
 @register("x8_oof_scores_logreg_forest", ops=["X8", "X7", "M1", "M2"])
 def x8_oof_scores_logreg_forest(spark, sf_dir):
     tr, _ = _split(spark, sf_dir)
