@@ -29,10 +29,14 @@ HEADLINE = [
     "j5_p16_enrichment_flags",    # first-match registry lookup
     "j7_holdout_linkage",         # candidate counting linkage
     "r7_complementarity",         # pattern-grouped model pairs
-    "n13_simplex_grid_top10",     # 231-point weight grid, one job
-    "n17_pairwise_blend_grid",    # 210 pair × weight blends, one job
+    "n13_simplex_grid_top10",     # 231-point weight grid, branch and bound
+    "n17_pairwise_blend_grid",    # 210 pair × weight blends, one job over pairs of scores
     "x12_repeated_cv_robust_score",
     "a3_within_class_mixup",
+    "i12_feature_builder_kitchen_sink",  # every statistic of the builder, all eval folds
+    "x9_x10_score_submission_files",  # 45 files, one scan
+    "m1_m8_logreg_coefficients",  # a learner behind the builder
+    "stream_feature_scoring",     # the fitted builder on a file stream
 ]
 
 
