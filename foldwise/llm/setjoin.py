@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foldwise.llm.components import components
-from foldwise.llm.hashing import _LANE, chunks, distinct_sets, mix, shingles, words
+from foldwise.llm.hashing import CHUNK_BYTES, _LANE, chunks, distinct_sets, mix, shingles, words
 from foldwise.llm.tables import BROADCAST_ROWS, discard, keep, semi
 
 #: Jaccard index in percent; words in a shingle; the most common shingles that are told apart.
@@ -44,9 +44,9 @@ PERCENT, WORDS, COMMON = 75, 5, 1 << 18
 BOUNDARIES = (0, 8, 16, 24, 32, 48, 64)
 SKETCH = 64
 #: Shingles of a block of classes that are compared with one another, and columns of one product.
-BLOCK, COLUMNS = 1 << 19, 4096
+BLOCK, COLUMNS = 1 << 18, 4096
 #: Shingles a task counts before it lets go of those met once.
-COUNTED = 1 << 21
+COUNTED = 1 << 20
 #: Parts in which pairs are checked, one after another, so that the sets of one part are on their way at a time.
 PARTS = 4
 
@@ -67,8 +67,8 @@ def need(n: np.ndarray, percent: int = PERCENT) -> np.ndarray:
 
 
 def measure(docs: DataFrame, key: str, text: str, k: int) -> DataFrame:
-    """One pass over all texts: rows (key, class, n) of the documents, and rows (shingle, df) of shingles
-    that a task met more than once."""
+    """The one pass over all texts: rows (key, class, n, set) of the documents, the set for the first of its class in
+    a task, and rows (shingle, df) of shingles that a task met more than once."""
     kind = docs.schema[key].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -77,17 +77,20 @@ def measure(docs: DataFrame, key: str, text: str, k: int) -> DataFrame:
         def common() -> pa.RecordBatch:
             found, n = np.unique(np.concatenate(held), return_counts=True) if held else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
             found, n = found[n > 1].view(np.int64), n[n > 1]
-            return pa.RecordBatch.from_arrays([pa.nulls(len(n), types[0]), pa.nulls(len(n), pa.int64()), pa.nulls(len(n), pa.int64()), pa.array(found), pa.array(n)], names)
+            return pa.RecordBatch.from_arrays([pa.nulls(len(n), types[0]), pa.nulls(len(n), pa.int64()), pa.nulls(len(n), pa.int64()), pa.nulls(len(n), pa.binary()), pa.array(found), pa.array(n)], names)
 
-        types, names = [None], [key, "class", "n", "shingle", "df"]
+        types, names = [None], [key, "class", "n", "set", "shingle", "df"]
         for batch in batches:
             types[0] = batch.schema.field(0).type
             for part, raw, offsets in chunks(batch, text):
                 runs, at, classes = sets(raw, offsets, k)
                 n = np.diff(at)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(classes, mask=n == 0), pa.array(n), pa.nulls(len(n), pa.int64()), pa.nulls(len(n), pa.int64())], names)
-                new = np.array([c not in seen for c in classes.tolist()])
-                seen.update(classes.tolist())
+                new = n > 0
+                for i, c in enumerate(classes.tolist()):
+                    new[i] &= c not in seen
+                    seen.add(c)
+                whole = pa.array([runs[x:y].tobytes() if w else None for x, y, w in zip(at, at[1:], new)], pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(classes, mask=n == 0), pa.array(n), whole, pa.nulls(len(n), pa.int64()), pa.nulls(len(n), pa.int64())], names)
                 kept = runs[np.repeat(new, n)]
                 held.append(kept)
                 size += len(kept)
@@ -97,10 +100,25 @@ def measure(docs: DataFrame, key: str, text: str, k: int) -> DataFrame:
         if held:
             yield common()
 
-    schema = f"`{key}` {kind.simpleString()}, class long, n long, shingle long, df long"
+    schema = f"`{key}` {kind.simpleString()}, class long, n long, set binary, shingle long, df long"
     return docs.select(key, text).mapInArrow(run, schema)
 
 
+def set_chunks(batch: pa.RecordBatch, limit: int = CHUNK_BYTES) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+    """Slices of (class, set) of about ``limit`` bytes: (classes, shingles of all sets, offsets of the sets)."""
+    column = batch.column(1).cast(pa.large_binary())
+    if not len(column):
+        return
+    _, offsets, data = column.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
+    low = 0
+    while low < len(column):
+        high = min(len(column), max(low + 1, int(np.searchsorted(offsets, offsets[low] + limit, "right")) - 1))
+        raw = np.frombuffer(data, np.uint8, offsets[high] - offsets[low], offsets[low]).view(np.uint64)
+        yield batch.column(0).slice(low, high - low), raw, (offsets[low : high + 1] - offsets[low]) // 8
+        low = high
+
+
 def boundary(sizes: dict[int, int], scanned: float, percent: int = PERCENT) -> int:
     """The size from which sets are heavy.  Cost of a light set: its 2-subsets; of a set from ``percent``
     of the boundary on: its single shingles, each with ``scanned`` entries of its list."""
@@ -145,8 +163,10 @@ def joined(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = WO
     docs = docs.select(key, text)
     measured = keep(measure(docs, key, text, k), "sets")
     rows = measured.where("n is not null").select(key, "class", "n")
-    once = rows.groupBy(key).count().where("count > 1").isEmpty()  # no key stands for several rows
+    held = measured.where("set is not null")  # a class may be held by several tasks
+    once = rows.groupBy(key).count().where(F.col(key).isNull() | (F.col("count") > 1)).isEmpty()  # every row has a key of its own
     classes = keep(rows.where("class is not null").groupBy("class", "n").agg(F.min(key).alias("first"), F.count("*").alias("rows")), "classes")
+    holders = held.groupBy("class").agg(F.min(key).alias(key))
 
     # the common shingles: the power of two is the least whose table fits
     tallied = keep(measured.where("shingle is not null").groupBy("shingle").agg(F.sum("df").alias("df")), "common")
@@ -169,20 +189,15 @@ def joined(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = WO
 
     def posted(full: bool) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            seen: set[int] = set()
             for batch in batches:
-                for _, raw, offsets in chunks(batch, text):
-                    runs, at, own = sets(raw, offsets, k)
+                for own, runs, at in set_chunks(batch):
                     keys, which, mid = listed(runs, at, common, df, heavy_from, percent)
-                    new = np.array([c not in seen for c in own.tolist()])
-                    seen.update(own.tolist())
-                    keys, which = keys[new[which]], which[new[which]]
                     if not full:
                         yield pa.RecordBatch.from_arrays([pa.array(keys)], ["key"])
                     else:
-                        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(own[which]), pa.array(np.diff(at)[which]), pa.array(mid[which])], ["key", "class", "n", "mid"])
+                        yield pa.RecordBatch.from_arrays([pa.array(keys), own.take(pa.array(which)), pa.array(np.diff(at)[which]), pa.array(mid[which])], ["key", "class", "n", "mid"])
 
-        return docs.mapInArrow(run, "key long, class long, n long, mid long" if full else "key long")
+        return held.select("class", "set").mapInArrow(run, "key long, class long, n long, mid long" if full else "key long")
 
     shared = keep(posted(False).groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key"), "keys")
     n = shared.count()
@@ -195,7 +210,7 @@ def joined(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = WO
     best = votes.groupBy("class", "n").agg(F.max(F.struct("c", "h_mid", "hub")).alias("b"))
     best = keep(best.select("class", "n", F.col("b.hub").alias("hub")), "hubs")
     kept = [lists, best]
-    full = keep(_whole_sets(docs, classes, best.select("class").union(best.select("hub")).distinct(), key, text, k, once), "full")
+    full = keep(_whole_sets(held, holders, best.select("class").union(best.select("hub")).distinct(), key, once), "full")
     links = _checked(best.select(F.col("class").alias("a"), F.col("hub").alias("b")), full, percent)
     groups = keep(components(links, "a", "b").select(F.col("node").alias("class"), "component"), "groups")
     links = keep(_within_hubs(best, groups, full, percent), "links")
@@ -206,7 +221,7 @@ def joined(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = WO
     apart = lists.drop("mid").join(groups, "class", "left").withColumn("component", F.coalesce("component", "class")).join(best.select("class", "hub"), "class", "left")
     several = apart.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key")
     apart = keep(apart.join(several, "key", "left_semi"), "apart")
-    bare, apart = apart, keep(apart.join(_sketches(docs, classes, apart.select("class").distinct(), key, text, k), "class"), "apart")
+    bare, apart = apart, keep(apart.join(_sketches(_whole_sets(held, holders, apart.select("class").distinct(), key, once)), "class"), "apart")
     discard(bare, *kept)
     left, right = (apart.select("key", *(F.col(c).alias(f"{c}_{s}") for c in ("class", "n", "component", "hub", "sketch"))) for s in "ab")
     most = F.aggregate(F.zip_with("sketch_a", "sketch_b", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
@@ -217,7 +232,7 @@ def joined(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = WO
     discard(apart)
     wanted = rest.select(F.col("a").alias("class")).union(rest.select("b")).distinct()
     if not rest.isEmpty():
-        full = keep(_whole_sets(docs, classes, wanted, key, text, k, once), "full")
+        full = keep(_whole_sets(held, holders, wanted, key, once), "full")
         groups = _with(groups, _checked(rest, full, percent))
         discard(full)
     groups = groups.withColumnRenamed("component", "group")
@@ -237,34 +252,23 @@ def _with(groups: DataFrame, links: DataFrame) -> DataFrame:
     return components(links, "a", "b").select(F.col("node").alias("class"), "component")
 
 
-def _of_classes(docs: DataFrame, classes: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:
-    """The documents that stand for the wanted classes."""
-    ids = keep(classes.join(wanted, "class", "left_semi").select(F.col("first").alias(key)).distinct(), "wanted")
-    return semi(docs, ids, [key], ids.count())
-
-
-def _sketches(docs: DataFrame, classes: DataFrame, wanted: DataFrame, key: str, text: str, k: int) -> DataFrame:
+def _sketches(whole: DataFrame) -> DataFrame:
     """(class, sketch): counts of a set's shingles in ``SKETCH`` hash ranges."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, raw, offsets in chunks(batch, text):
-                runs, at, own = sets(raw, offsets, k)
+            for own, runs, at in set_chunks(batch):
                 doc = np.repeat(np.arange(len(own)), np.diff(at))
                 table = np.bincount(doc * SKETCH + (runs >> np.uint64(58)).astype(np.int64), minlength=len(own) * SKETCH).reshape(-1, SKETCH)
-                yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(list(table.astype(np.int32)), pa.list_(pa.int32()))], ["class", "sketch"])
+                yield pa.RecordBatch.from_arrays([own, pa.array(list(table.astype(np.int32)), pa.list_(pa.int32()))], ["class", "sketch"])
 
-    return _of_classes(docs, classes, wanted, key, text).mapInArrow(run, "class long, sketch array<int>").groupBy("class").agg(F.any_value("sketch").alias("sketch"))
+    return whole.mapInArrow(run, "class long, sketch array<int>")
 
 
-def _whole_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, key: str, text: str, k: int, once: bool) -> DataFrame:
-    """(class, set): the sorted hashes of the wanted classes.  ``once``: every key has one row."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for _, raw, offsets in chunks(batch, text):
-                runs, at, own = sets(raw, offsets, k)
-                yield pa.RecordBatch.from_arrays([pa.array(own), pa.array([runs[x:y].tobytes() for x, y in zip(at, at[1:])], pa.binary())], ["class", "set"])
-
-    out = _of_classes(docs, classes, wanted, key, text).mapInArrow(run, "class long, set binary")
+def _whole_sets(held: DataFrame, holders: DataFrame, wanted: DataFrame, key: str, once: bool) -> DataFrame:
+    """(class, set) of the wanted classes, one row each: that of the holder, the smallest key of those that hold the
+    class.  ``once``: every key has one row, so there is one such row."""
+    ids = keep(holders.join(wanted, "class", "left_semi").where(F.col(key).isNotNull()), "wanted") if once else keep(wanted, "wanted")
+    out = semi(held, ids, ["class", key] if once else ["class"], ids.count()).select("class", "set")
     return out if once else out.dropDuplicates(["class"])
 
 
