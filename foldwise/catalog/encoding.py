@@ -32,7 +32,7 @@ def _loo_sql() -> str:
     return W(*ctes) + "select id, " + ", ".join(cols) + " from tr cross join g " + " ".join(joins)
 
 
-@register("t1e_loo_target_encoding", ops=["T1e", "T3e", "T5e"],
+@register("t1e_loo_target_encoding", ops=["T1e", "T3e"],
           doubles=[f"te_{n}" for n in SPECS], sql=_loo_sql())
 def t1e_loo_target_encoding(spark, sf_dir):
     _, tr, _ = split(spark, sf_dir)
@@ -43,6 +43,29 @@ def t1e_loo_target_encoding(spark, sf_dir):
     return rows.select("id", *[f"te_{n}" for n in SPECS])
 
 
+def _full_sql() -> str:
+    ctes = [S.OBS, "tr as (select * from obs where side = 'train')", "g as (select avg(label) as g from tr)"]
+    cols, joins = [], []
+    for i, (name, keys) in enumerate(SPECS.items()):
+        k = ", ".join(keys)
+        ctes.append(f"s{i} as (select {k}, sum(label) as s, count(*) as n from tr group by {k})")
+        joins.append(f"left join s{i} on {_on('obs', f's{i}', keys)}")
+        cols.append(f"coalesce((s{i}.s + {M} * g.g) / (s{i}.n + {M}), g.g) as te_{name}")
+    return W(*ctes) + "select id, side, " + ", ".join(cols) + " from obs cross join g " + " ".join(joins)
+
+
+@register("t5e_full_train_encoding", ops=["T5e"], doubles=[f"te_{n}" for n in SPECS], sql=_full_sql())
+def t5e_full_train_encoding(spark, sf_dir):
+    """The m-estimate of the whole training side on training and test rows alike. On training rows it contains the
+    row's own label (a leak), so it is an option by name only; fits here use T1e."""
+    obs, tr, _ = split(spark, sf_dir)
+    rows = obs.withColumn(EVAL, F.lit(-1)).select("id", "side", EVAL, "grp", "flag", "cat")
+    for name, keys in SPECS.items():
+        st, g = T.fit_target_stats(tr, keys, "label")
+        rows = T.mestimate_encode(rows, st, g, keys, M, f"te_{name}")
+    return rows.select("id", "side", *[f"te_{n}" for n in SPECS])
+
+
 def _oof_ctes():
     ctes = [*S.obs_folds(), "g as (select eval_fold, avg(label) as g from fit group by eval_fold)"]
     for i, (name, keys) in enumerate(SPECS.items()):

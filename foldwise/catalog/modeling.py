@@ -29,6 +29,10 @@ GRPS = (1, 2, 3, 4, 5)
 TREES, BOOST_ITERS, MLP_ITERS, LR_ITERS = 100, 30, 500, 1000
 
 
+# fixed values: the reference's meta-learner searches
+META_SEEDS, META_C, NESTED_C = (123, 456, 789), (0.01, 0.05, 0.1, 0.5, 1.0), (0.01, 0.1, 1.0, 10.0)
+
+
 def _split(spark, sf_dir):
     obs = with_signal_label(observations(spark, sf_dir))
     tr = persisted(assign_folds(obs.where(F.col("side") == "train"), "label", "id", k=K, seed=SEED))
@@ -120,7 +124,7 @@ def x14_nested_cv_meta_learner(spark, sf_dir):
     w = _oof_wide(spark, sf_dir)
     inner = assign_repeated_folds(w.select("id", "label", "fold"), [7], "label", "id", k=K, out="inner").select("id", "inner")
     w = persisted(w.join(inner, "id"))
-    return CV.nested_meta_cv(w, list(PSEUDO_MODELS), [0.1, 1.0], "fold", "inner", K, max_iter=LR_ITERS)
+    return CV.nested_meta_cv(w, list(PSEUDO_MODELS), list(NESTED_C), "fold", "inner", K, max_iter=LR_ITERS)
 
 
 def _meta_cv(w, cols, C, fold_col):
@@ -143,20 +147,39 @@ def n7_n8_stacking_grid(spark, sf_dir):
     """Meta logistic regression on OOF scores: C sweep × meta seeds (own fold split per seed) ×
     passthrough of original features; AUC averaged over seeds."""
     w = _oof_wide(spark, sf_dir).join(observations(spark, sf_dir).select("id", "x2", "flag", "grp"), "id")
-    seeds = [0, 1]
-    folds = assign_repeated_folds(w.select("id", "label"), seeds, "label", "id", k=K, out="meta_fold").select(
-        "id", "seed", "meta_fold")
-    data = persisted(w.join(folds, "id"))
+    data = _meta_folds(w)
     rows = []
     for passthrough in (False, True):
         cols = list(PSEUDO_MODELS) + (["x2", "flag", "grp"] if passthrough else [])
-        for C in (0.1, 1.0):
-            aucs = []
-            for s in seeds:
-                oof = _meta_cv(data.where(F.col("seed") == s), cols, C, "meta_fold")
-                aucs.append(auc(oof, "label", "prob").first()["auc"])
-            rows.append((passthrough, C, float(sum(aucs) / len(aucs))))
-    return spark.createDataFrame(rows, "passthrough boolean, C double, auc double")
+        for C in META_C:
+            aucs = [auc(_meta_cv(data.where(F.col("seed") == s), cols, C, "meta_fold"), "label", "prob").first()["auc"] for s in META_SEEDS]
+            mean = sum(aucs) / len(aucs)
+            rows.append((passthrough, C, float(mean), float((sum((a - mean) ** 2 for a in aucs) / len(aucs)) ** 0.5)))
+    return spark.createDataFrame(rows, "passthrough boolean, C double, auc double, auc_std double")
+
+
+def _meta_folds(w):
+    """The rows once per meta seed, each seed with folds of its own."""
+    folds = assign_repeated_folds(w.select("id", "label"), META_SEEDS, "label", "id", k=K, out="meta_fold").select("id", "seed", "meta_fold")
+    return persisted(w.join(folds, "id"))
+
+
+@register("n7_stacked_oof_scores", ops=["N7"])
+def n7_stacked_oof_scores(spark, sf_dir):
+    """The stacked score of every training row: the meta-learner with the C of the best mean AUC over the seeds,
+    its out-of-fold scores averaged over the seeds."""
+    data = _meta_folds(_oof_wide(spark, sf_dir))
+    best = None
+    for C in META_C:
+        oof = [persisted(_meta_cv(data.where(F.col("seed") == s), list(PSEUDO_MODELS), C, "meta_fold")) for s in META_SEEDS]
+        mean = sum(auc(o, "label", "prob").first()["auc"] for o in oof) / len(oof)
+        if best is None or mean > best[0]:
+            best = (mean, C, oof)
+    _, C, oof = best
+    both = oof[0]
+    for o in oof[1:]:
+        both = both.unionByName(o)
+    return both.groupBy("id", "label").agg(F.avg("prob").alias("prob"), F.count("*").alias("n_seeds")).withColumn("C", F.lit(C))
 
 
 @register("n9_final_stacking_weights", ops=["N9"])
