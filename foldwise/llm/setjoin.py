@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from foldwise.llm.components import components
 from foldwise.llm.hashing import CHUNK_BYTES, _LANE, chunks, distinct_sets, mix, shingles, words
-from foldwise.llm.tables import BROADCAST_ROWS, discard, keep, semi
+from foldwise.llm.tables import BROADCAST_ROWS, discard, keep, semi, settings
 
 #: Jaccard index in percent; words in a shingle; the most common shingles that are told apart.
 PERCENT, WORDS, COMMON = 75, 5, 1 << 18
@@ -47,6 +47,8 @@ SKETCH = 64
 BLOCK, COLUMNS = 1 << 18, 4096
 #: Shingles a task counts before it lets go of those met once.
 COUNTED = 1 << 20
+#: Rows that a Python worker gets at once.
+ROWS = 500
 #: Parts in which pairs are checked, one after another, so that the sets of one part are on their way at a time.
 PARTS = 4
 
@@ -160,7 +162,11 @@ def listed(runs: np.ndarray, at: np.ndarray, common: np.ndarray, df: np.ndarray,
 def joined(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(``key``, n, class, component): for every row the size of its set, its class (null: empty) and the
     smallest ``key`` that links reach from it, itself included."""
-    docs = docs.select(key, text)
+    with settings(docs.sparkSession, spark__sql__execution__arrow__maxRecordsPerBatch=str(ROWS)):  # texts and sets are long rows
+        return _joined(docs.select(key, text), key, text, k, percent)
+
+
+def _joined(docs: DataFrame, key: str, text: str, k: int, percent: int) -> DataFrame:
     measured = keep(measure(docs, key, text, k), "sets")
     rows = measured.where("n is not null").select(key, "class", "n")
     held = measured.where("set is not null")  # a class may be held by several tasks
