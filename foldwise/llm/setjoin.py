@@ -216,11 +216,10 @@ def _joined(docs: DataFrame, key: str, text: str, k: int, percent: int) -> DataF
     best = votes.groupBy("class", "n").agg(F.max(F.struct("c", "h_mid", "hub")).alias("b"))
     best = keep(best.select("class", "n", F.col("b.hub").alias("hub")), "hubs")
     kept = [lists, best]
-    full = keep(_whole_sets(held, holders, best.select("class").union(best.select("hub")).distinct(), key, once), "full")
+    full = _whole_sets(held, holders, best.select("class").union(best.select("hub")).distinct(), key, once)
     links = _checked(best.select(F.col("class").alias("a"), F.col("hub").alias("b")), full, percent)
     groups = keep(components(links, "a", "b").select(F.col("node").alias("class"), "component"), "groups")
     links = keep(_within_hubs(best, groups, full, percent), "links")
-    discard(full)
     groups = _with(groups, links)
 
     # the rest: pairs of one list in different components and under different hubs
@@ -238,9 +237,7 @@ def _joined(docs: DataFrame, key: str, text: str, k: int, percent: int) -> DataF
     discard(apart)
     wanted = rest.select(F.col("a").alias("class")).union(rest.select("b")).distinct()
     if not rest.isEmpty():
-        full = keep(_whole_sets(held, holders, wanted, key, once), "full")
-        groups = _with(groups, _checked(rest, full, percent))
-        discard(full)
+        groups = _with(groups, _checked(rest, _whole_sets(held, holders, wanted, key, once), percent))
     groups = groups.withColumnRenamed("component", "group")
 
     firsts = classes.join(groups, "class", "left").withColumn("group", F.coalesce("group", "class"))
@@ -275,7 +272,7 @@ def _whole_sets(held: DataFrame, holders: DataFrame, wanted: DataFrame, key: str
     class.  ``once``: every key has one row, so there is one such row."""
     ids = keep(holders.join(wanted, "class", "left_semi").where(F.col(key).isNotNull()), "wanted") if once else keep(wanted, "wanted")
     out = semi(held, ids, ["class", key] if once else ["class"], ids.count()).select("class", "set")
-    return out if once else out.dropDuplicates(["class"])
+    return out if once else keep(out.dropDuplicates(["class"]), "full")  # else they are read from where they are held
 
 
 def _checked(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
