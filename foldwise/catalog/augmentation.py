@@ -10,9 +10,11 @@ from foldwise.catalog.modeling import CATS, GRPS, _lr, _split
 from foldwise.catalog.registry import register
 from foldwise.operators import augment as A
 from foldwise.operators import cv as CV
+from foldwise.operators.fits import Group, fit_groups, score_all, union_all
 from foldwise.operators.metrics import auc
 from foldwise.operators.spec import preset
-from foldwise.plans.joins import persisted
+from foldwise.plans.joins import packed, persisted
+from foldwise.plans.session import cut_lineage
 from foldwise.sources.tables import observations, pseudo_scores
 
 W = S.with_
@@ -99,18 +101,23 @@ def a5_mixup_sweep_cv(spark, sf_dir):
     fm = preset("minimal", levels=CATS, classes=GRPS).fit(tr, "fold", K)
     fit_rows, val_rows = CV.cv_matrices(tr, fm, K)
     cols = ["x2", "c1", "c2", "grp", "flag"]
-    rows = []
-    base = CV.oof_scores(fit_rows, val_rows, cols, {"base": _lr(1.0)}, K)
-    rows.append(auc(base, "label", "prob").select(F.lit(0).alias("n_aug"), F.lit(0.0).alias("alpha"), "auc"))
-    for n_aug in (50, 100):
-        for alpha in (0.2, 0.4):
-            # one job for every fold: mixup inside (eval fold, class) groups
-            extra = A.mixup(fit_rows, cols, "label", "id", n_aug, alpha, SEED, group_cols=["eval_fold"])
-            extra = extra.withColumn("id", -F.col("draw") - 1)
-            fr = fit_rows.select("id", "eval_fold", "label", *cols).unionByName(extra.select("id", "eval_fold", "label", *cols))
-            sc = CV.oof_scores(fr, val_rows, cols, {"mix": _lr(1.0)}, K)
-            rows.append(auc(sc, "label", "prob").select(F.lit(n_aug).alias("n_aug"), F.lit(alpha).alias("alpha"), "auc"))
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out
+    pos = persisted(A.class_positions(fit_rows, cols, "label", "id", SEED, ["eval_fold"]))
+    # mixup rows of every fold: (eval fold, class) groups; a few rows each, kept for all fits that read them
+    extra = {(n_aug, alpha): cut_lineage(A.mixup(fit_rows, cols, "label", "id", n_aug, alpha, SEED, ["eval_fold"], pos)
+                                         .select("eval_fold", "label", *cols).coalesce(1)) for n_aug in (50, 100) for alpha in (0.2, 0.4)}
+    pos.unpersist()
+    sizes, more = CV.fold_sizes(fit_rows), {key: CV.fold_sizes(x) for key, x in extra.items()}
+    configs, parts = [(0, 0.0), *extra], []
+    for f in range(K):
+        n = sizes.get(f, 0)
+        own = persisted(packed(fit_rows.where(F.col("eval_fold") == f).select("label", *cols), n))
+        groups = []
+        for key in configs:
+            n_key = n + more[key].get(f, 0) if key in extra else n
+            fr = own.unionByName(extra[key].where(F.col("eval_fold") == f).drop("eval_fold")) if key in extra else own
+            groups.append(Group(fr, n_key, [(cols, _lr(1.0)(len(cols), n_key))]))
+        models = [(str(i), cols, m) for i, (m,) in enumerate(fit_groups(groups))]
+        own.unpersist()
+        parts.append(score_all(val_rows.where(F.col("eval_fold") == f), models, ["label"]))
+    key = F.array(*[F.struct(F.lit(n_aug).alias("n_aug"), F.lit(alpha).alias("alpha")) for n_aug, alpha in configs])[F.col("model").cast("int")]
+    return auc(union_all(parts), "label", "prob", ["model"]).select(key["n_aug"].alias("n_aug"), key["alpha"].alias("alpha"), "auc")

@@ -52,18 +52,26 @@ def johnk_beta(alpha: float, *key) -> Column:
     return F.when(F.size(ok) > 0, first["x"] / (first["x"] + first["y"])).otherwise(F.lit(0.5))
 
 
-def mixup(df: DataFrame, feature_cols: Sequence[str], label: str = "label", id_col: str = "id",
-          n_aug: int = 100, alpha: float = 0.2, seed: int = 42, group_cols: Sequence[str] = ()) -> DataFrame:
-    """A3: ``n_aug`` synthetic rows per class, x = λ·x_i + (1 − λ)·x_j with i ≠ j drawn uniformly
-    inside the class and λ ~ Beta(α, α). ``group_cols`` (e.g. an eval fold) repeat the procedure
-    inside every group in the same job."""
+def class_positions(df: DataFrame, feature_cols: Sequence[str], label: str = "label", id_col: str = "id",
+                    seed: int = 42, group_cols: Sequence[str] = ()) -> DataFrame:
+    """The rows numbered in hash order inside their (group…, class): the same for every ``n_aug`` and α."""
     g = list(group_cols)
     if g:  # one class key per (group…, label)
         df = df.withColumn("_cls", F.concat_ws("|", *[F.col(c).cast("string") for c in g], F.col(label).cast("string")))
     else:
         df = df.withColumn("_cls", F.col(label).cast("string"))
-    pos = assign_folds(df.select(id_col, "_cls", label, *g, *feature_cols), "_cls", id_col, k=1 << 62,
-                       seed=f"mix{seed}", out="pos")
+    return assign_folds(df.select(id_col, "_cls", label, *g, *feature_cols), "_cls", id_col, k=1 << 62,
+                        seed=f"mix{seed}", out="pos")
+
+
+def mixup(df: DataFrame, feature_cols: Sequence[str], label: str = "label", id_col: str = "id",
+          n_aug: int = 100, alpha: float = 0.2, seed: int = 42, group_cols: Sequence[str] = (),
+          positions: DataFrame | None = None) -> DataFrame:
+    """A3: ``n_aug`` synthetic rows per class, x = λ·x_i + (1 − λ)·x_j with i ≠ j drawn uniformly
+    inside the class and λ ~ Beta(α, α). ``group_cols`` (e.g. an eval fold) repeat the procedure
+    inside every group in the same job. ``positions``: the ``class_positions`` of ``df``, where several calls share them."""
+    g = list(group_cols)
+    pos = class_positions(df, feature_cols, label, id_col, seed, g) if positions is None else positions
     sizes = pos.groupBy("_cls", label, *g).agg(F.count(F.lit(1)).alias("n_class")).where(F.col("n_class") >= 2)
     draws = sizes.select("_cls", label, *g, "n_class", F.explode(F.sequence(F.lit(0), F.lit(n_aug - 1))).alias("draw"))
     key = (seed, F.col("_cls"), F.col("draw"))
