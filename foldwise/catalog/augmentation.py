@@ -110,7 +110,7 @@ def a5_mixup_sweep_cv(spark, sf_dir):
     configs, parts = [(0, 0.0), *extra], []
     for f in range(K):
         n = sizes.get(f, 0)
-        own = persisted(packed(fit_rows.where(F.col("eval_fold") == f).select("label", *cols), n))
+        own = persisted(packed(fit_rows.where(F.col("eval_fold") == f).select("label", *cols), n, bagged=False))
         groups = []
         for key in configs:
             n_key = n + more[key].get(f, 0) if key in extra else n

@@ -67,6 +67,8 @@ def test_few_rows_lie_in_few_partitions(spark):
     most = 2 * spark.sparkContext.defaultParallelism
     assert packed(spark.range(0, 1000, 1, 500), 1000).rdd.getNumPartitions() == most
     assert packed(spark.range(0, 1000, 1, 3), 1000).rdd.getNumPartitions() == 3
+    assert packed(spark.range(0, 1000, 1, 500), 1000, bagged=False).rdd.getNumPartitions() == 1
+    assert packed(spark.range(0, 1000, 1, 500), 100 * 50_000, bagged=False).rdd.getNumPartitions() == 100
 
 
 def test_shared_positions_give_the_same_mixup(spark):
