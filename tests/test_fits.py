@@ -89,3 +89,23 @@ def test_network_scales_its_rows_once(spark, monkeypatch):
     model = Network((4,), max_iter=5).fit(df)
     assert len(made) == 1 and len(model.history) == 5
     assert all(h is not None for _, h in model.history) and not made[0].is_cached
+
+
+def test_full_fit_reads_its_rows_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    class Features:
+        columns = ["a", "b"]
+
+        def transform(self, rows, keep):
+            return rows.mapInArrow(count, rows.schema).select(*keep, *self.columns)
+
+    rows = _rows(spark).drop(EVAL)
+    model, scored, fitted = CV.fit_full_and_score(rows, rows.limit(0), lambda d, n: M.logistic(1.0, n, max_iter=5), Features())
+    assert seen.value == 300
+    assert scored.columns == ["id", "prob"] and "features" in fitted.columns
