@@ -13,6 +13,7 @@ from foldwise.functions.columns import clip, logit, sigmoid
 from foldwise.operators import blend as N
 from foldwise.operators.metrics import auc
 from foldwise.operators.profile import correlations
+from foldwise.plans.joins import persisted
 from foldwise.sources.tables import PSEUDO_MODELS, observations, seeded_scores
 
 W = S.with_
@@ -45,12 +46,18 @@ BASE_SQL = [
 
 def _base(spark, sf_dir):
     sc = train_scores(spark, sf_dir)
-    wd = N.wide(sc, MODELS, keys=("id", "label", "fold"))
     rk = N.percentile_ranks(sc, ["model"], "prob", "rank_pct")
-    wr = N.wide(rk.select("id", "model", F.col("rank_pct").alias("prob")), MODELS, keys=("id",))
-    wr = wr.select("id", *[F.col(m).alias(f"r_{m}") for m in MODELS])
-    return (wd.join(wr, "id").withColumn("vote", N.mean_expr(MODELS))
-            .withColumn("rank_avg", N.mean_expr(R_MODELS)))
+    return _means(N.wide(rk, MODELS, keys=("id", "label", "fold"), more={"r_": "rank_pct"}))
+
+
+def _means(wide):
+    return wide.withColumn("vote", N.mean_expr(MODELS)).withColumn("rank_avg", N.mean_expr(R_MODELS))
+
+
+def _long(wide, name, probs):
+    """(name, label, prob): a row of ``wide`` once for each of ``probs``. A union would read ``wide`` as often, in one task."""
+    each = F.explode(F.array(*[F.struct(F.lit(k).alias(name), prob.alias("prob")) for k, prob in probs.items()])).alias("_p")
+    return wide.select("label", each).select(f"_p.{name}", "label", "_p.prob")
 
 
 def _logit_sql(cols) -> str:
@@ -77,9 +84,7 @@ def n2_weighted_vote(spark, sf_dir):
 ) + "select * from " + S.auc_sql("v", ["subset"]) + " t")
 def n3_vote_subsets_auc(spark, sf_dir):
     b = _base(spark, sf_dir)
-    v = (b.select(F.lit("all5").alias("subset"), "label", F.col("vote").alias("prob"))
-         .unionByName(b.select(F.lit("first4").alias("subset"), "label", N.mean_expr(MODELS[:4]).alias("prob"))))
-    return auc(v, "label", "prob", ["subset"])
+    return auc(_long(b, "subset", {"all5": F.col("vote"), "first4": N.mean_expr(MODELS[:4])}), "label", "prob", ["subset"])
 
 
 @register("n4_rank_average", ops=["N4"], sql=W(*BASE_SQL) + "select id, rank_avg from base")
@@ -98,10 +103,9 @@ def n4_rank_average(spark, sf_dir):
     S.auc_sql("ar", ["fold"]) + " r on a.fold = r.fold")
 def n5_fold_local_rank_auc(spark, sf_dir):
     sc = train_scores(spark, sf_dir)
-    fr = N.percentile_ranks(sc, ["fold", "model"], "prob", "rank_pct")
-    wf = N.wide(fr.select("id", "model", F.col("rank_pct").alias("prob")), MODELS, keys=("id",))
-    b = _base(spark, sf_dir).join(wf.select("id", *[F.col(m).alias(f"f_{m}") for m in MODELS]), "id")
-    b = b.withColumn("frank", N.mean_expr([f"f_{m}" for m in MODELS]))
+    rk = N.percentile_ranks(N.percentile_ranks(sc, ["model"], "prob", "rank_pct"), ["fold", "model"], "prob", "fold_pct")
+    b = _means(N.wide(rk, MODELS, keys=("id", "label", "fold"), more={"r_": "rank_pct", "f_": "fold_pct"}))
+    b = persisted(b.withColumn("frank", N.mean_expr([f"f_{m}" for m in MODELS])).select("fold", "label", "vote", "frank"))
     av = auc(b, "label", "vote", ["fold"]).select("fold", F.col("auc").alias("auc_vote"))
     ar = auc(b, "label", "frank", ["fold"]).select("fold", F.col("auc").alias("auc_rank"))
     return av.join(ar, "fold")
@@ -282,10 +286,8 @@ def x21_blend_method_comparison(spark, sf_dir):
     from pyspark.sql import Window
 
     b = _base(spark, sf_dir).withColumn("lg", N.logit_blend(MODELS, 0.001))
-    mt = (b.select(F.lit("vote").alias("method"), "label", F.col("vote").alias("prob"))
-          .unionByName(b.select(F.lit("rank").alias("method"), "label", F.col("rank_avg").alias("prob")))
-          .unionByName(b.select(F.lit("logit").alias("method"), "label", F.col("lg").alias("prob")))
-          .unionByName(b.select(F.lit("m5").alias("method"), "label", F.col("m5").alias("prob"))))
+    b = persisted(b.select("label", "vote", "rank_avg", "lg", "m5"))
+    mt = _long(b, "method", {"vote": F.col("vote"), "rank": F.col("rank_avg"), "logit": F.col("lg"), "m5": F.col("m5")})
     a = auc(mt, "label", "prob", ["method"]).select("method", "auc")
     br = N.brier(mt, "label", "prob", ["method"])
     j = a.join(br, "method")

@@ -8,15 +8,16 @@ from foldwise.catalog import sql as S
 from foldwise.catalog.registry import register
 from foldwise.operators.folds import assign_folds
 from foldwise.operators.metrics import auc, calibration_curve, classification_metrics
+from foldwise.plans.joins import persisted
 from foldwise.sources.tables import observations, pseudo_scores
 
 
 def train_scores(spark, sf_dir):
     """Train-side pseudo-model scores with fold numbers (the OOF score table of the tests)."""
     obs = observations(spark, sf_dir).where(F.col("side") == "train")
-    folded = assign_folds(obs.select("id", "label", "side"), "label", "id", k=5, seed=42)
-    return pseudo_scores(folded.withColumn("side", F.col("side"))).join(
-        folded.select("id", "fold"), "id")
+    folded = persisted(assign_folds(obs.select("id", "label", "side"), "label", "id", k=5, seed=42))
+    rows = folded.drop("fold").join(folded.select("id", "fold"), "id")  # before they are repeated for every model
+    return pseudo_scores(rows, keep=["fold"])
 
 
 SCORES_F = S.with_(S.OBS, "tr as (select * from obs where side = 'train')", S.folds("tr"),

@@ -5,7 +5,8 @@ model. Search over blend weights never loops over Spark jobs: a weight grid is a
 exploded over the *distinct* tuples of the scores it blends, with their positives and negatives.
 Where every point's AUC is asked for, one grouped, weighted AUC scores them all in the same job
 (``grid_auc``, ``pair_grid_auc``). Where only the best are (``grid_top``), counts in score buckets bound
-each point's AUC first, and only points whose upper bound reaches the k-th lower bound are scored exactly.
+each point's AUC first, then counts in more buckets that of the points left, and only points whose upper bound
+reaches the k-th lower bound are scored exactly.
 """
 
 from __future__ import annotations
@@ -23,9 +24,11 @@ from foldwise.plans.ordered import average_rank
 
 
 def wide(scores: DataFrame, models: Sequence[str], keys: Sequence[str] = ("id", "label"),
-         model: str = "model", prob: str = "prob") -> DataFrame:
-    """One column per model (fixed order)."""
-    return scores.groupBy(*keys).pivot(model, list(models)).agg(F.first(prob))
+         model: str = "model", prob: str = "prob", more: Mapping[str, str] | None = None) -> DataFrame:
+    """One column per model (fixed order), and one with the prefix of ``more`` (prefix: column) for each of its columns.
+    One aggregation, so the rows of a key that lie together are combined before they are shuffled."""
+    return scores.groupBy(*keys).agg(*[F.first(F.when(F.col(model) == m, F.col(c)), ignorenulls=True).alias(f"{prefix}{m}")
+                                       for prefix, c in {"": prob, **(more or {})}.items() for m in models])
 
 
 def mean_expr(cols: Sequence[str], weights: Sequence[float] | None = None) -> Column:
@@ -156,23 +159,28 @@ def auc_bounds(tuples: DataFrame, cols: Sequence[str], grid: Mapping[int, Sequen
 
 
 def grid_top(wide_df: DataFrame, cols: Sequence[str], grid: Sequence[Sequence[float]], k: int,
-             label: str = "label", extra_keys: Sequence[str] = (), always: Sequence[int] = (), buckets: int = 512) -> DataFrame:
+             label: str = "label", extra_keys: Sequence[str] = (), always: Sequence[int] = (), buckets: Sequence[int] = (512, 8192)) -> DataFrame:
     """The ``k`` points of highest AUC (by 9 decimals, then by grid_id) per extra key, and the
-    points ``always``, with their exact AUC: branch and bound. The driver sees two numbers a point."""
+    points ``always``, with their exact AUC: branch and bound, with each of the ``buckets`` in turn. The driver sees
+    two numbers a point."""
     cols, extra_keys = list(cols), list(extra_keys)
     points = dict(enumerate(grid))
     tuples = persisted(score_tuples(wide_df, cols, label, extra_keys))
-    by_key: dict = {}
-    for r in auc_bounds(tuples, cols, points, extra_keys, buckets).collect():
-        by_key.setdefault(tuple(r[c] for c in extra_keys), []).append((r["grid_id"], r["lo"], r["hi"]))
-    alive = set(always)
-    for rows in by_key.values():
-        if any(lo is None for _, lo, _ in rows):  # one class only: no AUC to compare
-            alive |= {g for g, _, _ in rows}
-            continue
-        least = sorted((lo for _, lo, _ in rows), reverse=True)[min(k, len(rows)) - 1]
-        alive |= {g for g, _, hi in rows if hi >= least - 1e-8}
-    res = _exact(tuples, cols, {g: points[g] for g in sorted(alive)} or points, extra_keys)
+    for n in buckets:
+        if len(points) <= k + len(always):
+            break
+        by_key: dict = {}
+        for r in auc_bounds(tuples, cols, points, extra_keys, n).collect():
+            by_key.setdefault(tuple(r[c] for c in extra_keys), []).append((r["grid_id"], r["lo"], r["hi"]))
+        alive = set(always)
+        for rows in by_key.values():
+            if any(lo is None for _, lo, _ in rows):  # one class only: no AUC to compare
+                alive |= {g for g, _, _ in rows}
+                continue
+            least = sorted((lo for _, lo, _ in rows), reverse=True)[min(k, len(rows)) - 1]
+            alive |= {g for g, _, hi in rows if hi >= least - 1e-8}
+        points = {g: points[g] for g in sorted(alive)} or points
+    res = _exact(tuples, cols, points, extra_keys)
     rank = F.row_number().over(Window.partitionBy(*(extra_keys or [F.lit(0)])).orderBy(F.round("auc", 9).desc(), "grid_id"))  # of grid points
     return res.withColumn("_rank", rank).where((F.col("_rank") <= k) | F.col("grid_id").isin(*always)).drop("_rank")
 
