@@ -33,13 +33,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from foldwise.llm.hashing import chunks, mix
-from foldwise.llm.tables import discard, keep
+from foldwise.llm.tables import discard, keep, settings
 
 #: Words of the longest phrase, least count, rows of the report for a language.
 ORDER, LEAST, TOP = 5, 100, 2000
 #: Words of the longest run that is looked up in a table; bits of a table; rows a task counts before it lets go of them.
 RUNS, BITS, COUNTED = 2, 1 << 25, 1 << 20
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 20
+#: Rows that a Python worker gets at once.
+ROWS = 1000
 UNKNOWN = "und"
 
 _CLASS = np.arange(256, dtype=np.uint8)
@@ -80,6 +82,7 @@ def _by_lang(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, pa.Array,
                     words, piece = tokens(raw, offsets)
                     if len(words):
                         yield lang, words, piece
+        pa.default_memory_pool().release_unused()  # two workers share an executor's memory
 
 
 def _positions(values: np.ndarray) -> list[np.ndarray]:
@@ -92,6 +95,11 @@ def _salted(lang: str) -> np.uint64:
     return np.uint64(int.from_bytes(hashlib.blake2b(lang.encode(), digest_size=8).digest(), "little"))
 
 
+def _short(runs: np.ndarray) -> np.ndarray:
+    """The upper half of the hashes: runs that share it are counted together, which can only make them look frequent."""
+    return runs >> np.uint64(32)
+
+
 class _Counter:
     """Counts of 64-bit values, given out when it holds ``COUNTED``."""
 
@@ -113,10 +121,16 @@ class _Counter:
 
 
 def _table(frequent: DataFrame) -> np.ndarray:
-    """A bit table of ``BITS`` bits from a column of values: at most BITS / 64 rows reach the driver."""
+    """A bit table of ``BITS`` bits from a column of values, salted by a column lang if there is one: at most BITS / 64
+    rows reach the driver."""
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(_positions(b.column(0).to_numpy(zero_copy_only=False).view(np.uint64))))], ["at"])
+            values = b.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
+            if b.num_columns > 1:
+                lang = b.column(1).dictionary_encode()
+                salts = np.array([_salted(x) for x in lang.dictionary.to_pylist()], np.uint64)
+                values = values ^ salts[lang.indices.to_numpy(zero_copy_only=False)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(_positions(values)))], ["at"])
 
     at = frequent.mapInArrow(places, "at long")
     words = at.groupBy(F.shiftright("at", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("b")).toArrow()
@@ -131,19 +145,19 @@ def _marked(table: np.ndarray, values: np.ndarray) -> np.ndarray:
 
 
 def vocabulary(docs: DataFrame, seed: int, least: int) -> DataFrame:
-    """(lang, h, word, last, n, salted) of words that occur ``least`` times, of words that share a hash
+    """(lang, h, word, last, n) of words that occur ``least`` times, of words that share a hash
     (word <> last), and with h = 0 of the number of words of each language.  Kept."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.Table] = []
         size = 0
-        names = ["lang", "h", "salted", "word"]
+        names = ["lang", "h", "word"]
 
         def summed() -> pa.Table:
             return pa.concat_tables(held).group_by(names).aggregate([("n", "sum")]).rename_columns([*names, "n"])
 
         for lang, words, _ in _by_lang(batches):
             code, h, known = _hashes(words, seed)
-            held.append(pa.table({"lang": [lang] * (len(h) + 1), "h": np.append(h, np.uint64(0)).view(np.int64), "salted": np.append(h ^ _salted(lang), np.uint64(0)).view(np.int64),
+            held.append(pa.table({"lang": [lang] * (len(h) + 1), "h": np.append(h, np.uint64(0)).view(np.int64),
                                   "word": pa.concat_arrays([known.cast(pa.binary()), pa.array([b""])]), "n": np.append(np.bincount(code, minlength=len(h)), len(code))}))
             size += len(h)
             if size >= COUNTED // 2:
@@ -155,8 +169,8 @@ def vocabulary(docs: DataFrame, seed: int, least: int) -> DataFrame:
         if held:
             yield from summed().to_batches(100_000)
 
-    counted = docs.mapInArrow(run, "lang string, h long, salted long, word binary, n long").groupBy("lang", "h")
-    counted = counted.agg(F.min("word").alias("word"), F.max("word").alias("last"), F.sum("n").alias("n"), F.first("salted").alias("salted"))
+    counted = docs.mapInArrow(run, "lang string, h long, word binary, n long").groupBy("lang", "h")
+    counted = counted.agg(F.min("word").alias("word"), F.max("word").alias("last"), F.sum("n").alias("n"))
     return keep(counted.where((F.col("n") >= least) | (F.col("h") == 0) | (F.col("word") != F.col("last"))), "words")
 
 
@@ -173,7 +187,7 @@ class _Runs:
         self.starts, self.hashes = [np.flatnonzero(single)], [self.first[self.code[np.flatnonzero(single)]]]
         for table in tables[1:]:
             at, run = self.longer()
-            ok = _marked(table, run)
+            ok = _marked(table, _short(run))
             self.starts.append(at[ok])
             self.hashes.append(run[ok])
 
@@ -190,6 +204,11 @@ class _Runs:
 def phrases(docs: DataFrame, lang: str = "lang", text: str = "text", order: int = ORDER, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
     """(lang, p, f) of all phrases of 1 to ``order`` words that occur ``least`` times, p their word hashes (empty: f
     is the number of all words of lang), and the words (lang, h, word)."""
+    with settings(docs.sparkSession, spark__sql__execution__arrow__maxRecordsPerBatch=str(ROWS)):  # texts are long rows
+        return _phrases(docs, lang, text, order, least)
+
+
+def _phrases(docs: DataFrame, lang: str, text: str, order: int, least: int) -> tuple[DataFrame, DataFrame]:
     docs = docs.select(F.coalesce(F.col(lang), F.lit(UNKNOWN)).alias("lang"), F.col(text).alias("text"))
     spark, names = docs.sparkSession, [f"w{i}" for i in range(1, order + 1)]
     seed = 0
@@ -199,12 +218,12 @@ def phrases(docs: DataFrame, lang: str = "lang", text: str = "text", order: int
             break
         discard(known)
         seed += 1
-    tables = [spark.sparkContext.broadcast(_table(known.where("h <> 0").select("salted")))]
+    tables = [spark.sparkContext.broadcast(_table(known.where("h <> 0").select("h", "lang")))]
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = _Counter()
         for lang_, words, piece in _by_lang(batches):
-            yield from counter.add(_Runs(lang_, words, piece, seed, [t.value for t in tables]).longer()[1])
+            yield from counter.add(_short(_Runs(lang_, words, piece, seed, [t.value for t in tables]).longer()[1]))
         yield from counter.flush()
 
     while len(tables) < min(RUNS, order):
@@ -234,7 +253,8 @@ def phrases(docs: DataFrame, lang: str = "lang", text: str = "text", order: int
     rolled = longest.rollup("lang", *names).agg(F.sum("n").alias("f"), F.grouping_id().alias("g"))
     # 2^j - 1 of the grouping columns are rolled up: j of them, so order - j words are left
     left = F.lit(order) - F.round(F.log2(F.col("g") + 1)).cast("int")
-    rolled = rolled.where(F.col("g") < 1 << order - 1).select("lang", F.slice(F.array(*names), F.lit(1), left).alias("p"), "f")
+    # single words have been counted, also where no window begins
+    rolled = rolled.where(F.col("g") + 1 < 1 << order - 1).select("lang", F.slice(F.array(*names), F.lit(1), left).alias("p"), "f")
     single = known.select("lang", F.when(F.col("h") == 0, F.array().cast("array<long>")).otherwise(F.array("h")).alias("p"), F.col("n").alias("f"))
     counts = keep(rolled.where((F.col("f") >= least) & ~F.array_contains("p", F.lit(0).cast("long"))).unionByName(single), "phrases")
     return counts, known.where("h <> 0").select("lang", "h", "word")

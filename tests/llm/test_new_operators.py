@@ -19,6 +19,24 @@ DOCS = "doc_id long, text string, lang string, extra string"
 
 
 # ---------------------------------------------------------------- collocations
+def test_workers_get_few_rows_and_shuffles_no_salt(spark, monkeypatch):
+    """Texts are long rows: a batch of 10,000 fills a worker. What is worked out from a row isn't shuffled with it."""
+    key, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+    before, words = spark.conf.get(key), collocations.vocabulary
+
+    def watched(*given):
+        known = words(*given)
+        seen.append((spark.conf.get(key), known.columns))
+        return known
+
+    monkeypatch.setattr(collocations, "vocabulary", watched)
+    docs = spark.createDataFrame([(i, "a b c a b", ["x", "y"][i % 2], "") for i in range(8)], DOCS)
+    counts, _ = collocations.phrases(docs, least=8)
+    assert seen == [(str(collocations.ROWS), ["lang", "h", "word", "last", "n"])] and spark.conf.get(key) == before
+    # in both languages: 20 words, a and b 8 times, ab 8 times
+    assert sorted((r["lang"], len(r["p"]), r["f"]) for r in counts.collect()) == [(x, *y) for x in "xy" for y in ((0, 20), (1, 8), (1, 8), (2, 8))]
+
+
 def brute_collocations(rows, order, least, top):
     f, n = collections.defaultdict(collections.Counter), collections.Counter()
     for lang, text in rows:
