@@ -159,14 +159,14 @@ def auc_bounds(tuples: DataFrame, cols: Sequence[str], grid: Mapping[int, Sequen
 
 
 def grid_top(wide_df: DataFrame, cols: Sequence[str], grid: Sequence[Sequence[float]], k: int,
-             label: str = "label", extra_keys: Sequence[str] = (), always: Sequence[int] = (), buckets: Sequence[int] = (512, 8192)) -> DataFrame:
+             label: str = "label", extra_keys: Sequence[str] = (), always: Sequence[int] = (), buckets: int = 512, rounds: int = 2) -> DataFrame:
     """The ``k`` points of highest AUC (by 9 decimals, then by grid_id) per extra key, and the
-    points ``always``, with their exact AUC: branch and bound, with each of the ``buckets`` in turn. The driver sees
-    two numbers a point."""
+    points ``always``, with their exact AUC: branch and bound, in ``rounds`` with 16 times as many ``buckets`` each.
+    The driver sees two numbers a point and round."""
     cols, extra_keys = list(cols), list(extra_keys)
     points = dict(enumerate(grid))
     tuples = persisted(score_tuples(wide_df, cols, label, extra_keys))
-    for n in buckets:
+    for n in (buckets * 16**i for i in range(rounds)):
         if len(points) <= k + len(always):
             break
         by_key: dict = {}

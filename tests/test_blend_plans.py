@@ -39,8 +39,8 @@ def test_second_bound_leaves_few_points(spark, monkeypatch):
     grid, scored = N.simplex_grid(2, 0.05), []
     exact = N._exact
     monkeypatch.setattr(N, "_exact", lambda t, c, g, e: scored.append(len(g)) or exact(t, c, g, e))
-    top = [(r["grid_id"], round(r["auc"], 9)) for r in N.grid_top(rows, ["a", "b"], grid, 2, buckets=(16,)).collect()]
-    fine = [(r["grid_id"], round(r["auc"], 9)) for r in N.grid_top(rows, ["a", "b"], grid, 2, buckets=(16, 8192)).collect()]
+    top = [(r["grid_id"], round(r["auc"], 9)) for r in N.grid_top(rows, ["a", "b"], grid, 2, buckets=16, rounds=1).collect()]
+    fine = [(r["grid_id"], round(r["auc"], 9)) for r in N.grid_top(rows, ["a", "b"], grid, 2, buckets=16, rounds=3).collect()]
     full = sorted(((round(r["auc"], 9), -r["grid_id"]) for r in N.grid_auc(rows, ["a", "b"], grid).collect()), reverse=True)[:2]
     assert sorted(top) == sorted(fine) == sorted((-g, a) for a, g in full)
     assert scored[1] < scored[0]

@@ -109,3 +109,13 @@ def test_full_fit_reads_its_rows_once(spark):
     model, scored, fitted = CV.fit_full_and_score(rows, rows.limit(0), lambda d, n: M.logistic(1.0, n, max_iter=5), Features())
     assert seen.value == 300
     assert scored.columns == ["id", "prob"] and "features" in fitted.columns
+
+
+def test_meta_folds_read_their_input_once(spark):
+    """The scores come out of a join and a fold numbering; the folds of the seeds are numbered over them in three passes."""
+    from foldwise.catalog.modeling import META_SEEDS, _meta_folds
+
+    w = spark.range(40).select("id", (F.col("id") % 2).cast("int").alias("label"), (F.col("id") / 40).alias("m1"))
+    folds = _meta_folds(w)
+    assert w.storageLevel.useMemory
+    assert folds.count() == 40 * len(META_SEEDS)
