@@ -42,12 +42,22 @@ def sketch(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     order = np.lexsort((h, doc))
     h, doc = h[order], doc[order]
     first = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])]))
-    weight = (1 + np.log(np.diff(np.append(first, len(h))))).astype(np.float32)
+    times = np.diff(np.append(first, len(h)))
     h, doc = h[first], doc[first]
+    order = np.lexsort((times, doc))
+    h, doc, times = h[order], doc[order], times[order]
     both = np.stack([h, mix(h * _SECOND)], 1)
-    bits = np.unpackbits(both.view(np.uint8).reshape(len(h), BITS // 8), axis=1).astype(np.float32)
+    bits = np.unpackbits(both.view(np.uint8).reshape(len(h), BITS // 8), axis=1)
+    # terms of one document and weight are counted together, eight bits of them in one addition, at most 255 terms at once
+    start = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (times[1:] != times[:-1])]))
+    size = np.diff(np.append(start, len(h)))
+    parts = -(-size // 255)
+    block = np.repeat(start, parts) + 255 * (np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts))
+    n_set = np.add.reduceat(bits.view(np.uint64), block, axis=0).view(np.uint8)
+    n_all = np.diff(np.append(block, len(h)))
+    doc, weight = doc[block], 1 + np.log(times[block])
     begin = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
-    votes = np.add.reduceat((2 * bits - 1) * weight[:, None], begin, axis=0)
+    votes = np.add.reduceat((2.0 * n_set - n_all[:, None]) * weight[:, None], begin, axis=0)
     out[doc[begin]] = np.packbits(votes > 1e-4, axis=1).view(np.int64)
     return out
 

@@ -201,6 +201,30 @@ def test_decontamination_equals_brute_force(spark):
     assert all(len(set(items[j]) & set(words(texts(spark)[i]))) >= 0.5 * len(set(items[j])) for i, j in got)
 
 
+def test_simhash_votes_are_counted_in_bytes():
+    """Bits are summed as bytes: groups beyond 255 terms of one weight, repeated terms, and no float for every bit of a term."""
+    import tracemalloc
+
+    rng = random.Random(4)
+    texts = [" ".join(f"w{rng.randrange(m)}" for _ in range(n)) for n, m in ((40_000, 10**9), (5000, 40), (700, 9), (256, 10**9), (2, 5), (1, 5))] + [""]
+    raw = [t.encode() for t in texts]
+    data, offsets = np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(r) for r in raw])])
+    simhash.sketch(data, offsets)  # powers of the word hash are made once
+    tracemalloc.start()
+    got = simhash.sketch(data, offsets)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40_000 * simhash.BITS * 4
+    runs, doc = simhash.shingles(*simhash.words(data, offsets), len(texts), 2)
+    for i in range(len(texts)):
+        votes = np.zeros(simhash.BITS)
+        for h, times in collections.Counter(runs[doc == i].tolist()).items():
+            term = np.array([h], np.uint64)
+            both = np.concatenate([term, simhash.mix(term * simhash._SECOND)])
+            votes += (1 + np.log(times)) * (2.0 * np.unpackbits(both.view(np.uint8)) - 1)
+        assert got[i].tolist() == np.packbits(votes > 1e-4).view(np.int64).tolist()
+
+
 def test_simhash_edits_and_search(spark):
     given = sorted(texts(spark).items())
     prints = {}
