@@ -38,6 +38,17 @@ def test_small_fits_run_side_by_side(spark):
     assert got == {(m, f): 100 for m in "xy" for f in range(3)}
 
 
+def test_all_small_fits_of_a_search_run_at_the_same_time(spark):
+    """Four learners on five folds: no learner of a fold waits for another one, and a large group's fits still come one by one."""
+    rows = _rows(spark).withColumn(EVAL, (F.col("id") % 5).cast("int"))
+    Meeting.barrier = threading.Barrier(20, timeout=60)
+    sc = CV.oof_scores(rows, rows, ["a", "b"], {x: lambda d, n: Meeting() for x in "vxyz"}, 5)
+    assert sc.count() == 1200
+    Meeting.barrier = threading.Barrier(2, timeout=2)
+    with pytest.raises(threading.BrokenBarrierError):
+        fit_groups([Group(rows, 8_000_000, [(["a"], Meeting()), (["b"], Meeting())])])
+
+
 def test_training_rows_are_read_once_for_all_learners(spark):
     seen = spark.sparkContext.accumulator(0)
 
