@@ -49,6 +49,15 @@ def test_all_small_fits_of_a_search_run_at_the_same_time(spark):
         fit_groups([Group(rows, 8_000_000, [(["a"], Meeting()), (["b"], Meeting())])])
 
 
+def test_fits_of_several_matrices_run_side_by_side(spark):
+    rows = _rows(spark)
+    Meeting.barrier = threading.Barrier(6, timeout=60)
+    both = CV.oof_scores_of([(rows, rows, ["a", "b"]), (rows, rows.where("id < 150"), ["a"])], {"x": lambda d, n: Meeting()}, 3)
+    assert [sc.count() for sc in both] == [300, 150]
+    alone = CV.oof_scores(rows, rows.where("id < 150"), ["a"], {"x": lambda d, n: M.logistic(1.0, 100, max_iter=3)}, 3)
+    assert {r["id"]: r["prob"] for r in both[1].collect()} == pytest.approx({r["id"]: r["prob"] for r in alone.collect()}, abs=1e-9)
+
+
 def test_training_rows_are_read_once_for_all_learners(spark):
     seen = spark.sparkContext.accumulator(0)
 
