@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foldwise.llm.components import components
-from foldwise.llm.hashing import CHUNK_BYTES, _LANE, chunks, distinct_sets, mix, shingles, words
+from foldwise.llm.hashing import _LANE, chunks, distinct_sets, mix, shingles, words
 from foldwise.llm.tables import BROADCAST_ROWS, discard, keep, semi, settings
 
 #: Jaccard index in percent; words in a shingle; the most common shingles that are told apart.
@@ -49,8 +49,10 @@ BLOCK, COLUMNS = 1 << 18, 4096
 COUNTED = 1 << 20
 #: Rows that a Python worker gets at once.
 ROWS = 500
-#: Parts in which pairs are checked, one after another, so that the sets of one part are on their way at a time.
+#: Parts in which pairs are checked and hubs compared, one after another, so that the sets of one part are on their way at a time.
 PARTS = 4
+#: Bytes of texts or sets that a Python worker works on at once; its arrays take some fifty times that.
+CHUNK = 1 << 19
 
 
 def sets(part_raw: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -84,7 +86,7 @@ def measure(docs: DataFrame, key: str, text: str, k: int) -> DataFrame:
         types, names = [None], [key, "class", "n", "set", "shingle", "df"]
         for batch in batches:
             types[0] = batch.schema.field(0).type
-            for part, raw, offsets in chunks(batch, text):
+            for part, raw, offsets in chunks(batch, text, CHUNK):
                 runs, at, classes = sets(raw, offsets, k)
                 n = np.diff(at)
                 new = n > 0
@@ -106,7 +108,7 @@ def measure(docs: DataFrame, key: str, text: str, k: int) -> DataFrame:
     return docs.select(key, text).mapInArrow(run, schema)
 
 
-def set_chunks(batch: pa.RecordBatch, limit: int = CHUNK_BYTES) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+def set_chunks(batch: pa.RecordBatch, limit: int = CHUNK) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
     """Slices of (class, set) of about ``limit`` bytes: (classes, shingles of all sets, offsets of the sets)."""
     column = batch.column(1).cast(pa.large_binary())
     if not len(column):
@@ -219,7 +221,7 @@ def _joined(docs: DataFrame, key: str, text: str, k: int, percent: int) -> DataF
     full = _whole_sets(held, holders, best.select("class").union(best.select("hub")).distinct(), key, once)
     links = _checked(best.select(F.col("class").alias("a"), F.col("hub").alias("b")), full, percent)
     groups = keep(components(links, "a", "b").select(F.col("node").alias("class"), "component"), "groups")
-    links = keep(_within_hubs(best, groups, full, percent), "links")
+    links = _within_hubs(best, groups, full, percent)
     groups = _with(groups, links)
 
     # the rest: pairs of one list in different components and under different hubs
@@ -275,6 +277,12 @@ def _whole_sets(held: DataFrame, holders: DataFrame, wanted: DataFrame, key: str
     return out if once else keep(out.dropDuplicates(["class"]), "full")  # else they are read from where they are held
 
 
+def _sent(part: DataFrame, full: DataFrame, on: str) -> DataFrame:
+    """``part`` with the sets of ``full``, which stay where they are read if ``part`` is small."""
+    n = part.count()
+    return full.join(F.broadcast(part), on) if n <= BROADCAST_ROWS // 4 else part.join(semi(full, part.select(on).distinct(), [on], n), on)
+
+
 def _checked(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of classes whose sets are similar, exactly."""
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -290,9 +298,9 @@ def _checked(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     found = []
     for i in range(PARTS):
         part = pairs.select("a", "b").where(F.pmod(F.xxhash64("b"), F.lit(PARTS)) == i)
-        ids = part.select(F.col("a").alias("class")).union(part.select("b")).distinct()
-        own = semi(full, ids, ["class"], ids.count())
-        both = part.join(own.select(F.col("class").alias("b"), F.col("set").alias("y")), "b").join(own.select(F.col("class").alias("a"), F.col("set").alias("x")), "a")
+        ids = part.select(F.col("b").alias("class")).distinct()
+        right = semi(full, ids, ["class"], ids.count()).select(F.col("class").alias("b"), F.col("set").alias("y"))
+        both = _sent(part, full.select(F.col("class").alias("a"), F.col("set").alias("x")), "a").join(right, "b")
         found.append(keep(both.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long"), "similar"))
     return reduce(DataFrame.unionByName, found)
 
@@ -318,7 +326,7 @@ def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
 
 
 def _within_hubs(best: DataFrame, groups: DataFrame, full: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) between classes of one hub that lie in different components."""
+    """Links (a, b) between classes of one hub that lie in different components.  Kept."""
     of = groups.withColumnRenamed("component", "own")
     members = best.join(of, "class", "left").withColumn("own", F.coalesce("own", "class"))
     # what a hub's component holds needs no look; a hub is busy if some class of it lies outside
@@ -326,9 +334,8 @@ def _within_hubs(best: DataFrame, groups: DataFrame, full: DataFrame, percent: i
     hubs = hubs.select("hub", F.ceil(F.col("shingles") / BLOCK).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")
     dealt = members.join(hubs, "hub").withColumn("own_block", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("hub", F.least("own_block", "other").alias("i"), F.greatest("own_block", "other").alias("j"), "own_block", "class", "own").join(full, "class")
+    dealt = keep(dealt.select("hub", F.least("own_block", "other").alias("i"), F.greatest("own_block", "other").alias("j"), "own_block", "class", "own"), "dealt")
     parts = int(best.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = dealt.select("hub", "i", "j", "own_block", "class", "own", "set").repartition(parts, "hub", "i", "j").sortWithinPartitions("hub", "i", "j")
 
     def compare(group: list[tuple]) -> pa.RecordBatch:
         sides = [[r for r in group if r[3] == group[0][s]] for s in (1, 2)]
@@ -355,4 +362,10 @@ def _within_hubs(best: DataFrame, groups: DataFrame, full: DataFrame, percent: i
         if group:
             yield compare(group)
 
-    return dealt.mapInArrow(run, "a long, b long")
+    found = []
+    for i in range(PARTS):
+        part = _sent(dealt.where(F.pmod(F.xxhash64("hub", "i", "j"), F.lit(PARTS)) == i), full, "class")
+        part = part.select("hub", "i", "j", "own_block", "class", "own", "set").repartition(parts, "hub", "i", "j").sortWithinPartitions("hub", "i", "j")
+        found.append(keep(part.mapInArrow(run, "a long, b long"), "links"))
+    discard(dealt)
+    return reduce(DataFrame.unionByName, found)
