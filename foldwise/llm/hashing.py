@@ -42,7 +42,7 @@ class Powers:
 
     def upto(self, n: int) -> np.ndarray:
         if n > len(self.values):
-            grown = np.full(max(n, CHUNK_BYTES + 1), self.base, np.uint64)
+            grown = np.full(max(n, 2 * len(self.values)), self.base, np.uint64)
             grown[0] = 1
             self.values = np.cumprod(grown, dtype=np.uint64)
         return self.values[:n]

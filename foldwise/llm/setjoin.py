@@ -43,12 +43,12 @@ from foldwise.llm.tables import BROADCAST_ROWS, discard, keep, semi, settings
 PERCENT, WORDS, COMMON = 75, 5, 1 << 18
 BOUNDARIES = (0, 8, 16, 24, 32, 48, 64)
 SKETCH = 64
-#: Shingles of a block of classes that are compared with one another, and columns of one product.
-BLOCK, COLUMNS = 1 << 18, 4096
+#: Shingles of a block of classes that are compared with one another, columns of one product, and sets of its sides.
+BLOCK, COLUMNS, SIDES = 1 << 18, 4096, (512, 2048)
 #: Shingles a task counts before it lets go of those met once.
 COUNTED = 1 << 20
-#: Rows that a Python worker gets at once.
-ROWS = 500
+#: Rows that a Python worker gets at once, and short rows that it gives at once.
+ROWS, GIVEN = 500, 1 << 16
 #: Parts in which pairs are checked and hubs compared, one after another, so that the sets of one part are on their way at a time.
 PARTS = 4
 #: Bytes of texts or sets that a Python worker works on at once; its arrays take some fifty times that.
@@ -65,6 +65,11 @@ def sets(part_raw: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarray,
     return runs, at, classes
 
 
+def sliced(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """``batch`` in pieces of ``GIVEN`` rows, since the JVM holds a piece outside its heap."""
+    yield from (batch.slice(at, GIVEN) for at in range(0, batch.num_rows, GIVEN))
+
+
 def need(n: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     """The fewest shingles that a set of n shares with a partner."""
     return -(-n * percent // 100)
@@ -99,10 +104,10 @@ def measure(docs: DataFrame, key: str, text: str, k: int) -> DataFrame:
                 held.append(kept)
                 size += len(kept)
                 if size > COUNTED:
-                    yield common()
+                    yield from sliced(common())
                     held, size = [], 0
         if held:
-            yield common()
+            yield from sliced(common())
 
     schema = f"`{key}` {kind.simpleString()}, class long, n long, set binary, shingle long, df long"
     return docs.select(key, text).mapInArrow(run, schema)
@@ -201,9 +206,9 @@ def _joined(docs: DataFrame, key: str, text: str, k: int, percent: int) -> DataF
                 for own, runs, at in set_chunks(batch):
                     keys, which, mid = listed(runs, at, common, df, heavy_from, percent)
                     if not full:
-                        yield pa.RecordBatch.from_arrays([pa.array(keys)], ["key"])
+                        yield from sliced(pa.RecordBatch.from_arrays([pa.array(keys)], ["key"]))
                     else:
-                        yield pa.RecordBatch.from_arrays([pa.array(keys), own.take(pa.array(which)), pa.array(np.diff(at)[which]), pa.array(mid[which])], ["key", "class", "n", "mid"])
+                        yield from sliced(pa.RecordBatch.from_arrays([pa.array(keys), own.take(pa.array(which)), pa.array(np.diff(at)[which]), pa.array(mid[which])], ["key", "class", "n", "mid"]))
 
         return held.select("class", "set").mapInArrow(run, "key long, class long, n long, mid long" if full else "key long")
 
@@ -345,9 +350,11 @@ def _within_hubs(best: DataFrame, groups: DataFrame, full: DataFrame, percent: i
         size = [np.array([len(v) for v in x]) for x in values]
         name, own_ = ([np.array([r[c] for r in side]) for side in sides] for c in (4, 5))
         ok = np.zeros((len(sides[0]), len(sides[1])), bool)
-        for at in range(0, len(sides[0]), 512):
-            both = overlaps(values[0][at : at + 512], values[1])
-            ok[at : at + 512] = 100 * both >= percent * (size[0][at : at + 512, None] + size[1] - both)
+        for at in range(0, len(sides[0]), SIDES[0]):
+            for to in range(0, len(sides[1]), SIDES[1]):
+                x, y = slice(at, at + SIDES[0]), slice(to, to + SIDES[1])
+                both = overlaps(values[0][x], values[1][y])
+                ok[x, y] = 100 * both >= percent * (size[0][x, None] + size[1][y] - both)
         x, y = np.nonzero(ok & (own_[0][:, None] != own_[1]))
         return pa.RecordBatch.from_arrays([pa.array(name[0][x]), pa.array(name[1][y])], ["a", "b"])
 

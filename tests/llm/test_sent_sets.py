@@ -1,6 +1,7 @@
 """The set join sends sets to pairs and to hubs in parts, with the same results."""
 
 import numpy as np
+import pyarrow as pa
 
 from foldwise.llm import setjoin
 from foldwise.llm.tables import keep
@@ -29,3 +30,19 @@ def test_sets_are_sent_to_hubs_in_parts(spark, monkeypatch):
         assert seen.count("links") == setjoin.PARTS
         pairs = spark.createDataFrame([(a, b) for a in range(12) for b in range(12) if a < b], "a long, b long")
         assert {(r.a, r.b) for r in setjoin._checked(pairs, full, 75).collect()} == {(a, b) for a in range(12) for b in range(12) if a < b and alike(a, b)}
+
+
+def test_python_workers_give_and_compare_little_at_once(spark, monkeypatch):
+    batch = pa.RecordBatch.from_arrays([pa.array(range(200_000))], ["key"])
+    parts = list(setjoin.sliced(batch))
+    assert [p.num_rows for p in parts] == [1 << 16, 1 << 16, 1 << 16, 200_000 - 3 * (1 << 16)] and pa.Table.from_batches(parts) == pa.Table.from_batches([batch])
+    assert list(setjoin.sliced(batch.slice(0, 0))) == []
+    # a cloud of small sets, compared in slices: none is left out
+    monkeypatch.setattr(setjoin, "SIDES", (7, 5))
+    given = [tuple(np.arange(i % 9, i % 9 + 12, dtype=np.uint64)) for i in range(40)]
+
+    rows = spark.createDataFrame([(i, np.array(v, np.uint64).tobytes()) for i, v in enumerate(given)], "class long, set binary")
+    best = keep(spark.createDataFrame([(i, 12, 99) for i in range(40)], "class long, n long, hub long"), "best")
+    found = setjoin._within_hubs(best, spark.createDataFrame([], "class long, component long"), keep(rows, "full"), 75)
+    alike = {(i, j) for i in range(40) for j in range(i) if 100 * len({*given[i]} & {*given[j]}) >= 75 * len({*given[i]} | {*given[j]})}
+    assert {(max(r.a, r.b), min(r.a, r.b)) for r in found.collect()} == alike
