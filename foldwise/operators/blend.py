@@ -4,7 +4,7 @@ Scores live in a long table (id, model, prob[, seed, fold]); ``wide`` pivots it
 model. Search over blend weights never loops over Spark jobs: a weight grid is a literal list
 exploded over the *distinct* tuples of the scores it blends, with their positives and negatives.
 Where every point's AUC is asked for, one grouped, weighted AUC scores them all in the same job
-(``grid_auc``, ``pair_grid_auc``). Where only the best are (``grid_top``), counts in score buckets bound
+(``pair_grid_auc``), or the points' scores are ranked as arrays (``grid_auc``, ``ranked``). Where only the best are (``grid_top``), counts in score buckets bound
 each point's AUC first, then counts in more buckets that of the points left, and only points whose upper bound
 reaches the k-th lower bound are scored exactly.
 """
@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from foldwise.functions.columns import clip, logit, sigmoid
 from foldwise.operators.metrics import count_auc
+from foldwise.operators.ranked import blend_aucs
 from foldwise.plans.joins import dim_join, persisted
 from foldwise.plans.ordered import average_rank
 
@@ -130,9 +131,14 @@ def _exact(tuples: DataFrame, cols: Sequence[str], grid: Mapping[int, Sequence[f
 
 def grid_auc(wide_df: DataFrame, cols: Sequence[str], grid: Sequence[Sequence[float]],
              label: str = "label", extra_keys: Sequence[str] = ()) -> DataFrame:
-    """AUC of Σ w_i·col_i for every weight vector of ``grid`` (N18/N21/H4) in one job."""
-    cols, extra_keys = list(cols), list(extra_keys)
-    return _exact(score_tuples(wide_df, cols, label, extra_keys), cols, dict(enumerate(grid)), extra_keys)
+    """AUC of Σ w_i·col_i for every weight vector of ``grid`` (N18/N21/H4); without extra keys no row is made for a tuple
+    and point (``ranked``)."""
+    cols, extra_keys, points = list(cols), list(extra_keys), dict(enumerate(grid))
+    tuples = score_tuples(wide_df, cols, label, extra_keys)
+    if extra_keys:
+        return _exact(tuples, cols, points, extra_keys)
+    res = blend_aucs(persisted(tuples), cols, points, "_tp", "_tn")
+    return dim_join(res, _grid_table(tuples, points, len(cols)), ["grid_id"], "inner")
 
 
 def auc_bounds(tuples: DataFrame, cols: Sequence[str], grid: Mapping[int, Sequence[float]],
